@@ -118,3 +118,81 @@ def ewm_adjust_false(df: DataFrame, keys: list[str], order: str, value: str, spa
 def drop_terms(df: DataFrame, prefix: str) -> DataFrame:
     return df.drop(*(f"{prefix}_{s}" for s in ("rn", "obs_rn", "first", "last", "prev")))
 
+
+
+# ---------------------------------------------------------------------------
+# Fast path: series without interior gaps.
+# ---------------------------------------------------------------------------
+
+def block_rows(spans: list[float], block_decay: float = 48.0, max_exponent: float = 600.0) -> int:
+    """Rows per block shared by all ``spans``: every block damps the slowest
+    average by at least ``exp(-block_decay)``, and the fastest one's in-block
+    rescaling stays below ``exp(max_exponent)``."""
+    lns = [abs(math.log(1.0 - 2.0 / (s + 1.0))) for s in spans]
+    b = int(math.ceil(block_decay / min(lns)))
+    if b * max(lns) > max_exponent:
+        raise ValueError(f"spans {spans} too far apart to share blocks; scan them separately")
+    return b
+
+
+def add_blocks(df: DataFrame, keys: list[str], order: str, value: str, b: int, prefix: str) -> DataFrame:
+    """Per series: row number, date of the first present ``value``, block id
+    and in-block position (blocks of ``b`` rows).  Two projections."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    df = df.withColumns({
+        f"{prefix}_rn": F.row_number().over(w),
+        f"{prefix}_first": F.min(F.when(F.col(value).isNotNull(), F.col(order))).over(Window.partitionBy(*keys)),
+    })
+    rn0 = F.col(f"{prefix}_rn") - F.lit(1)
+    return df.withColumns({f"{prefix}_blk": F.floor(rn0 / F.lit(b)), f"{prefix}_j": rn0 % F.lit(b)})
+
+
+def drop_blocks(df: DataFrame, prefix: str) -> DataFrame:
+    return df.drop(*(f"{prefix}_{s}" for s in ("rn", "first", "blk", "j")))
+
+
+def ewm_complete(df: DataFrame, keys: list[str], order: str, value: str, spans: dict[str, float],
+                 prefix: str, b: int) -> DataFrame:
+    """Exponential means (``adjust=False``) of ``value`` for several spans at
+    once, for series whose values are all present from their first
+    observation on (leading missing rows are allowed and give null).
+
+    Needs the columns of ``add_blocks(.., prefix)``.  Inside a block,
+    ``local_t = d^j * sum(u_i d^-j_i)``; across blocks the value at the end of
+    block ``k-1`` is ``local_end(k-1) + d^b * local_end(k-2)`` (older blocks
+    are damped below ``exp(-2 * block_decay)``), read through two frames with
+    constant offsets, so one sort on (series, block, order) serves every span.
+    A missing value after the first observation raises an error instead of
+    silently taking this path.  Three projections whatever the span count."""
+    j, f, x, o = (F.col(f"{prefix}_j"), F.col(f"{prefix}_first"), F.col(value), F.col(order))
+    started = f.isNotNull() & (o >= f)
+    checked = F.when(x.isNull() & started & (o > f),
+                     F.raise_error(F.lit(f"missing {value} inside a series: use the gap-aware average"))
+                     ).otherwise(x)
+    wb = (Window.partitionBy(*keys, f"{prefix}_blk").orderBy(order)
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    wo = Window.partitionBy(*keys).orderBy(f"{prefix}_blk", order)
+    end = j == F.lit(b - 1)
+    locs = {}
+    for out, span in spans.items():
+        a = 2.0 / (span + 1.0)
+        d = 1.0 - a
+        u = F.when(~started, F.lit(0.0)).when(o == f, checked).otherwise(F.lit(a) * checked)
+        locs[f"_{out}_loc"] = F.pow(F.lit(d), j) * F.sum(u * F.pow(F.lit(1.0 / d), j)).over(wb)
+    df = df.withColumns(locs)
+    prev = {}
+    for out in spans:
+        loc = F.col(f"_{out}_loc")
+        prev[f"_{out}_p1"] = F.last(F.when(end, loc), ignorenulls=True).over(
+            wo.rowsBetween(Window.unboundedPreceding, -1))
+        prev[f"_{out}_p2"] = F.last(F.when(end, loc), ignorenulls=True).over(
+            wo.rowsBetween(Window.unboundedPreceding, -(b + 1)))
+    df = df.withColumns(prev)
+    outs = {}
+    for out, span in spans.items():
+        d = 1.0 - 2.0 / (span + 1.0)
+        carry = (F.coalesce(F.col(f"_{out}_p1"), F.lit(0.0))
+                 + F.lit(d ** b) * F.coalesce(F.col(f"_{out}_p2"), F.lit(0.0)))
+        outs[out] = F.when(started, F.col(f"_{out}_loc") + F.pow(F.lit(d), j + F.lit(1)) * carry)
+    temps = [f"_{o_}_{t}" for o_ in spans for t in ("loc", "p1", "p2")]
+    return df.withColumns(outs).drop(*temps)

@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.functions import indicators as ind
-from candela.functions.rolling import series_window
+from candela.functions.rolling import EXACT, clip_lower_zero, series_window, thousandths
 from candela.functions.rounding import stable
-from candela.operators.scan import decay_terms, drop_terms, ewm_adjust_false
+from candela.operators.scan import (
+    add_blocks, block_rows, decay_terms, drop_blocks, drop_terms, ewm_adjust_false, ewm_complete,
+)
 
 INDICATOR_COLUMNS = [
     "date", "ticker", "close",
@@ -43,25 +45,47 @@ RESISTANCE_LEVELS = ["0.0%", "23.6%"]
 
 
 def ema(df: DataFrame, value: str = "close", span: int = 20, out: str | None = None,
-        keys: list[str] | None = None, order: str = "date") -> DataFrame:
+        keys: list[str] | None = None, order: str = "date", complete: bool = False) -> DataFrame:
     """Exponential moving average (``adjust=False``), no warm-up gate."""
-    return ewm_adjust_false(df, keys or ["ticker"], order, value, span, out or f"ema_{span}")
+    keys = keys or ["ticker"]
+    out = out or f"ema_{span}"
+    if not complete:
+        return ewm_adjust_false(df, keys, order, value, span, out)
+    b = block_rows([span])
+    df = add_blocks(df, keys, order, value, b, "_eb")
+    return drop_blocks(ewm_complete(df, keys, order, value, {out: span}, "_eb", b), "_eb")
 
 
 def macd(df: DataFrame, value: str = "close", short: int = 12, long: int = 26, signal: int = 9,
-         keys: list[str] | None = None, order: str = "date") -> DataFrame:
+         keys: list[str] | None = None, order: str = "date", complete: bool = False) -> DataFrame:
     """MACD line (EMA short - EMA long), its signal EMA and the histogram."""
     keys = keys or ["ticker"]
-    p = f"_{value}_m"
-    df = decay_terms(df, keys, order, value, p)
-    df = ewm_adjust_false(df, keys, order, value, short, "_ema_short", prefix=p)
-    df = ewm_adjust_false(df, keys, order, value, long, "_ema_long", prefix=p)
-    df = drop_terms(df, p).withColumn("macd", F.col("_ema_short") - F.col("_ema_long"))
-    df = ewm_adjust_false(df, keys, order, "macd", signal, "macd_signal")
+    if complete:
+        df = _macd_complete(df, keys, order, value, short, long, signal)
+    else:
+        p = f"_{value}_m"
+        df = decay_terms(df, keys, order, value, p)
+        df = ewm_adjust_false(df, keys, order, value, short, "_ema_short", prefix=p)
+        df = ewm_adjust_false(df, keys, order, value, long, "_ema_long", prefix=p)
+        df = drop_terms(df, p).withColumn("macd", F.col("_ema_short") - F.col("_ema_long"))
+        df = ewm_adjust_false(df, keys, order, "macd", signal, "macd_signal")
     return (df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
               .drop("_ema_short", "_ema_long"))
 
 
+def _macd_complete(df: DataFrame, keys: list[str], order: str, value: str, short: int, long: int,
+                   signal: int, extra: dict[str, float] | None = None) -> DataFrame:
+    """MACD line and signal (and any ``extra`` spans of ``value``) on one
+    shared block layout: one sort for all of them."""
+    b = block_rows([short, long, signal, *(extra or {}).values()])
+    df = add_blocks(df, keys, order, value, b, "_eb")
+    df = ewm_complete(df, keys, order, value, {"_ema_short": short, "_ema_long": long, **(extra or {})},
+                      "_eb", b)
+    df = df.withColumn("macd", F.col("_ema_short") - F.col("_ema_long"))
+    df = ewm_complete(df, keys, order, "macd", {"macd_signal": signal}, "_eb", b)
+    return drop_blocks(df, "_eb").drop("_ema_short", "_ema_long")
+
+
 def fibonacci_columns(close: Column, order: Column, keys: list[str]) -> dict[str, Column]:
     """Levels over the whole history of the series (the same on every row),
     the level nearest to the last close (first label on ties) and its state."""
@@ -100,36 +124,105 @@ def fibonacci(bars: DataFrame, keys: list[str] | None = None, order: str = "date
     return out.withColumn("estado_fibonacci", fib_state(F.col("nivel_fib_cercano")))
 
 
-def technical_indicators(bars: DataFrame, keys: list[str] | None = None, order: str = "date") -> DataFrame:
+def rolling_block(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """SMA 20/50, RSI 14, ATR 14, OBV, Bollinger 20 and the 20-row deviation
+    in three window passes over one sort.
+
+    Trailing sums are exact integer running sums minus the running sum
+    ``n`` rows back (``lag`` with a constant offset): O(rows) per series,
+    where a sliding frame would re-aggregate every frame."""
+    w = series_window(keys, order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cu, hu, lu = thousandths(F.col("close")), thousandths(F.col("high")), thousandths(F.col("low"))
+    prev_cu = F.lag(cu).over(w)
+    d_close = F.col("close") - F.lag("close").over(w)
+    df = df.withColumns({
+        "_cu": cu,
+        "_dcu": cu - prev_cu,
+        "_tr": F.greatest(hu - lu, F.abs(hu - prev_cu), F.abs(lu - prev_cu)),
+        "_obv": (F.when(d_close > F.lit(0), F.col("volume")).when(d_close < F.lit(0), -F.col("volume"))
+                 .when(d_close == F.lit(0), F.lit(0))).cast("bigint"),
+    })
+    dcu, cu_c = F.col("_dcu"), F.col("_cu")
+    df = df.withColumns({
+        "_r_cu": F.sum(cu_c).over(run),
+        "_r_cu2": F.sum(cu_c.cast(EXACT) * cu_c.cast(EXACT)).over(run),
+        "_n_cu": F.count(cu_c).over(run),
+        "_r_g": F.sum(clip_lower_zero(dcu)).over(run),
+        "_r_l": F.sum(clip_lower_zero(-dcu)).over(run),
+        "_n_d": F.count(dcu).over(run),
+        "_r_tr": F.sum("_tr").over(run),
+        "_n_tr": F.count("_tr").over(run),
+        "obv": F.sum(F.coalesce(F.col("_obv"), F.lit(0).cast("bigint"))).over(run),
+    })
+
+    def last_n(col: str, n: int) -> Column:
+        return F.col(col) - F.coalesce(F.lag(col, n).over(w), F.lit(0))
+
+    df = df.withColumns({
+        "_s20": last_n("_r_cu", 20), "_c20": last_n("_n_cu", 20), "_q20": last_n("_r_cu2", 20),
+        "_s50": last_n("_r_cu", 50), "_c50": last_n("_n_cu", 50),
+        "_sg": last_n("_r_g", 14), "_sl": last_n("_r_l", 14), "_cd": last_n("_n_d", 14),
+        "_str": last_n("_r_tr", 14), "_ctr": last_n("_n_tr", 14),
+    })
+    s20, s50 = F.col("_s20").cast("double"), F.col("_s50").cast("double")
+    sma20 = F.when(F.col("_c20") == F.lit(20), s20 / F.lit(20000.0))
+    numer = (F.lit(20).cast(EXACT) * F.col("_q20") - F.col("_s20").cast(EXACT) * F.col("_s20").cast(EXACT))
+    dev20 = F.when(F.col("_c20") == F.lit(20),
+                   F.sqrt(numer.cast("double") / F.lit(380.0)) / F.lit(1000.0))
+    sg, sl = F.col("_sg").cast("double"), F.col("_sl").cast("double")
+    rsi = F.when(F.col("_cd") == F.lit(14),
+                 F.when(sl == F.lit(0.0), F.when(sg > F.lit(0.0), F.lit(100.0)))
+                 .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + sg / sl)))
+    df = df.withColumns({
+        "sma_20": sma20,
+        "sma_50": F.when(F.col("_c50") == F.lit(50), s50 / F.lit(50000.0)),
+        "rsi_14": rsi,
+        "atr_14": F.when(F.col("_ctr") == F.lit(14), F.col("_str").cast("double") / F.lit(14000.0)),
+        "bb_middle": sma20,
+        "bb_upper": sma20 + F.lit(2.0) * dev20,
+        "bb_lower": sma20 - F.lit(2.0) * dev20,
+        "volatility_20": dev20,
+    })
+    return df.drop("_cu", "_dcu", "_tr", "_obv", "_r_cu", "_r_cu2", "_n_cu", "_r_g", "_r_l", "_n_d",
+                   "_r_tr", "_n_tr", "_s20", "_c20", "_q20", "_s50", "_c50", "_sg", "_sl", "_cd",
+                   "_str", "_ctr")
+
+
+def technical_indicators(bars: DataFrame, keys: list[str] | None = None, order: str = "date",
+                         complete: bool = False) -> DataFrame:
     """All indicators of one daily bar table (``date, ticker, high, low,
-    close, volume``), one output row per input row."""
+    close, volume``), one output row per input row.
+
+    ``complete=True`` declares that no close is missing after a series'
+    first one (true of bars built by aggregation); the exponential averages
+    then share one block layout and one extra sort (``ewm_complete``), and a
+    violating row raises an error.  The default handles gaps exactly, at the
+    cost of a few more sorts."""
     keys = keys or ["ticker"]
-    w = series_window(keys, order)
-    close, high, low, vol = F.col("close"), F.col("high"), F.col("low"), F.col("volume")
-    mid, upper, lower = ind.bollinger(w, close, 20, 2.0)
-    df = bars.select(
-        order, *keys, "close", "high", "low", "volume",
-        ind.sma(w, close, 20).alias("sma_20"),
-        ind.sma(w, close, 50).alias("sma_50"),
-        ind.rsi(w, close, 14).alias("rsi_14"),
-        ind.atr(w, high, low, close, 14).alias("atr_14"),
-        ind.obv(w, close, vol).alias("obv"),
-        mid.alias("bb_middle"), upper.alias("bb_upper"), lower.alias("bb_lower"),
-        ind.rolling_std(w, close, 20).alias("volatility_20"),
-        *[c.alias(n) for n, c in fibonacci_columns(close, F.col(order), keys).items()],
-    )
-    df = df.withColumn("estado_fibonacci", fib_state(F.col("nivel_fib_cercano")))
-    p = "_close_t"
-    df = decay_terms(df, keys, order, "close", p)
-    for span, out in ((20, "ema_20"), (12, "_ema_short"), (26, "_ema_long")):
-        df = ewm_adjust_false(df, keys, order, "close", span, out, prefix=p)
-    df = drop_terms(df, p).withColumn("macd", F.col("_ema_short") - F.col("_ema_long"))
-    df = ewm_adjust_false(df, keys, order, "macd", 9, "macd_signal")
+    df = bars.select(order, *keys, "close", "high", "low", "volume")
+    fib = fibonacci_columns(F.col("close"), F.col(order), keys)
+    df = df.withColumns(fib).withColumn("estado_fibonacci", fib_state(F.col("nivel_fib_cercano")))
+    df = rolling_block(df, keys, order)
+    if complete:
+        df = _ema_family_complete(df, keys, order)
+    else:
+        p = "_close_t"
+        df = decay_terms(df, keys, order, "close", p)
+        for span, out in ((20, "ema_20"), (12, "_ema_short"), (26, "_ema_long")):
+            df = ewm_adjust_false(df, keys, order, "close", span, out, prefix=p)
+        df = drop_terms(df, p).withColumn("macd", F.col("_ema_short") - F.col("_ema_long"))
+        df = ewm_adjust_false(df, keys, order, "macd", 9, "macd_signal")
     df = df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
     return df.select(*[c if c not in ("date", "ticker") else
                        (order if c == "date" else keys[0]) for c in INDICATOR_COLUMNS])
 
 
+def _ema_family_complete(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """ema_20, macd (12 - 26) and its 9-row signal on one shared block layout."""
+    return _macd_complete(df, keys, order, "close", 12, 26, 9, {"ema_20": 20})
+
+
 def compare_ready(c: Column) -> Column:
     """Comparison form of a block-scanned value (see ``rounding.stable``)."""
     return stable(c)

@@ -129,17 +129,17 @@ def registry() -> dict[str, Query]:
                            "sma_50": lambda w: ind.sma(w, F.col("close"), 50)}),
         "bollinger": _bollinger,
         "volatility": _indicator({"volatility_20": lambda w: ind.rolling_std(w, F.col("close"), 20)}),
-        "ema": lambda s, sf: at_check_precision(ema(_prices(s, sf), "close", 20).select("date", "ticker", "close", "ema_20")),
-        "macd": lambda s, sf: at_check_precision(macd(_prices(s, sf)).select(
+        "ema": lambda s, sf: at_check_precision(ema(_prices(s, sf), "close", 20, complete=True).select("date", "ticker", "close", "ema_20")),
+        "macd": lambda s, sf: at_check_precision(macd(_prices(s, sf), complete=True).select(
             "date", "ticker", "close", "macd", "macd_signal", "macd_hist")),
         "rsi": _indicator({"rsi_14": lambda w: ind.rsi(w, F.col("close"), 14)}),
         "atr": _indicator({"atr_14": lambda w: ind.atr(w, F.col("high"), F.col("low"), F.col("close"), 14)}),
         "obv": _indicator({"obv": lambda w: ind.obv(w, F.col("close"), F.col("volume"))}),
         "fibonacci": lambda s, sf: fibonacci(_prices(s, sf)),
-        "technical_indicators": lambda s, sf: at_check_precision(technical_indicators(_prices(s, sf))),
+        "technical_indicators": lambda s, sf: at_check_precision(technical_indicators(_prices(s, sf), complete=True)),
         "returns": lambda s, sf: returns(tb.clean_prices(brand_bars(s, sf))),
         "investment_summary": lambda s, sf: investment_summary(
-            technical_indicators(_prices(s, sf)), fundamentals(s, sf)),
+            technical_indicators(_prices(s, sf), complete=True), fundamentals(s, sf)),
         "q01": lambda s, sf: analyst.q01_company(tb.empresas(s, sf), TICKER),
         "q02": lambda s, sf: analyst.q02_price_history(_one(s, sf, "ph"), TICKER),
         "q03": lambda s, sf: analyst.q03_fundamentals(tb.indicadores_fundamentales(s, sf), TICKER),

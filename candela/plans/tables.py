@@ -70,7 +70,8 @@ def indicadores_fundamentales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def indicadores_tecnicos(spark: SparkSession, sf_dir: str, tickers: Iterable[str] | None = None) -> DataFrame:
-    return technical_indicators(precios_historicos(spark, sf_dir, tickers))
+    # Bars come from an aggregation: a close is present on every row.
+    return technical_indicators(precios_historicos(spark, sf_dir, tickers), complete=True)
 
 
 def resumen_inversion(spark: SparkSession, sf_dir: str) -> DataFrame:
