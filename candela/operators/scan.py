@@ -124,7 +124,7 @@ def drop_terms(df: DataFrame, prefix: str) -> DataFrame:
 # Fast path: series without interior gaps.
 # ---------------------------------------------------------------------------
 
-def block_rows(spans: list[float], block_decay: float = 48.0, max_exponent: float = 600.0) -> int:
+def block_rows(spans: list[float], block_decay: float = 64.0, max_exponent: float = 600.0) -> int:
     """Rows per block shared by all ``spans``: every block damps the slowest
     average by at least ``exp(-block_decay)``, and the fastest one's in-block
     rescaling stays below ``exp(max_exponent)``."""
@@ -157,13 +157,14 @@ def ewm_complete(df: DataFrame, keys: list[str], order: str, value: str, spans:
     once, for series whose values are all present from their first
     observation on (leading missing rows are allowed and give null).
 
-    Needs the columns of ``add_blocks(.., prefix)``.  Inside a block,
-    ``local_t = d^j * sum(u_i d^-j_i)``; across blocks the value at the end of
-    block ``k-1`` is ``local_end(k-1) + d^b * local_end(k-2)`` (older blocks
-    are damped below ``exp(-2 * block_decay)``), read through two frames with
-    constant offsets, so one sort on (series, block, order) serves every span.
-    A missing value after the first observation raises an error instead of
-    silently taking this path.  Three projections whatever the span count."""
+    Needs the columns of ``add_blocks(.., prefix)`` with ``b`` from
+    ``block_rows``.  Inside a block ``local_t = d^j * sum(u_i d^-j_i)``; the
+    carry into a block is the previous block's last ``local``, damped by
+    ``d^(j+1)``.  What that drops, the carry into the previous block, is
+    damped by at least ``d^b <= exp(-block_decay)`` (1e-28), far below double
+    precision.  So each span costs two window functions over one sort on
+    (series, block, order).  A missing value after the first observation
+    raises an error instead of silently taking this path."""
     j, f, x, o = (F.col(f"{prefix}_j"), F.col(f"{prefix}_first"), F.col(value), F.col(order))
     started = f.isNotNull() & (o >= f)
     checked = F.when(x.isNull() & started & (o > f),
@@ -171,7 +172,8 @@ def ewm_complete(df: DataFrame, keys: list[str], order: str, value: str, spans:
                      ).otherwise(x)
     wb = (Window.partitionBy(*keys, f"{prefix}_blk").orderBy(order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    wo = Window.partitionBy(*keys).orderBy(f"{prefix}_blk", order)
+    wo = (Window.partitionBy(*keys).orderBy(f"{prefix}_blk", order)
+          .rowsBetween(Window.unboundedPreceding, -1))
     end = j == F.lit(b - 1)
     locs = {}
     for out, span in spans.items():
@@ -180,19 +182,12 @@ def ewm_complete(df: DataFrame, keys: list[str], order: str, value: str, spans:
         u = F.when(~started, F.lit(0.0)).when(o == f, checked).otherwise(F.lit(a) * checked)
         locs[f"_{out}_loc"] = F.pow(F.lit(d), j) * F.sum(u * F.pow(F.lit(1.0 / d), j)).over(wb)
     df = df.withColumns(locs)
-    prev = {}
-    for out in spans:
-        loc = F.col(f"_{out}_loc")
-        prev[f"_{out}_p1"] = F.last(F.when(end, loc), ignorenulls=True).over(
-            wo.rowsBetween(Window.unboundedPreceding, -1))
-        prev[f"_{out}_p2"] = F.last(F.when(end, loc), ignorenulls=True).over(
-            wo.rowsBetween(Window.unboundedPreceding, -(b + 1)))
-    df = df.withColumns(prev)
+    df = df.withColumns({f"_{out}_p1": F.last(F.when(end, F.col(f"_{out}_loc")), ignorenulls=True).over(wo)
+                         for out in spans})
     outs = {}
     for out, span in spans.items():
         d = 1.0 - 2.0 / (span + 1.0)
-        carry = (F.coalesce(F.col(f"_{out}_p1"), F.lit(0.0))
-                 + F.lit(d ** b) * F.coalesce(F.col(f"_{out}_p2"), F.lit(0.0)))
+        carry = F.coalesce(F.col(f"_{out}_p1"), F.lit(0.0))
         outs[out] = F.when(started, F.col(f"_{out}_loc") + F.pow(F.lit(d), j + F.lit(1)) * carry)
-    temps = [f"_{o_}_{t}" for o_ in spans for t in ("loc", "p1", "p2")]
+    temps = [f"_{o_}_{t}" for o_ in spans for t in ("loc", "p1")]
     return df.withColumns(outs).drop(*temps)

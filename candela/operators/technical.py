@@ -88,10 +88,15 @@ def _macd_complete(df: DataFrame, keys: list[str], order: str, value: str, short
 
 def fibonacci_columns(close: Column, order: Column, keys: list[str]) -> dict[str, Column]:
     """Levels over the whole history of the series (the same on every row),
-    the level nearest to the last close (first label on ties) and its state."""
+    the level nearest to the last close (first label on ties).  Returned as
+    expressions over three whole-series window values; use
+    :func:`with_fibonacci` to add them with each window evaluated once."""
     whole = Window.partitionBy(*keys)
-    hi = F.max(close).over(whole)
-    lo = F.min(close).over(whole)
+    return _fib_from(F.max(close).over(whole), F.min(close).over(whole),
+                     F.max_by(close, order).over(whole))
+
+
+def _fib_from(hi: Column, lo: Column, last_close: Column) -> dict[str, Column]:
     span = hi - lo
     levels = {}
     for name, _label, ratio in FIB_LEVELS:
@@ -101,14 +106,24 @@ def fibonacci_columns(close: Column, order: Column, keys: list[str]) -> dict[str
             levels[name] = lo
         else:
             levels[name] = hi - span * F.lit(ratio)
-    last_close = F.max_by(close, order).over(whole)
     candidates = F.array(*[
         F.struct(F.abs(last_close - levels[name]).alias("dist"), F.lit(i).alias("pos"),
                  F.lit(label).alias("label"))
         for i, (name, label, _r) in enumerate(FIB_LEVELS)
     ])
-    nearest = F.array_min(candidates).getField("label")
-    return {**levels, "nivel_fib_cercano": nearest}
+    return {**levels, "nivel_fib_cercano": F.array_min(candidates).getField("label")}
+
+
+def with_fibonacci(df: DataFrame, keys: list[str], order: str, close: str = "close") -> DataFrame:
+    """Add the six levels, the nearest level and its state (three window
+    functions over the whole series, then plain projections)."""
+    whole = Window.partitionBy(*keys)
+    c = F.col(close)
+    df = df.withColumns({"_fhi": F.max(c).over(whole), "_flo": F.min(c).over(whole),
+                         "_flast": F.max_by(c, F.col(order)).over(whole)})
+    df = df.withColumns(_fib_from(F.col("_fhi"), F.col("_flo"), F.col("_flast")))
+    return (df.withColumn("estado_fibonacci", fib_state(F.col("nivel_fib_cercano")))
+              .drop("_fhi", "_flo", "_flast"))
 
 
 def fib_state(level: Column) -> Column:
@@ -119,12 +134,10 @@ def fib_state(level: Column) -> Column:
 
 def fibonacci(bars: DataFrame, keys: list[str] | None = None, order: str = "date") -> DataFrame:
     keys = keys or ["ticker"]
-    cols = fibonacci_columns(F.col("close"), F.col(order), keys)
-    out = bars.select(order, *keys, "close", *[c.alias(n) for n, c in cols.items()])
-    return out.withColumn("estado_fibonacci", fib_state(F.col("nivel_fib_cercano")))
+    return with_fibonacci(bars.select(order, *keys, "close"), keys, order)
 
 
-def rolling_block(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+def rolling_block(df: DataFrame, keys: list[str], order: str, complete: bool = False) -> DataFrame:
     """SMA 20/50, RSI 14, ATR 14, OBV, Bollinger 20 and the 20-row deviation
     in three window passes over one sort.
 
@@ -134,37 +147,47 @@ def rolling_block(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     w = series_window(keys, order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cu, hu, lu = thousandths(F.col("close")), thousandths(F.col("high")), thousandths(F.col("low"))
-    prev_cu = F.lag(cu).over(w)
-    d_close = F.col("close") - F.lag("close").over(w)
+    df = df.withColumns({"_cu": cu, "_hu": hu, "_lu": lu, "_pc": F.lag("close").over(w)})
+    prev_cu = thousandths(F.col("_pc"))
+    d_close = F.col("close") - F.col("_pc")
+    hu, lu = F.col("_hu"), F.col("_lu")
     df = df.withColumns({
-        "_cu": cu,
-        "_dcu": cu - prev_cu,
+        "_dcu": F.col("_cu") - prev_cu,
         "_tr": F.greatest(hu - lu, F.abs(hu - prev_cu), F.abs(lu - prev_cu)),
         "_obv": (F.when(d_close > F.lit(0), F.col("volume")).when(d_close < F.lit(0), -F.col("volume"))
                  .when(d_close == F.lit(0), F.lit(0))).cast("bigint"),
     })
     dcu, cu_c = F.col("_dcu"), F.col("_cu")
-    df = df.withColumns({
+    sums = {
         "_r_cu": F.sum(cu_c).over(run),
         "_r_cu2": F.sum(cu_c.cast(EXACT) * cu_c.cast(EXACT)).over(run),
-        "_n_cu": F.count(cu_c).over(run),
         "_r_g": F.sum(clip_lower_zero(dcu)).over(run),
         "_r_l": F.sum(clip_lower_zero(-dcu)).over(run),
-        "_n_d": F.count(dcu).over(run),
         "_r_tr": F.sum("_tr").over(run),
-        "_n_tr": F.count("_tr").over(run),
         "obv": F.sum(F.coalesce(F.col("_obv"), F.lit(0).cast("bigint"))).over(run),
-    })
+    }
+    if complete:
+        # No missing close: the number of values in a trailing window follows
+        # from the row number alone.
+        sums["_rn"] = F.row_number().over(w)
+    else:
+        sums.update({"_n_cu": F.count(cu_c).over(run), "_n_d": F.count(dcu).over(run),
+                     "_n_tr": F.count("_tr").over(run)})
+    df = df.withColumns(sums)
 
     def last_n(col: str, n: int) -> Column:
         return F.col(col) - F.coalesce(F.lag(col, n).over(w), F.lit(0))
 
-    df = df.withColumns({
-        "_s20": last_n("_r_cu", 20), "_c20": last_n("_n_cu", 20), "_q20": last_n("_r_cu2", 20),
-        "_s50": last_n("_r_cu", 50), "_c50": last_n("_n_cu", 50),
-        "_sg": last_n("_r_g", 14), "_sl": last_n("_r_l", 14), "_cd": last_n("_n_d", 14),
-        "_str": last_n("_r_tr", 14), "_ctr": last_n("_n_tr", 14),
-    })
+    trailing = {"_s20": last_n("_r_cu", 20), "_q20": last_n("_r_cu2", 20), "_s50": last_n("_r_cu", 50),
+                "_sg": last_n("_r_g", 14), "_sl": last_n("_r_l", 14), "_str": last_n("_r_tr", 14)}
+    if complete:
+        rn = F.col("_rn")
+        trailing.update({"_c20": F.least(rn, F.lit(20)), "_c50": F.least(rn, F.lit(50)),
+                         "_cd": F.least(rn - F.lit(1), F.lit(14)), "_ctr": F.least(rn, F.lit(14))})
+    else:
+        trailing.update({"_c20": last_n("_n_cu", 20), "_c50": last_n("_n_cu", 50),
+                         "_cd": last_n("_n_d", 14), "_ctr": last_n("_n_tr", 14)})
+    df = df.withColumns(trailing)
     s20, s50 = F.col("_s20").cast("double"), F.col("_s50").cast("double")
     sma20 = F.when(F.col("_c20") == F.lit(20), s20 / F.lit(20000.0))
     numer = (F.lit(20).cast(EXACT) * F.col("_q20") - F.col("_s20").cast(EXACT) * F.col("_s20").cast(EXACT))
@@ -184,9 +207,9 @@ def rolling_block(df: DataFrame, keys: list[str], order: str) -> DataFrame:
         "bb_lower": sma20 - F.lit(2.0) * dev20,
         "volatility_20": dev20,
     })
-    return df.drop("_cu", "_dcu", "_tr", "_obv", "_r_cu", "_r_cu2", "_n_cu", "_r_g", "_r_l", "_n_d",
-                   "_r_tr", "_n_tr", "_s20", "_c20", "_q20", "_s50", "_c50", "_sg", "_sl", "_cd",
-                   "_str", "_ctr")
+    return df.drop("_cu", "_hu", "_lu", "_pc", "_dcu", "_tr", "_obv", "_r_cu", "_r_cu2", "_n_cu", "_r_g",
+                   "_r_l", "_n_d", "_r_tr", "_n_tr", "_s20", "_c20", "_q20", "_s50", "_c50", "_sg", "_sl",
+                   "_cd", "_str", "_ctr", "_rn")
 
 
 def technical_indicators(bars: DataFrame, keys: list[str] | None = None, order: str = "date",
@@ -201,9 +224,8 @@ def technical_indicators(bars: DataFrame, keys: list[str] | None = None, order:
     cost of a few more sorts."""
     keys = keys or ["ticker"]
     df = bars.select(order, *keys, "close", "high", "low", "volume")
-    fib = fibonacci_columns(F.col("close"), F.col(order), keys)
-    df = df.withColumns(fib).withColumn("estado_fibonacci", fib_state(F.col("nivel_fib_cercano")))
-    df = rolling_block(df, keys, order)
+    df = rolling_block(df, keys, order, complete)
+    df = with_fibonacci(df, keys, order)
     if complete:
         df = _ema_family_complete(df, keys, order)
     else:
