@@ -80,3 +80,32 @@ def resumen_inversion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def precios_variaciones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return returns(precios_historicos(spark, sf_dir))
+
+
+def build_universe(quotes: DataFrame, k: int = 500) -> DataFrame:
+    """Listing of the ``k`` largest companies by market cap (ties by
+    ticker) from (symbol, quote JSON) rows: normalised tickers, missing
+    name/sector/industry as '', missing market cap as 0."""
+    from candela.operators.ranking import top_k
+    from candela.sources.landed import universe_from_quotes
+    uni = universe_from_quotes(quotes)
+    return top_k(uni, [F.col("market_cap").desc(), F.col("ticker").asc()], k)
+
+
+def fundamentals_from_quotes(quotes: DataFrame, symbol: str = "ticker", payload: str = "quote",
+                             failed: str | None = None) -> DataFrame:
+    """Fundamentals snapshot from (ticker, quote JSON): the eleven keys
+    renamed to columns, a missing key -> null, an unreadable document -> an
+    all-null row; rows flagged in ``failed`` (a fetch that errored) are
+    dropped."""
+    from candela.sources.landed import parse_quote, quote_columns
+    df = quotes.filter(~F.col(failed)) if failed else quotes
+    cols = quote_columns(parse_quote(F.col(payload)), with_defaults=False)
+    return df.select(F.col(symbol).alias("ticker"), *cols.values())
+
+
+def bootstrap_history(wide: DataFrame, sep: str = "|", date: str = "date") -> DataFrame:
+    """Long price history from a landed wide file (one column per
+    ticker and field)."""
+    from candela.sources.reshape import wide_to_long
+    return clean_prices(wide_to_long(wide, sep=sep, date=date))
