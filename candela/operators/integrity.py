@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 
 def orphans(child: DataFrame, parent: DataFrame, key: str = "ticker", date: str = "date") -> DataFrame:
     """Child keys with no parent row (a foreign key that would fail): one
-    row per orphan key with its row count and date range."""
-    missing = child.join(parent.select(key).distinct(), key, "left_anti")
-    return missing.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"),
-                                    F.min(date).alias("first_date"), F.max(date).alias("last_date"))
+    row per orphan key with its row count and date range.
+
+    The child is summarised per key first (partial aggregation on the map
+    side, so a key holding a large share of the rows never travels as rows);
+    only the per-key summary meets the parent's distinct keys."""
+    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.min(date).alias("first_date"), F.max(date).alias("last_date"))
+    return per_key.join(parent.select(key).distinct(), key, "left_anti")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

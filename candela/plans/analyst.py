@@ -1,8 +1,8 @@
 """The twelve analyst queries, parameterised by ticker and reference date.
 
-Each takes the stored tables as DataFrames.  ``as_of`` replaces
-``CURRENT_DATE``; a Column (for instance a scalar subquery over the prices)
-or a date.  Descending orders put nulls first, as the database they were
+Each takes the stored tables as DataFrames.  ``as_of`` stands for
+``CURRENT_DATE`` (the default): a Column (for instance a scalar subquery over
+the prices) or a date.  Descending orders put nulls first, as the database they were
 written for does.
 """
 
@@ -15,6 +15,8 @@ from candela.functions.rounding import stable
 
 
 def _lit(x) -> Column:
+    if x is None:
+        return F.current_date()
     return x if isinstance(x, Column) else F.lit(x)
 
 
@@ -34,12 +36,12 @@ def q03_fundamentals(fundamentales: DataFrame, ticker: str) -> DataFrame:
     return fundamentales.filter(F.col("ticker") == ticker)
 
 
-def q04_recent_indicators(tecnicos: DataFrame, ticker: str, as_of, days: int = 30) -> DataFrame:
+def q04_recent_indicators(tecnicos: DataFrame, ticker: str, as_of=None, days: int = 30) -> DataFrame:
     return (tecnicos.filter((F.col("ticker") == ticker) & (F.col("date") >= _since(as_of, days)))
             .orderBy(F.col("date").desc_nulls_first()))
 
 
-def q05_price_sma_ema(precios: DataFrame, tecnicos: DataFrame, ticker: str, as_of,
+def q05_price_sma_ema(precios: DataFrame, tecnicos: DataFrame, ticker: str, as_of=None,
                       days: int = 60) -> DataFrame:
     ph = precios.filter((F.col("ticker") == ticker) & (F.col("date") >= _since(as_of, days)))
     it = tecnicos.select("ticker", "date", "sma_20", "ema_20")
