@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_DECAY = 64.0
@@ -135,13 +135,21 @@ def block_rows(spans: list[float], block_decay: float = 64.0, max_exponent: floa
     return b
 
 
-def add_blocks(df: DataFrame, keys: list[str], order: str, value: str, b: int, prefix: str) -> DataFrame:
+def first_present(value: str, order: str, keys: list[str]) -> Column:
+    """``order`` of the first row with a present ``value``, per series."""
+    return F.min(F.when(F.col(value).isNotNull(), F.col(order))).over(Window.partitionBy(*keys))
+
+
+def add_blocks(df: DataFrame, keys: list[str], order: str, value: str, b: int, prefix: str,
+               rn: str | None = None, first: str | None = None) -> DataFrame:
     """Per series: row number, date of the first present ``value``, block id
-    and in-block position (blocks of ``b`` rows).  Two projections."""
+    and in-block position (blocks of ``b`` rows).  Existing row-number /
+    first-date columns can be passed in (``rn``, ``first``) to save their
+    window passes."""
     w = Window.partitionBy(*keys).orderBy(order)
     df = df.withColumns({
-        f"{prefix}_rn": F.row_number().over(w),
-        f"{prefix}_first": F.min(F.when(F.col(value).isNotNull(), F.col(order))).over(Window.partitionBy(*keys)),
+        f"{prefix}_rn": F.col(rn) if rn else F.row_number().over(w),
+        f"{prefix}_first": F.col(first) if first else first_present(value, order, keys),
     })
     rn0 = F.col(f"{prefix}_rn") - F.lit(1)
     return df.withColumns({f"{prefix}_blk": F.floor(rn0 / F.lit(b)), f"{prefix}_j": rn0 % F.lit(b)})

@@ -18,6 +18,7 @@ from candela.functions.rolling import EXACT, clip_lower_zero, series_window, tho
 from candela.functions.rounding import stable
 from candela.operators.scan import (
     add_blocks, block_rows, decay_terms, drop_blocks, drop_terms, ewm_adjust_false, ewm_complete,
+    first_present,
 )
 
 INDICATOR_COLUMNS = [
@@ -74,11 +75,12 @@ def macd(df: DataFrame, value: str = "close", short: int = 12, long: int = 26, s
 
 
 def _macd_complete(df: DataFrame, keys: list[str], order: str, value: str, short: int, long: int,
-                   signal: int, extra: dict[str, float] | None = None) -> DataFrame:
+                   signal: int, extra: dict[str, float] | None = None, rn: str | None = None,
+                   first: str | None = None) -> DataFrame:
     """MACD line and signal (and any ``extra`` spans of ``value``) on one
     shared block layout: one sort for all of them."""
     b = block_rows([short, long, signal, *(extra or {}).values()])
-    df = add_blocks(df, keys, order, value, b, "_eb")
+    df = add_blocks(df, keys, order, value, b, "_eb", rn=rn, first=first)
     df = ewm_complete(df, keys, order, value, {"_ema_short": short, "_ema_long": long, **(extra or {})},
                       "_eb", b)
     df = df.withColumn("macd", F.col("_ema_short") - F.col("_ema_long"))
@@ -114,13 +116,15 @@ def _fib_from(hi: Column, lo: Column, last_close: Column) -> dict[str, Column]:
     return {**levels, "nivel_fib_cercano": F.array_min(candidates).getField("label")}
 
 
-def with_fibonacci(df: DataFrame, keys: list[str], order: str, close: str = "close") -> DataFrame:
+def with_fibonacci(df: DataFrame, keys: list[str], order: str, close: str = "close",
+                   extra: dict[str, Column] | None = None) -> DataFrame:
     """Add the six levels, the nearest level and its state (three window
-    functions over the whole series, then plain projections)."""
+    functions over the whole series, then plain projections).  ``extra``
+    whole-series window columns are evaluated in the same pass."""
     whole = Window.partitionBy(*keys)
     c = F.col(close)
     df = df.withColumns({"_fhi": F.max(c).over(whole), "_flo": F.min(c).over(whole),
-                         "_flast": F.max_by(c, F.col(order)).over(whole)})
+                         "_flast": F.max_by(c, F.col(order)).over(whole), **(extra or {})})
     df = df.withColumns(_fib_from(F.col("_fhi"), F.col("_flo"), F.col("_flast")))
     return (df.withColumn("estado_fibonacci", fib_state(F.col("nivel_fib_cercano")))
               .drop("_fhi", "_flo", "_flast"))
@@ -137,7 +141,8 @@ def fibonacci(bars: DataFrame, keys: list[str] | None = None, order: str = "date
     return with_fibonacci(bars.select(order, *keys, "close"), keys, order)
 
 
-def rolling_block(df: DataFrame, keys: list[str], order: str, complete: bool = False) -> DataFrame:
+def rolling_block(df: DataFrame, keys: list[str], order: str, complete: bool = False,
+                  keep_rn: bool = False) -> DataFrame:
     """SMA 20/50, RSI 14, ATR 14, OBV, Bollinger 20 and the 20-row deviation
     in three window passes over one sort.
 
@@ -209,7 +214,7 @@ def rolling_block(df: DataFrame, keys: list[str], order: str, complete: bool = F
     })
     return df.drop("_cu", "_hu", "_lu", "_pc", "_dcu", "_tr", "_obv", "_r_cu", "_r_cu2", "_n_cu", "_r_g",
                    "_r_l", "_n_d", "_r_tr", "_n_tr", "_s20", "_c20", "_q20", "_s50", "_c50", "_sg", "_sl",
-                   "_cd", "_str", "_ctr", "_rn")
+                   "_cd", "_str", "_ctr", *([] if keep_rn and complete else ["_rn"]))
 
 
 def technical_indicators(bars: DataFrame, keys: list[str] | None = None, order: str = "date",
@@ -224,11 +229,14 @@ def technical_indicators(bars: DataFrame, keys: list[str] | None = None, order:
     cost of a few more sorts."""
     keys = keys or ["ticker"]
     df = bars.select(order, *keys, "close", "high", "low", "volume")
-    df = rolling_block(df, keys, order, complete)
-    df = with_fibonacci(df, keys, order)
+    df = rolling_block(df, keys, order, complete, keep_rn=complete)
     if complete:
-        df = _ema_family_complete(df, keys, order)
+        # the row number of the rolling pass and the first-date column (one
+        # more function in the whole-series pass) feed the block layout
+        df = with_fibonacci(df, keys, order, extra={"_first": first_present("close", order, keys)})
+        df = _ema_family_complete(df, keys, order, rn="_rn", first="_first").drop("_rn", "_first")
     else:
+        df = with_fibonacci(df, keys, order)
         p = "_close_t"
         df = decay_terms(df, keys, order, "close", p)
         for span, out in ((20, "ema_20"), (12, "_ema_short"), (26, "_ema_long")):
@@ -240,9 +248,10 @@ def technical_indicators(bars: DataFrame, keys: list[str] | None = None, order:
                        (order if c == "date" else keys[0]) for c in INDICATOR_COLUMNS])
 
 
-def _ema_family_complete(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+def _ema_family_complete(df: DataFrame, keys: list[str], order: str, rn: str | None = None,
+                         first: str | None = None) -> DataFrame:
     """ema_20, macd (12 - 26) and its 9-row signal on one shared block layout."""
-    return _macd_complete(df, keys, order, "close", 12, 26, 9, {"ema_20": 20})
+    return _macd_complete(df, keys, order, "close", 12, 26, 9, {"ema_20": 20}, rn=rn, first=first)
 
 
 def compare_ready(c: Column) -> Column:
