@@ -180,9 +180,9 @@ EMA_REC = f"""ema_rec AS (
 P = CHECK_DECIMALS
 INDICATORS = f"""ind AS (
   SELECT f.date, f.ticker, f.close, f.sma_20, f.sma_50,
-         round(e.e20, {P}) AS ema_20, f.rsi_14,
-         round(e.e12 - e.e26, {P}) AS macd, round(e.sig, {P}) AS macd_signal,
-         round((e.e12 - e.e26) - e.sig, {P}) AS macd_hist,
+         round(e.e20, {P}) + {_d(0.0)} AS ema_20, f.rsi_14,
+         round(e.e12 - e.e26, {P}) + {_d(0.0)} AS macd, round(e.sig, {P}) + {_d(0.0)} AS macd_signal,
+         round((e.e12 - e.e26) - e.sig, {P}) + {_d(0.0)} AS macd_hist,
          f.atr_14, f.obv, f.bb_middle, f.bb_upper, f.bb_lower, f.volatility_20,
          f.fib_0_0, f.fib_23_6, f.fib_38_2, f.fib_50_0, f.fib_61_8, f.fib_100,
          f.nivel_fib_cercano, f.estado_fibonacci,
@@ -358,7 +358,7 @@ def build() -> dict[str, str]:
                 f"WHERE ph.ticker = {T} ORDER BY ph.date DESC LIMIT 1")
     q["q12"] = (f"{ind_chain} SELECT it.date, it.ticker, ph.close AS precio_actual, "
                 f"round(it.rsi_14, 2) AS rsi_14, round(it.volatility_20, 2) AS volatilidad_20, "
-                f"round(it.macd_raw, 4) AS macd, round(it.macd_signal_raw, 4) AS macd_signal, "
+                f"round(it.macd_raw, 4) + {_d(0.0)} AS macd, round(it.macd_signal_raw, 4) + {_d(0.0)} AS macd_signal, "
                 f"CASE WHEN {_stable('it.macd_raw')} > {_stable('it.macd_signal_raw')} THEN 'MACD: Señal de COMPRA' "
                 f"WHEN {_stable('it.macd_raw')} < {_stable('it.macd_signal_raw')} THEN 'MACD: Señal de VENTA' "
                 f"ELSE 'MACD: Neutro' END AS estado_macd, "
