@@ -13,9 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candela.functions import indicators as ind
 from candela.functions.rolling import EXACT, clip_lower_zero, series_window, thousandths
-from candela.functions.rounding import stable
 from candela.operators.scan import (
     add_blocks, block_rows, decay_terms, drop_blocks, drop_terms, ewm_adjust_false, ewm_complete,
     first_present,
@@ -252,8 +250,3 @@ def _ema_family_complete(df: DataFrame, keys: list[str], order: str, rn: str | N
                          first: str | None = None) -> DataFrame:
     """ema_20, macd (12 - 26) and its 9-row signal on one shared block layout."""
     return _macd_complete(df, keys, order, "close", 12, 26, 9, {"ema_20": 20}, rn=rn, first=first)
-
-
-def compare_ready(c: Column) -> Column:
-    """Comparison form of a block-scanned value (see ``rounding.stable``)."""
-    return stable(c)

@@ -28,11 +28,13 @@ from candela.plans import tables as tb
 from candela.sources.bars import brand_bars, supplier_bars
 from candela.sources.landed import parse_quote, quote_columns
 from candela.sources.reference import companies, fundamentals
-from candela.sources.reshape import long_to_wide, wide_to_long
+from candela.sources.reshape import bounded_values, long_to_wide, wide_to_long
 from candela.sources.tables import read_table
 
 TICKER = "S000001"
-WIDE_TICKERS = ["S000001", "S000002", "S000003", "S000004", "S000005"]
+# The wide layout has one column per (ticker, field); its ticker list must be
+# small.  Brands are a fixed-size dimension (25 at every scale factor).
+MAX_WIDE_TICKERS = 1000
 BATCH1_END = dt.date(1999, 12, 31)
 BATCH2_START = dt.date(1999, 6, 1)
 REFRESH_AS_OF = dt.date(2000, 12, 31)
@@ -87,8 +89,11 @@ def _quote_map_defaults(spark, sf):
 
 
 def _wide_to_long(spark, sf):
-    p = _prices(spark, sf, WIDE_TICKERS)
-    wide = long_to_wide(p, WIDE_TICKERS)
+    """All brand bars through the wide layout (one column per brand and
+    field) and back."""
+    p = tb.clean_prices(brand_bars(spark, sf))
+    brands = bounded_values(read_table(spark, sf, "part"), "p_brand", MAX_WIDE_TICKERS)
+    wide = long_to_wide(p, brands)
     long = wide_to_long(wide)
     return long.select("date", "ticker", "open", "high", "low", "close",
                        F.col("volume").cast("bigint").alias("volume"))

@@ -9,7 +9,7 @@ block-scanned Spark form.
 from __future__ import annotations
 
 from candela.plans.catalog import (
-    BATCH1_END, BATCH2_START, CHECK_DECIMALS, REFRESH_AS_OF, TICKER, WIDE_TICKERS,
+    BATCH1_END, BATCH2_START, CHECK_DECIMALS, REFRESH_AS_OF, TICKER,
 )
 
 LINE_ORDER = "row(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice)"
@@ -285,10 +285,6 @@ def _quote_col(key, name, typ, default):
     return f"{v} AS {name}"
 
 
-def _wide_ticker_list() -> str:
-    return ", ".join(f"'{t}'" for t in WIDE_TICKERS)
-
-
 def build() -> dict[str, str]:
     ind_chain = _with(*IND_CHAIN, recursive=True)
     roll = _with(*ROLL_CHAIN)
@@ -298,8 +294,7 @@ def build() -> dict[str, str]:
     q["clean_prices"] = f"{_with(BARS, PRICES)} SELECT * FROM prices"
     q["quote_map_defaults"] = ("SELECT event_id, " + ", ".join(_quote_col(*k) for k in QUOTE_KEYS)
                                + ", CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
-    q["wide_to_long"] = (f"{_with(BARS, PRICES)} SELECT date, ticker, open, high, low, close, volume "
-                         f"FROM prices WHERE ticker IN ({_wide_ticker_list()})")
+    q["wide_to_long"] = f"{_with(BRAND_BARS, PRICES)} SELECT date, ticker, open, high, low, close, volume FROM prices"
     q["daily_refresh"] = (f"{_with(BARS, PRICES, BATCHES)} SELECT * FROM b1 UNION ALL "
                           f"SELECT * FROM b2 WHERE date >= (SELECT max(date) FROM b1) + INTERVAL 1 DAY "
                           f"AND date < DATE '{REFRESH_AS_OF}' + INTERVAL 1 DAY")

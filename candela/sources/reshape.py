@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 FIELDS = ["open", "high", "low", "close", "volume"]
 
 
+def bounded_values(df: DataFrame, col: str, max_values: int) -> list[str]:
+    """Sorted distinct non-null values of ``col`` for a layout that needs them
+    as column names; more than ``max_values`` is an error (checked with a
+    distinct aggregate limited to ``max_values + 1`` rows)."""
+    rows = (df.select(col).filter(F.col(col).isNotNull()).distinct()
+              .limit(max_values + 1).collect())
+    if len(rows) > max_values:
+        raise ValueError(f"{col} has more than {max_values} values; too many for a wide layout")
+    return sorted(r[0] for r in rows)
+
+
 def long_to_wide(df: DataFrame, tickers: list[str], fields: list[str] | None = None,
                  sep: str = "|", date: str = "date") -> DataFrame:
     """Pivot long bars to one row per date (fixed ticker list, so the pivot
