@@ -20,6 +20,13 @@ series is cut into *decay blocks*: block ``b`` holds the rows with
 Every step is a window over the series' own partition: no arrays, no
 collection of a series into one value, no Python.  The number of blocks grows
 with the total decay, not with the row count per se.
+
+Two entry points:
+
+* ``ewm_adjust_false``: exponential means with missing values kept in place
+  (the gap-aware recurrence, through ``decayed_scan``), one span at a time;
+* ``ewm_complete``: series without interior gaps, several spans sharing one
+  fixed-size block layout (``block_rows`` / ``add_blocks``) and one sort.
 """
 
 from __future__ import annotations
@@ -40,17 +47,21 @@ def decayed_scan(df: DataFrame, keys: list[str], order: str, log_decay: str, ter
     w = Window.partitionBy(*keys).orderBy(order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     blk, e, loc, end = f"_{out}_blk", f"_{out}_e", f"_{out}_loc", f"_{out}_end"
-    pl, pL, yend, carry = f"_{out}_pl", f"_{out}_pL", f"_{out}_yend", f"_{out}_carry"
+    pl, pL, yend, carry = f"_{out}_prev_loc", f"_{out}_prev_decay", f"_{out}_yend", f"_{out}_carry"
 
     L = F.col(log_decay)
-    df = df.withColumn(blk, F.floor(-L / F.lit(T))).withColumn(e, L + F.col(blk) * F.lit(T))
+    floor_blk = F.floor(-L / F.lit(T))
+    df = df.withColumns({blk: floor_blk, e: L + floor_blk * F.lit(T)})
     wb = Window.partitionBy(*keys, blk).orderBy(order).rowsBetween(Window.unboundedPreceding,
                                                                      Window.currentRow)
-    df = df.withColumn(loc, F.exp(F.col(e)) * F.sum(F.col(term) * F.exp(-F.col(e))).over(wb))
-    nxt = F.lead(F.col(blk)).over(w)
-    df = df.withColumn(end, F.coalesce(nxt != F.col(blk), F.lit(True)))
-    df = (df.withColumn(pl, F.last(F.when(F.col(end), F.col(loc)), ignorenulls=True).over(before))
-            .withColumn(pL, F.last(F.when(F.col(end), L), ignorenulls=True).over(before)))
+    df = df.withColumns({
+        loc: F.exp(F.col(e)) * F.sum(F.col(term) * F.exp(-F.col(e))).over(wb),
+        end: F.coalesce(F.lead(F.col(blk)).over(w) != F.col(blk), F.lit(True)),
+    })
+    df = df.withColumns({
+        pl: F.last(F.when(F.col(end), F.col(loc)), ignorenulls=True).over(before),
+        pL: F.last(F.when(F.col(end), L), ignorenulls=True).over(before),
+    })
     damp = F.exp(L - F.col(pL))
     df = df.withColumn(yend, F.col(loc) + F.coalesce(damp * F.col(pl), F.lit(0.0)))
     df = df.withColumn(carry, F.last(F.when(F.col(end), F.col(yend)), ignorenulls=True).over(before))

@@ -172,3 +172,23 @@ def test_returns_unaffected_by_other_tickers(spark):
 def test_dates_are_dates(spark):
     r = returns(make_bars(spark, {"A": [1.0, 2.0]}, start=dt.date(2001, 1, 1))).first()
     assert r.date == dt.date(2001, 1, 1)
+
+
+@pytest.mark.parametrize("span", [3, 9, 26])
+def test_gap_aware_average_with_long_gaps(spark, span):
+    """Runs of missing values make short, uneven decay blocks, where the
+    carry from two blocks back matters; compare with pandas."""
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(span)
+    xs = []
+    while len(xs) < 2500:
+        xs += [float(v) for v in rng.uniform(10, 90, int(rng.integers(1, 30)))]
+        xs += [None] * int(rng.integers(0, 60))
+    df = spark.createDataFrame([("G", i, x) for i, x in enumerate(xs)], "ticker string, date int, x double")
+    got = np.array([r.y for r in ewm_adjust_false(df, ["ticker"], "date", "x", span, "y").orderBy("date").collect()],
+                   dtype=float)
+    ref = pd.Series(xs, dtype=float).ewm(span=span, adjust=False).mean().to_numpy()
+    assert (np.isnan(got) == np.isnan(ref)).all()
+    m = ~np.isnan(ref)
+    np.testing.assert_allclose(got[m], ref[m], rtol=1e-10)
