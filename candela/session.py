@@ -48,3 +48,30 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     path = fallback or os.path.join("/tmp", f"candela-checkpoints-{os.getpid()}")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def cluster_settings(input_bytes: float, executors: int, cores_per_executor: int,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested settings for a run over ``input_bytes`` of line items (the
+    caller applies them when building its session; library code never
+    changes a session).
+
+    * initial shuffle partitions: about one per ``target_partition_bytes`` of
+      input (the bar shuffle is about the size of the projected input), at
+      least two waves of tasks; AQE then coalesces them to the advisory size;
+    * file splits of 256 MiB keep scan tasks well inside executor memory;
+    * AQE skew handling splits any shuffle partition over 5x the median.
+    """
+    slots = executors * cores_per_executor
+    partitions = max(2 * slots, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
