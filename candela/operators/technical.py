@@ -116,13 +116,17 @@ def _fib_from(hi: Column, lo: Column, last_close: Column) -> dict[str, Column]:
 
 def with_fibonacci(df: DataFrame, keys: list[str], order: str, close: str = "close",
                    extra: dict[str, Column] | None = None) -> DataFrame:
-    """Add the six levels, the nearest level and its state (three window
-    functions over the whole series, then plain projections).  ``extra``
-    whole-series window columns are evaluated in the same pass."""
-    whole = Window.partitionBy(*keys)
+    """Add the six levels, the nearest level and its state.
+
+    The three whole-series values use the series' date order with a full
+    frame (``last`` over it is the last close), i.e. the same window spec as
+    the rolling pass, so Spark evaluates them in that pass's Window operator.
+    ``extra`` columns over the same full frame join them."""
+    full = (Window.partitionBy(*keys).orderBy(order)
+            .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     c = F.col(close)
-    df = df.withColumns({"_fhi": F.max(c).over(whole), "_flo": F.min(c).over(whole),
-                         "_flast": F.max_by(c, F.col(order)).over(whole), **(extra or {})})
+    df = df.withColumns({"_fhi": F.max(c).over(full), "_flo": F.min(c).over(full),
+                         "_flast": F.last(c).over(full), **(extra or {})})
     df = df.withColumns(_fib_from(F.col("_fhi"), F.col("_flo"), F.col("_flast")))
     return (df.withColumn("estado_fibonacci", fib_state(F.col("nivel_fib_cercano")))
               .drop("_fhi", "_flo", "_flast"))
@@ -140,7 +144,7 @@ def fibonacci(bars: DataFrame, keys: list[str] | None = None, order: str = "date
 
 
 def rolling_block(df: DataFrame, keys: list[str], order: str, complete: bool = False,
-                  keep_rn: bool = False) -> DataFrame:
+                  keep_rn: bool = False, prev_close: str | None = None) -> DataFrame:
     """SMA 20/50, RSI 14, ATR 14, OBV, Bollinger 20 and the 20-row deviation
     in three window passes over one sort.
 
@@ -150,7 +154,8 @@ def rolling_block(df: DataFrame, keys: list[str], order: str, complete: bool = F
     w = series_window(keys, order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cu, hu, lu = thousandths(F.col("close")), thousandths(F.col("high")), thousandths(F.col("low"))
-    df = df.withColumns({"_cu": cu, "_hu": hu, "_lu": lu, "_pc": F.lag("close").over(w)})
+    df = df.withColumns({"_cu": cu, "_hu": hu, "_lu": lu,
+                         "_pc": F.col(prev_close) if prev_close else F.lag("close").over(w)})
     prev_cu = thousandths(F.col("_pc"))
     d_close = F.col("close") - F.col("_pc")
     hu, lu = F.col("_hu"), F.col("_lu")
@@ -227,14 +232,19 @@ def technical_indicators(bars: DataFrame, keys: list[str] | None = None, order:
     cost of a few more sorts."""
     keys = keys or ["ticker"]
     df = bars.select(order, *keys, "close", "high", "low", "volume")
-    df = rolling_block(df, keys, order, complete, keep_rn=complete)
+    full = (Window.partitionBy(*keys).orderBy(order)
+            .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    first = {"_first": F.min(F.when(F.col("close").isNotNull(), F.col(order))).over(full)} if complete else {}
+    # whole-series values and the previous close in one window pass
+    prev = {"_prev_close": F.lag("close").over(Window.partitionBy(*keys).orderBy(order))}
+    df = with_fibonacci(df, keys, order, extra={**first, **prev})
+    df = rolling_block(df, keys, order, complete, keep_rn=complete, prev_close="_prev_close")
+    df = df.drop("_prev_close")
     if complete:
-        # the row number of the rolling pass and the first-date column (one
-        # more function in the whole-series pass) feed the block layout
-        df = with_fibonacci(df, keys, order, extra={"_first": first_present("close", order, keys)})
+        # the row number of the rolling pass and the first-date column feed the
+        # block layout of the averages
         df = _ema_family_complete(df, keys, order, rn="_rn", first="_first").drop("_rn", "_first")
     else:
-        df = with_fibonacci(df, keys, order)
         p = "_close_t"
         df = decay_terms(df, keys, order, "close", p)
         for span, out in ((20, "ema_20"), (12, "_ema_short"), (26, "_ema_long")):
