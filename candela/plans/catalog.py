@@ -159,9 +159,13 @@ def registry() -> dict[str, Query]:
         "q10": lambda s, sf: at_check_precision(analyst.q10_trading_alert(_one(s, sf, "tec"), _one(s, sf, "ph"), TICKER)),
         "q11": lambda s, sf: analyst.q11_latest_vs_bollinger(_one(s, sf, "ph"), _one(s, sf, "tec"), TICKER),
         "q12": lambda s, sf: analyst.q12_dashboard(_one(s, sf, "tec"), _one(s, sf, "ph"), TICKER),
-        "upsert_update": lambda s, sf: merge.merge_update(*_batches(s, sf), ["date", "ticker"]),
-        "upsert_ignore": lambda s, sf: merge.merge_ignore(*_batches(s, sf), ["date", "ticker"]),
-        "upsert_incremental": lambda s, sf: merge.merge_incremental(*_batches(s, sf), ["date", "ticker"]),
+        # the batches are bars: one row per (date, ticker) by construction
+        "upsert_update": lambda s, sf: merge.merge_update(*_batches(s, sf), ["date", "ticker"],
+                                                          unique_source=True),
+        "upsert_ignore": lambda s, sf: merge.merge_ignore(*_batches(s, sf), ["date", "ticker"],
+                                                          unique_source=True),
+        "upsert_incremental": lambda s, sf: merge.merge_incremental(*_batches(s, sf), ["date", "ticker"],
+                                                                    unique_source=True),
         "orphans": lambda s, sf: orphans(_prices(s, sf), fundamentals(s, sf)),
         "duplicate_keys": lambda s, sf: duplicate_keys(read_table(s, sf, "lineitem"), ["l_orderkey", "l_linenumber"]),
     }
