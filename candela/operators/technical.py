@@ -86,16 +86,6 @@ def _macd_complete(df: DataFrame, keys: list[str], order: str, value: str, short
     return drop_blocks(df, "_eb").drop("_ema_short", "_ema_long")
 
 
-def fibonacci_columns(close: Column, order: Column, keys: list[str]) -> dict[str, Column]:
-    """Levels over the whole history of the series (the same on every row),
-    the level nearest to the last close (first label on ties).  Returned as
-    expressions over three whole-series window values; use
-    :func:`with_fibonacci` to add them with each window evaluated once."""
-    whole = Window.partitionBy(*keys)
-    return _fib_from(F.max(close).over(whole), F.min(close).over(whole),
-                     F.max_by(close, order).over(whole))
-
-
 def _fib_from(hi: Column, lo: Column, last_close: Column) -> dict[str, Column]:
     span = hi - lo
     levels = {}

@@ -122,3 +122,16 @@ def test_load_table_empty_delta(spark):
     p = make_bars(spark, {"A": [1.0, 2.0]})
     assert load_table(store, "precios_historicos", p, 1).written
     assert not load_table(store, "precios_historicos", p, 2).written
+
+
+def test_file_sinks_overwrite(spark):
+    from candela.sinks import write_csv, write_parquet
+    d = scratch()
+    bars = make_bars(spark, {"A": [1.0, 2.0], "B": [3.0, 4.0]})
+    for _ in range(2):  # a rerun overwrites instead of appending
+        write_csv(bars, os.path.join(d, "csv"))
+        write_parquet(bars, os.path.join(d, "pq"), partition_by=["ticker"])
+    back = spark.read.option("header", True).csv(os.path.join(d, "csv"))
+    assert back.count() == 4 and back.columns[:2] == ["date", "ticker"]
+    pq = spark.read.parquet(os.path.join(d, "pq"))
+    assert pq.count() == 4 and sorted(r.ticker for r in pq.select("ticker").distinct().collect()) == ["A", "B"]
