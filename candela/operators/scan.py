@@ -39,34 +39,54 @@ from pyspark.sql import functions as F
 BLOCK_DECAY = 64.0
 
 
-def decayed_scan(df: DataFrame, keys: list[str], order: str, log_decay: str, term: str,
-                 out: str, block_decay: float = BLOCK_DECAY) -> DataFrame:
-    """Add column ``out`` = the recurrence defined by the running log-decay
-    column ``log_decay`` (non-increasing per series) and the input ``term``."""
+def decayed_scan(df: DataFrame, keys: list[str], order: str, series: dict[str, tuple[str, str]],
+                 block_decay: float = BLOCK_DECAY) -> DataFrame:
+    """Add one column per entry of ``series`` (``out -> (log_decay, term)``):
+    the recurrence defined by the running log-decay column (non-increasing
+    per series) and the input column.  Each output has its own decay blocks
+    (one sort each for the in-block sums); the block ends, look-backs and
+    carries of all outputs share three window passes."""
     T = float(block_decay)
     w = Window.partitionBy(*keys).orderBy(order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    blk, e, loc, end = f"_{out}_blk", f"_{out}_e", f"_{out}_loc", f"_{out}_end"
-    pl, pL, yend, carry = f"_{out}_prev_loc", f"_{out}_prev_decay", f"_{out}_yend", f"_{out}_carry"
-
-    L = F.col(log_decay)
-    floor_blk = F.floor(-L / F.lit(T))
-    df = df.withColumns({blk: floor_blk, e: L + floor_blk * F.lit(T)})
-    wb = Window.partitionBy(*keys, blk).orderBy(order).rowsBetween(Window.unboundedPreceding,
-                                                                     Window.currentRow)
+
+    def n(out: str, part: str) -> str:
+        return f"_{out}_{part}"
+
+    cols = {}
+    for out, (log_decay, _term) in series.items():
+        L = F.col(log_decay)
+        floor_blk = F.floor(-L / F.lit(T))
+        cols[n(out, "blk")] = floor_blk
+        cols[n(out, "e")] = L + floor_blk * F.lit(T)
+    df = df.withColumns(cols)
+    locs = {}
+    for out, (_log_decay, term) in series.items():
+        e = F.col(n(out, "e"))
+        wb = (Window.partitionBy(*keys, n(out, "blk")).orderBy(order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        locs[n(out, "loc")] = F.exp(e) * F.sum(F.col(term) * F.exp(-e)).over(wb)
+    df = df.withColumns(locs)
+    df = df.withColumns({n(out, "end"): F.coalesce(F.lead(F.col(n(out, "blk"))).over(w) != F.col(n(out, "blk")),
+                                                   F.lit(True)) for out in series})
+    prev = {}
+    for out, (log_decay, _term) in series.items():
+        end = F.col(n(out, "end"))
+        prev[n(out, "prev_loc")] = F.last(F.when(end, F.col(n(out, "loc"))), ignorenulls=True).over(before)
+        prev[n(out, "prev_decay")] = F.last(F.when(end, F.col(log_decay)), ignorenulls=True).over(before)
+    df = df.withColumns(prev)
     df = df.withColumns({
-        loc: F.exp(F.col(e)) * F.sum(F.col(term) * F.exp(-F.col(e))).over(wb),
-        end: F.coalesce(F.lead(F.col(blk)).over(w) != F.col(blk), F.lit(True)),
-    })
+        n(out, "yend"): F.col(n(out, "loc")) + F.coalesce(
+            F.exp(F.col(log_decay) - F.col(n(out, "prev_decay"))) * F.col(n(out, "prev_loc")), F.lit(0.0))
+        for out, (log_decay, _term) in series.items()})
+    df = df.withColumns({n(out, "carry"): F.last(F.when(F.col(n(out, "end")), F.col(n(out, "yend"))),
+                                                 ignorenulls=True).over(before) for out in series})
     df = df.withColumns({
-        pl: F.last(F.when(F.col(end), F.col(loc)), ignorenulls=True).over(before),
-        pL: F.last(F.when(F.col(end), L), ignorenulls=True).over(before),
-    })
-    damp = F.exp(L - F.col(pL))
-    df = df.withColumn(yend, F.col(loc) + F.coalesce(damp * F.col(pl), F.lit(0.0)))
-    df = df.withColumn(carry, F.last(F.when(F.col(end), F.col(yend)), ignorenulls=True).over(before))
-    df = df.withColumn(out, F.col(loc) + F.coalesce(damp * F.col(carry), F.lit(0.0)))
-    return df.drop(blk, e, loc, end, pl, pL, yend, carry)
+        out: F.col(n(out, "loc")) + F.coalesce(
+            F.exp(F.col(log_decay) - F.col(n(out, "prev_decay"))) * F.col(n(out, "carry")), F.lit(0.0))
+        for out, (log_decay, _term) in series.items()})
+    return df.drop(*[n(out, part) for out in series
+                     for part in ("blk", "e", "loc", "end", "prev_loc", "prev_decay", "yend", "carry")])
 
 
 def decay_terms(df: DataFrame, keys: list[str], order: str, value: str, prefix: str) -> DataFrame:
@@ -95,9 +115,14 @@ def ewm_adjust_false(df: DataFrame, keys: list[str], order: str, value: str, spa
 
     ``y_0 = x_0``;  after ``g`` missing rows ``y = (d^(g+1) y' + a x) / (d^(g+1) + a)``
     with ``d = 1 - a``, which is ``d y' + a x`` when there is no gap."""
-    a = 2.0 / (span + 1.0)
-    d = 1.0 - a
-    ln_d = math.log(d)
+    return ewm_gap_aware(df, keys, order, value, {out: span}, prefix)
+
+
+def ewm_gap_aware(df: DataFrame, keys: list[str], order: str, value: str, spans: dict[str, float],
+                  prefix: str | None = None) -> DataFrame:
+    """``ewm_adjust_false`` for several spans of one column at once: the
+    observation bookkeeping, the renormalisation sums and the cross-block
+    passes are shared."""
     p = prefix or f"_{value}"
     have_terms = f"{p}_rn" in df.columns
     if not have_terms:
@@ -105,24 +130,31 @@ def ewm_adjust_false(df: DataFrame, keys: list[str], order: str, value: str, spa
     rn, first, last, prev = (F.col(f"{p}_{s}") for s in ("rn", "first", "last", "prev"))
     x = F.col(value)
     gap = rn - prev - F.lit(1)
-    norm = F.pow(F.lit(d), (gap + F.lit(1)).cast("double")) + F.lit(a)
     has_gap = x.isNotNull() & prev.isNotNull() & (gap > F.lit(0))
-    ln_norm, term, L = f"_{out}_lnn", f"_{out}_u", f"_{out}_L"
-    df = df.withColumn(ln_norm, F.when(has_gap, F.log(norm)).otherwise(F.lit(0.0)))
     w = Window.partitionBy(*keys).orderBy(order)
-    cum_norm = F.sum(ln_norm).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumn(L, F.coalesce((last - first).cast("double") * F.lit(ln_d) - cum_norm,
-                                     F.lit(0.0)))
-    u = (F.when(x.isNull(), F.lit(0.0))
-         .when(prev.isNull(), x)
-         .when(has_gap, F.lit(a) * x / norm)
-         .otherwise(F.lit(a) * x))
-    df = df.withColumn(term, u)
-    df = decayed_scan(df, keys, order, L, term, out)
-    df = df.withColumn(out, F.when(last.isNotNull(), F.col(out)))
-    df = df.drop(ln_norm, term, L)
+    norms = {}
+    for out, span in spans.items():
+        a = 2.0 / (span + 1.0)
+        norms[f"_{out}_norm"] = F.pow(F.lit(1.0 - a), (gap + F.lit(1)).cast("double")) + F.lit(a)
+    df = df.withColumns(norms)
+    df = df.withColumns({f"_{out}_lnn": F.sum(F.when(has_gap, F.log(F.col(f"_{out}_norm"))).otherwise(F.lit(0.0)))
+                         .over(w.rowsBetween(Window.unboundedPreceding, 0)) for out in spans})
+    terms = {}
+    for out, span in spans.items():
+        a = 2.0 / (span + 1.0)
+        ln_d = math.log(1.0 - a)
+        terms[f"_{out}_L"] = F.coalesce((last - first).cast("double") * F.lit(ln_d) - F.col(f"_{out}_lnn"),
+                                        F.lit(0.0))
+        terms[f"_{out}_u"] = (F.when(x.isNull(), F.lit(0.0))
+                              .when(prev.isNull(), x)
+                              .when(has_gap, F.lit(a) * x / F.col(f"_{out}_norm"))
+                              .otherwise(F.lit(a) * x))
+    df = df.withColumns(terms)
+    df = decayed_scan(df, keys, order, {out: (f"_{out}_L", f"_{out}_u") for out in spans})
+    df = df.withColumns({out: F.when(last.isNotNull(), F.col(out)) for out in spans})
+    df = df.drop(*[f"_{out}_{t}" for out in spans for t in ("norm", "lnn", "L", "u")])
     if not have_terms and prefix is None:
-        df = df.drop(*(f"{p}_{s}" for s in ("rn", "obs_rn", "first", "last", "prev")))
+        df = drop_terms(df, p)
     return df
 
 

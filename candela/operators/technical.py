@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from candela.functions.rolling import EXACT, clip_lower_zero, series_window, thousandths
 from candela.operators.scan import (
-    add_blocks, block_rows, decay_terms, drop_blocks, drop_terms, ewm_adjust_false, ewm_complete,
-    first_present,
+    add_blocks, block_rows, drop_blocks, ewm_adjust_false, ewm_complete, ewm_gap_aware,
 )
 
 INDICATOR_COLUMNS = [
@@ -62,11 +61,8 @@ def macd(df: DataFrame, value: str = "close", short: int = 12, long: int = 26, s
     if complete:
         df = _macd_complete(df, keys, order, value, short, long, signal)
     else:
-        p = f"_{value}_m"
-        df = decay_terms(df, keys, order, value, p)
-        df = ewm_adjust_false(df, keys, order, value, short, "_ema_short", prefix=p)
-        df = ewm_adjust_false(df, keys, order, value, long, "_ema_long", prefix=p)
-        df = drop_terms(df, p).withColumn("macd", F.col("_ema_short") - F.col("_ema_long"))
+        df = ewm_gap_aware(df, keys, order, value, {"_ema_short": short, "_ema_long": long})
+        df = df.withColumn("macd", F.col("_ema_short") - F.col("_ema_long"))
         df = ewm_adjust_false(df, keys, order, "macd", signal, "macd_signal")
     return (df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
               .drop("_ema_short", "_ema_long"))
@@ -235,11 +231,8 @@ def technical_indicators(bars: DataFrame, keys: list[str] | None = None, order:
         # block layout of the averages
         df = _ema_family_complete(df, keys, order, rn="_rn", first="_first").drop("_rn", "_first")
     else:
-        p = "_close_t"
-        df = decay_terms(df, keys, order, "close", p)
-        for span, out in ((20, "ema_20"), (12, "_ema_short"), (26, "_ema_long")):
-            df = ewm_adjust_false(df, keys, order, "close", span, out, prefix=p)
-        df = drop_terms(df, p).withColumn("macd", F.col("_ema_short") - F.col("_ema_long"))
+        df = ewm_gap_aware(df, keys, order, "close", {"ema_20": 20, "_ema_short": 12, "_ema_long": 26})
+        df = df.withColumn("macd", F.col("_ema_short") - F.col("_ema_long"))
         df = ewm_adjust_false(df, keys, order, "macd", 9, "macd_signal")
     df = df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
     return df.select(*[c if c not in ("date", "ticker") else
