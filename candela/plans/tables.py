@@ -109,3 +109,13 @@ def bootstrap_history(wide: DataFrame, sep: str = "|", date: str = "date") -> Da
     ticker and field)."""
     from candela.sources.reshape import wide_to_long
     return clean_prices(wide_to_long(wide, sep=sep, date=date))
+
+
+def universe_from_files(constituents: DataFrame, quotes: DataFrame, k: int = 500) -> DataFrame:
+    """The ``k`` largest constituents by market cap: every listed ticker
+    (``read_constituents``) with its landed quote map (ticker, quote JSON), a
+    ticker without a quote keeping the listing defaults."""
+    q = quotes.select(normalize_ticker(F.col("ticker")).alias("symbol"), F.col("quote"))
+    joined = constituents.join(q, constituents.ticker == q.symbol, "left").select(
+        F.col("ticker").alias("symbol"), F.coalesce(F.col("quote"), F.lit("{}")).alias("quote"))
+    return build_universe(joined, k)

@@ -60,6 +60,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+CONSTITUENTS = T.StructType([T.StructField("Symbol", T.StringType())])
+
+
+def read_constituents(spark: SparkSession, path: str) -> DataFrame:
+    """Landed index constituents (a CSV with a ``Symbol`` column; the page
+    fetch that produced it is outside Spark): distinct normalised tickers,
+    missing symbols dropped."""
+    return (read_csv(spark, path, CONSTITUENTS).filter(F.col("Symbol").isNotNull())
+            .select(normalize_ticker(F.col("Symbol")).alias("ticker")).distinct())
+
+
 def read_prices_csv(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
     """Long price file; optional half-open date range ``[start, end)``."""
     df = read_csv(spark, path, RAW_PRICES)

@@ -73,3 +73,19 @@ def test_refresh_nothing_when_start_after_end(spark):
     # as_of later: only the day after the history's end and onwards are added
     more = refresh_history(hist, fetched, ["date", "ticker"], "date", F.lit(dt.date(2024, 1, 3)))
     assert sorted(r.date.day for r in more.collect()) == [1, 2, 3]
+
+
+def test_universe_from_landed_files(spark):
+    from candela.plans.tables import universe_from_files
+    from candela.sources.landed import read_constituents
+    d = tempfile.mkdtemp(prefix="candela-test-", dir="/tmp")
+    path = os.path.join(d, "constituents.csv")
+    with open(path, "w") as fh:
+        fh.write("Symbol\nBRK.B\nAAA\nBBB\n\nAAA\n")
+    cons = read_constituents(spark, path)
+    assert sorted(r.ticker for r in cons.collect()) == ["AAA", "BBB", "BRK-B"]
+    quotes = spark.createDataFrame([("BRK-B", '{"marketCap": 900, "shortName": "B"}'), ("AAA", '{"marketCap": 5}')],
+                                   "ticker string, quote string")
+    got = [(r.ticker, r.name, r.market_cap) for r in universe_from_files(cons, quotes, k=2).collect()]
+    assert got == [("BRK-B", "B", 900), ("AAA", "", 5)]
+    assert len(universe_from_files(cons, quotes).collect()) == 3  # BBB keeps the defaults
