@@ -112,11 +112,14 @@ def _daily_refresh(spark, sf):
     return merge.refresh_history(b1, b2, ["date", "ticker"], "date", F.lit(REFRESH_AS_OF))
 
 
-def _one(spark, sf, name):
-    return {
-        "tec": lambda: tb.indicadores_tecnicos(spark, sf, [TICKER]),
-        "ph": lambda: _prices(spark, sf, [TICKER]),
-    }[name]()
+def _ticker_prices(spark, sf):
+    """Prices of the analyst queries' ticker; the ticker reaches the scan."""
+    return _prices(spark, sf, [TICKER])
+
+
+def _ticker_indicators(spark, sf):
+    """Indicators of the analyst queries' ticker over its whole history."""
+    return tb.indicadores_tecnicos(spark, sf, [TICKER])
 
 
 def registry() -> dict[str, Query]:
@@ -146,19 +149,19 @@ def registry() -> dict[str, Query]:
         "investment_summary": lambda s, sf: investment_summary(
             technical_indicators(_prices(s, sf), complete=True), fundamentals(s, sf)),
         "q01": lambda s, sf: analyst.q01_company(tb.empresas(s, sf), TICKER),
-        "q02": lambda s, sf: analyst.q02_price_history(_one(s, sf, "ph"), TICKER),
+        "q02": lambda s, sf: analyst.q02_price_history(_ticker_prices(s, sf), TICKER),
         "q03": lambda s, sf: analyst.q03_fundamentals(tb.indicadores_fundamentales(s, sf), TICKER),
         "q04": lambda s, sf: at_check_precision(analyst.q04_recent_indicators(
-            _one(s, sf, "tec"), TICKER, last_bar_date(s, sf), 30)),
+            _ticker_indicators(s, sf), TICKER, last_bar_date(s, sf), 30)),
         "q05": lambda s, sf: at_check_precision(analyst.q05_price_sma_ema(
-            _one(s, sf, "ph"), _one(s, sf, "tec"), TICKER, last_bar_date(s, sf), 60)),
-        "q06": lambda s, sf: analyst.q06_volatility_days(_one(s, sf, "tec"), TICKER),
-        "q07": lambda s, sf: analyst.q07_overbought(_one(s, sf, "tec"), TICKER),
-        "q08": lambda s, sf: at_check_precision(analyst.q08_macd_above_signal(_one(s, sf, "tec"), TICKER)),
-        "q09": lambda s, sf: analyst.q09_yearly_performance(_one(s, sf, "ph"), TICKER),
-        "q10": lambda s, sf: at_check_precision(analyst.q10_trading_alert(_one(s, sf, "tec"), _one(s, sf, "ph"), TICKER)),
-        "q11": lambda s, sf: analyst.q11_latest_vs_bollinger(_one(s, sf, "ph"), _one(s, sf, "tec"), TICKER),
-        "q12": lambda s, sf: analyst.q12_dashboard(_one(s, sf, "tec"), _one(s, sf, "ph"), TICKER),
+            _ticker_prices(s, sf), _ticker_indicators(s, sf), TICKER, last_bar_date(s, sf), 60)),
+        "q06": lambda s, sf: analyst.q06_volatility_days(_ticker_indicators(s, sf), TICKER),
+        "q07": lambda s, sf: analyst.q07_overbought(_ticker_indicators(s, sf), TICKER),
+        "q08": lambda s, sf: at_check_precision(analyst.q08_macd_above_signal(_ticker_indicators(s, sf), TICKER)),
+        "q09": lambda s, sf: analyst.q09_yearly_performance(_ticker_prices(s, sf), TICKER),
+        "q10": lambda s, sf: at_check_precision(analyst.q10_trading_alert(_ticker_indicators(s, sf), _ticker_prices(s, sf), TICKER)),
+        "q11": lambda s, sf: analyst.q11_latest_vs_bollinger(_ticker_prices(s, sf), _ticker_indicators(s, sf), TICKER),
+        "q12": lambda s, sf: analyst.q12_dashboard(_ticker_indicators(s, sf), _ticker_prices(s, sf), TICKER),
         # the batches are bars: one row per (date, ticker) by construction
         "upsert_update": lambda s, sf: merge.merge_update(*_batches(s, sf), ["date", "ticker"],
                                                           unique_source=True),
