@@ -1,6 +1,7 @@
 """Benchmark the headline queries.
 
-Runs on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default sf0.1), executes
+Runs on ``local[$BENCH_CPUS]`` (shuffle partitions: two per core unless
+``$BENCH_SHUFFLE_PARTITIONS``) over ``$BENCH_SF_DIR`` (default sf0.1), executes
 every query fully through the ``noop`` sink (nothing is collected to the
 driver), and prints one JSON line: per-query warm median of ``$BENCH_RUNS``
 runs (default 3) after one warm-up, and their sum as the headline value.
@@ -29,7 +30,10 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")),
+    # two waves of tasks per core balance uneven ticker partitions
+    default_partitions = 2 * int(cpus) if cpus.isdigit() else 16
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS",
+                                                                      default_partitions)),
                           app="candela-bench")
     qs = registry()
     timings: dict[str, float] = {}
