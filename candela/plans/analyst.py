@@ -57,10 +57,13 @@ def q06_volatility_days(tecnicos: DataFrame, ticker: str, limit: int | None = No
     return df.limit(limit) if limit else df
 
 
-def q07_overbought(tecnicos: DataFrame, ticker: str, threshold: float = 70.0) -> DataFrame:
-    return (tecnicos.filter((F.col("ticker") == ticker) & (F.col("rsi_14") > threshold)
-                            & F.col("rsi_14").isNotNull())
-            .select("date", "ticker", "rsi_14").orderBy(F.col("date").desc_nulls_first()))
+def q07_overbought(tecnicos: DataFrame, ticker: str | None, threshold: float = 70.0) -> DataFrame:
+    """Days with RSI above ``threshold``; ``ticker=None`` scans every ticker."""
+    cond = (F.col("rsi_14") > threshold) & F.col("rsi_14").isNotNull()
+    if ticker is not None:
+        cond = (F.col("ticker") == ticker) & cond
+    return (tecnicos.filter(cond).select("date", "ticker", "rsi_14")
+            .orderBy(F.col("date").desc_nulls_first()))
 
 
 def q08_macd_above_signal(tecnicos: DataFrame, ticker: str) -> DataFrame:
