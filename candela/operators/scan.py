@@ -221,18 +221,25 @@ def ewm_complete(df: DataFrame, keys: list[str], order: str, value: str, spans:
     checked = F.when(x.isNull() & started & (o > f),
                      F.raise_error(F.lit(f"missing {value} inside a series: use the gap-aware average"))
                      ).otherwise(x)
-    wb = (Window.partitionBy(*keys, f"{prefix}_blk").orderBy(order)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     wo = (Window.partitionBy(*keys).orderBy(f"{prefix}_blk", order)
           .rowsBetween(Window.unboundedPreceding, -1))
     end = j == F.lit(b - 1)
+    df = df.withColumn(f"{prefix}_u", checked)
+    # The in-block sums as SQL text: one parsed expression per span instead of
+    # a few dozen Python-built column nodes (the same arithmetic).
+    q = lambda c: f"`{c}`"
+    part = ", ".join(q(k) for k in [*keys, f"{prefix}_blk"])
+    jj, ff, oo, uu = q(f"{prefix}_j"), q(f"{prefix}_first"), q(order), q(f"{prefix}_u")
     locs = {}
     for out, span in spans.items():
         a = 2.0 / (span + 1.0)
         d = 1.0 - a
-        u = F.when(~started, F.lit(0.0)).when(o == f, checked).otherwise(F.lit(a) * checked)
-        locs[f"_{out}_loc"] = F.pow(F.lit(d), j) * F.sum(u * F.pow(F.lit(1.0 / d), j)).over(wb)
-    df = df.withColumns(locs)
+        u = (f"CASE WHEN NOT ({ff} IS NOT NULL AND {oo} >= {ff}) THEN CAST(0 AS DOUBLE) "
+             f"WHEN {oo} = {ff} THEN {uu} ELSE CAST({a!r} AS DOUBLE) * {uu} END")
+        locs[f"_{out}_loc"] = F.expr(
+            f"power(CAST({d!r} AS DOUBLE), {jj}) * sum(({u}) * power(CAST({1.0 / d!r} AS DOUBLE), {jj})) "
+            f"OVER (PARTITION BY {part} ORDER BY {oo} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    df = df.withColumns(locs).drop(f"{prefix}_u")
     df = df.withColumns({f"_{out}_p1": F.last(F.when(end, F.col(f"_{out}_loc")), ignorenulls=True).over(wo)
                          for out in spans})
     outs = {}
