@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candela.llm import binary, packing
+from candela.llm import binary, chat, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   end_id=1, length=2048)
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(-1, 0).select(F.col("id").alias("conv_id"), F.explode(F.expr(
+        "array(struct(0 AS turn, 'user' AS role), struct(1 AS turn, 'assistant' AS role))")).alias("t")).select(
+        "conv_id", "t.turn", "t.role", F.lit(chat.CONFLICT).alias("text"))
+    return chat.digests(chat.format_conversations(given.unionByName(own)))
+
+
 def op9_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = binary.write_token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
     return binary.read_token_files(spark, files)
@@ -34,9 +43,12 @@ def op9_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op6_packing": op6_packing,
+        "op8_chat": op8_chat,
         "op9_binary": op9_binary,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_chat": chat.ORACLE_SQL,
+    }
