@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import binary, chat, packing
+from candela.llm import binary, chat, decontam, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digests(decontam.match_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, slop=2))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
                                   end_id=1, length=2048)
@@ -42,6 +47,7 @@ def op9_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op5_decontamination": op5_decontamination,
         "op6_packing": op6_packing,
         "op8_chat": op8_chat,
         "op9_binary": op9_binary,
