@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import binary, chat, decontam, packing
+from candela.llm import binary, chat, decontam, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   end_id=1, length=2048)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.annotate(docs.select("doc_id", "text"), model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.range(-1, 0).select(F.col("id").alias("conv_id"), F.explode(F.expr(
@@ -49,6 +57,7 @@ def queries() -> dict[str, Query]:
     return {
         "op5_decontamination": op5_decontamination,
         "op6_packing": op6_packing,
+        "op7_toxicity": op7_toxicity,
         "op8_chat": op8_chat,
         "op9_binary": op9_binary,
     }
