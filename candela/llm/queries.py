@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import binary, chat, decontam, packing, toxicity
+from candela.llm import binary, chat, decontam, packing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +53,12 @@ def op9_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.read_token_files(spark, files)
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.find_secrets(docs, secrets.fit(docs)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op5_decontamination": op5_decontamination,
@@ -60,6 +66,7 @@ def queries() -> dict[str, Query]:
         "op7_toxicity": op7_toxicity,
         "op8_chat": op8_chat,
         "op9_binary": op9_binary,
+        "op10_secrets": op10_secrets,
     }
 
 

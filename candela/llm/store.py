@@ -11,7 +11,9 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -55,7 +57,41 @@ def write_atomic(path: str, write) -> None:
     os.replace(private, path)
 
 
+def position(df: DataFrame, name: str) -> int:
+    """Place of a column: of names that differ in case alone, the exact one."""
+    names = df.columns
+    if name in names:
+        return names.index(name)
+    return [c.lower() for c in names].index(name.lower())
+
+
+def flat(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ..., so that none clash."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def fitted(df: DataFrame, **types: str) -> DataFrame:
     """The named columns of ``df`` alone, cast: extra columns, whatever their
     names, never reach an operator."""
-    return df.select(*[df[c].cast(t).alias(c) for c, t in types.items()])
+    plain = flat(df)
+    return plain.select(*[plain[f"c{position(df, c)}"].cast(t).alias(c) for c, t in types.items()])
+
+
+def extended(df: DataFrame, column: str, added: dict[str, str], make) -> DataFrame:
+    """``df`` with further columns that ``make`` computes from an Arrow array
+    of the text column ``column``. Other columns are kept as they are, but for
+    such as bear a new column's name."""
+    names = [c for c in df.columns if c.lower() not in {a.lower() for a in added}]
+    plain = flat(df)
+    kept = plain.select(*[plain[f"c{df.columns.index(c)}"] for c in names],
+                        plain[f"c{position(df, column)}"].cast("string").alias("read"))
+
+    def run(batches):
+        for batch in batches:
+            new = make(batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names=[*batch.schema.names[:-1], *added])
+
+    schema = T.StructType(kept.schema.fields[:-1])
+    for name, kind in added.items():
+        schema = schema.add(name, kind, True)
+    return kept.mapInArrow(run, schema).toDF(*names, *added)

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candela.llm.store import extended, fitted
 from candela.llm.text import ALNUM, chunks, mix, words
 
 #: bound of the sample, by class
@@ -222,15 +223,14 @@ def _language_head(rows, languages: list[str]) -> np.ndarray:
 def sample(docs: DataFrame, labels: DataFrame) -> list[tuple]:
     """At most TRAIN_ROWS labelled rows of each class outside the held-out
     fold: (doc_id, text, lang, toxic), those with the smallest hash of the id."""
-    known = (labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
+    known = (fitted(labels, doc_id="long", toxic="int")
              .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
              .withColumn("h", F.xxhash64("doc_id")))
     chosen = None
     for y in (0, 1):
         part = known.where(F.col("toxic") == y).orderBy("h", "doc_id").limit(TRAIN_ROWS)
         chosen = part if chosen is None else chosen.unionByName(part)
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"),
-                        docs["lang"].cast("string").alias("lang"))
+    texts = fitted(docs, doc_id="long", text="string", lang="string")
     # at most 2 * TRAIN_ROWS ids go to the tasks
     joined = texts.join(F.broadcast(chosen.drop("h")), "doc_id")
     # ids may repeat in either table: the bound holds for the rows as well
@@ -316,19 +316,8 @@ def scores(model: Model | None, column: pa.Array) -> np.ndarray:
 
 def annotate(docs: DataFrame, model: Model | None, score: str = "score", text: str = "text") -> DataFrame:
     """``docs`` with a further column ``score``; every other column is kept."""
-    names = [*docs.columns, score]
-    flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    at = [c.lower() for c in docs.columns].index(text)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # of fixed size
-
-    def run(batches):
-        for batch in batches:
-            s = scores(shared.value, batch.column(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())],
-                                             names=[*batch.schema.names, "score"])
-
-    return flat.mapInArrow(run, flat.schema.add("score", "double", False)).toDF(*names)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+    return extended(docs, text, {score: "double"}, lambda column: [pa.array(scores(shared.value, column), pa.float64())])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
