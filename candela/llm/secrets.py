@@ -49,8 +49,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a shorter run holds no longer one
 HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, as the pattern is greedy
 
 #: bound of the training sample, in lines of each sort
-TRAIN_LINES = 4000
-EPOCHS = 30
+TRAIN_LINES = 3000
+EPOCHS = 15
 RATE = 0.5
 DECAY = 1e-4
 CACHE_TOKENS = 200_000
@@ -73,25 +73,25 @@ def base_spans(text: str) -> list[Span]:
 
 #: class 0 is a plain word, 1 an empty stretch between two spaces
 PLAIN, EMPTY = 0, 1
-_KEYWORDS = ("pass", "secret", "token", "key", "auth", "cred")
-_ALPHA = re.compile(r"[^\W\d_]+")
+_KEYWORD = re.compile("pass|secret|token|key|auth|cred", re.IGNORECASE)
+_MARKS = ".,;:!?\"'()[]{}<>*#$%&"
+_PLAIN = re.compile(rf"[{re.escape(_MARKS)}]*[^\W\d_]{{0,23}}[{re.escape(_MARKS)}]*")
 
 
 def shape(token: str) -> tuple:
-    """The shape of a token; short words of letters, and such with common
-    marks around them, are plain."""
+    """The shape of a token; words of letters, with or without marks around
+    them, are plain unless they are long or hold a tell-tale word."""
     if not token:
         return ("empty",)
-    core = token.strip(".,;:!?\"'()[]{}<>*#$%&")
-    low = core.lower()
-    word = any(k in low for k in _KEYWORDS)
-    mark = "=" if "=" in token else ":" if ":" in token else ""
-    if not mark and not word and _ALPHA.fullmatch(core) and len(core) < 24 and not (len(core) >= 12 and core.isupper()):
+    word = bool(_KEYWORD.search(token))
+    if not word and _PLAIN.fullmatch(token):
         return ("plain",)
+    core = token.strip(_MARKS)
+    mark = "=" if "=" in token else ":" if ":" in token else ""
+    low = core.lower()
     n = len(core)
     kinds = (any(c.isdigit() for c in core), any(c.isupper() for c in core), any(c.islower() for c in core))
-    counts = Counter(core)
-    entropy = -sum(c / n * math.log2(c / n) for c in counts.values()) if n else 0
+    entropy = -sum(c / n * math.log2(c / n) for c in Counter(core).values()) if n else 0
     hexlike = n >= 8 and all(c in "0123456789abcdef" for c in low)
     return (min(n, 48) // 6, kinds, min(int(entropy), 5), hexlike, word, mark, token[:1] in "\"'", low.startswith("akia"))
 
@@ -167,6 +167,7 @@ class Field(NamedTuple):
     text: np.ndarray   #: (4, tags)
     step: np.ndarray   #: (tag, next tag)
     first: np.ndarray
+    certain: float     #: by how much O must win to be O in every best path
     classes: Classes
 
 
@@ -204,14 +205,13 @@ def viterbi(e: np.ndarray, step: np.ndarray, first: np.ndarray) -> list[int]:
     return tags[::-1]
 
 
-def _certain(field: Field) -> float:
+def _certain(s: np.ndarray, first: np.ndarray) -> float:
     """How much O must win by so that no transitions can make up for it:
     the largest gain of any tag over O between any two neighbours. A tag I
     after the cut would follow O, so what follows is re-begun with B."""
-    s = field.step
     gains = [s[a, t] - s[a, O] + s[t, z] - s[O, z if z != I else B]
              for a in (B, I, O) for t in (B, I) for z in (B, I, O) if s[a, t] > FORBIDDEN / 2]
-    edge = [field.first[B] - field.first[O] + s[B, z] - s[O, z if z != I else B] for z in (B, I, O)]
+    edge = [first[B] - first[O] + s[B, z] - s[O, z if z != I else B] for z in (B, I, O)]
     return float(max([0.0, *gains, *edge, *(s[a, t] - s[a, O] for a in (B, I, O) for t in (B, I))]))
 
 
@@ -221,7 +221,7 @@ def tag(field: Field, c: np.ndarray, kind: int) -> list[tuple[int, int]]:
     e = emissions(field, c, kind)
     # re-beginning with B what followed costs at most the gap of that token's B and I
     rebegin = np.append(np.maximum(e[1:, I] - e[1:, B], 0), 0)
-    open_ = np.flatnonzero(e[:, O] - np.maximum(e[:, B], e[:, I]) <= _certain(field) + rebegin)
+    open_ = np.flatnonzero(e[:, O] - np.maximum(e[:, B], e[:, I]) <= field.certain + rebegin)
     out = []
     if not len(open_):
         return out
@@ -251,20 +251,9 @@ def crf_spans(field: Field | None, text: str) -> list[Span]:
         return []
     tokens, starts = split(text)
     c = classes_of(tokens, field.classes)
-    if not c.any():  # plain words only, which the trained field has O for
-        if _plain_is_certain(field):
-            return []
     return [(3, int(starts[a]), int(starts[b - 1]) + len(tokens[b - 1])) for a, b in tag(field, c, text_class(text))]
 
 
-def _plain_is_certain(field: Field) -> bool:
-    e = field.own[PLAIN] + field.text + field.before[PLAIN] + field.after[PLAIN]
-    edge = np.concatenate([e, field.own[PLAIN] + field.text + field.before[PLAIN],
-                           field.own[PLAIN] + field.text + field.after[PLAIN], field.own[PLAIN] + field.text])
-    rebegin = max(0.0, float((edge[:, I] - edge[:, B]).max()))
-    return bool((edge[:, O] - np.maximum(edge[:, B], edge[:, I]) > _certain(field) + rebegin).all())
-
-
 def merged(base: list[Span], more: list[Span]) -> list[Span]:
     """Base spans, and those of ``more`` that overlap none of them."""
     out = list(base)
@@ -314,7 +303,8 @@ def train(lines: list[tuple[str, int]]) -> Field | None:
                 grad = g[n] / len(group) + DECAY * a
                 squares[n] += grad * grad
                 a -= RATE * grad / np.sqrt(squares[n])
-    return Field(p["own"], p["before"], p["after"], p["text"], _step(p["step"]), _first(p["first"]), classes)
+    step, first = _step(p["step"]), _first(p["first"])
+    return Field(p["own"], p["before"], p["after"], p["text"], step, first, _certain(step, first), classes)
 
 
 def _gradient(p, group) -> dict[str, np.ndarray]:
@@ -380,7 +370,9 @@ def fit(docs: DataFrame) -> Field | None:
             yield pa.RecordBatch.from_pydict({"text": pa.array(text, pa.string()), "kind": pa.array(kind, pa.int32()),
                                               "has": pa.array(has, pa.bool_())})
 
-    cuts = lines.mapInArrow(cut, "text string, kind int, has boolean").withColumn("h", F.xxhash64("text", "kind"))
+    # a line that many texts share counts once
+    cuts = (lines.mapInArrow(cut, "text string, kind int, has boolean").withColumn("h", F.xxhash64("text", "kind"))
+            .groupBy("has", "h").agg(F.min("text").alias("text"), F.min("kind").alias("kind")))
     chosen = None
     for has in (True, False):
         part = cuts.where(F.col("has") == has).orderBy("h", "text", "kind").limit(TRAIN_LINES)
