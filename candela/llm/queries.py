@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import binary, chat, decontam, packing, secrets, toxicity
+from candela.llm import binary, chat, decontam, html, packing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(decontam.match_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, slop=2))
@@ -61,6 +65,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_html": op2_html,
         "op5_decontamination": op5_decontamination,
         "op6_packing": op6_packing,
         "op7_toxicity": op7_toxicity,
