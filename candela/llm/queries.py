@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import binary, chat, decontam, html, packing, secrets, toxicity
+from candela.llm import ann, binary, chat, decontam, html, packing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, top=10)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(decontam.match_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, slop=2))
@@ -66,6 +70,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_html": op2_html,
+        "op3_neighbours": op3_neighbours,
         "op5_decontamination": op5_decontamination,
         "op6_packing": op6_packing,
         "op7_toxicity": op7_toxicity,
