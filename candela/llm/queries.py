@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import ann, binary, chat, decontam, html, packing, secrets, toxicity
+from candela.llm import ann, binary, chat, decontam, html, jaccard, packing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -69,6 +73,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_jaccard": op1_jaccard,
         "op2_html": op2_html,
         "op3_neighbours": op3_neighbours,
         "op5_decontamination": op5_decontamination,
