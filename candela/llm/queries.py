@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import ann, binary, chat, decontam, html, jaccard, packing, secrets, toxicity
+from candela.llm import ann, binary, chat, decontam, html, jaccard, packing, repeats, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, top=10)
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("kept")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(decontam.match_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, slop=2))
@@ -76,6 +80,7 @@ def queries() -> dict[str, Query]:
         "op1_jaccard": op1_jaccard,
         "op2_html": op2_html,
         "op3_neighbours": op3_neighbours,
+        "op4_repeats": op4_repeats,
         "op5_decontamination": op5_decontamination,
         "op6_packing": op6_packing,
         "op7_toxicity": op7_toxicity,
