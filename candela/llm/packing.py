@@ -39,18 +39,23 @@ Pattern = tuple[tuple[int, int], ...]  # (length, times), longest first
 def pack_histogram(histogram: Mapping[int, int], length: int) -> list[tuple[Pattern, int]]:
     """Packing patterns and how often each is used, for ``histogram`` (piece
     length -> count). A pack that takes a piece moves to its new room; of the
-    packs with the most room the last made are split first."""
+    packs with the most room the last made are split first. Where none has
+    room, as many are opened as the tokens still to be placed can fill."""
     rooms: dict[int, list[tuple[Pattern, int]]] = {}
     widest = 0
+    tokens = sum(s * n for s, n in histogram.items())
     for size in sorted((s for s, n in histogram.items() if n), reverse=True):
         left = histogram[size]
         while left:
             while widest and not rooms.get(widest):
                 widest -= 1
             if widest < size:
-                rooms.setdefault(length - size, []).append((((size, 1),), left))
-                widest = max(widest, length - size)
-                break
+                used = min(left, -(-tokens // length))
+                rooms.setdefault(length - size, []).append((((size, 1),), used))
+                widest = length - size
+                left -= used
+                tokens -= size * used
+                continue
             pattern, count = rooms[widest].pop()
             used = min(left, count)
             if used < count:
@@ -61,6 +66,7 @@ def pack_histogram(histogram: Mapping[int, int], length: int) -> list[tuple[Patt
                 grown = (*pattern, (size, 1))
             rooms.setdefault(widest - size, []).append((grown, used))
             left -= used
+            tokens -= size * used
     merged: dict[Pattern, int] = {}
     for room in sorted(rooms):
         for pattern, count in rooms[room]:

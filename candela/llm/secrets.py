@@ -390,7 +390,7 @@ def all_spans(field: Field | None, text: str | None) -> tuple[list[Span], list[S
     return base, merged(base, crf_spans(field, text))
 
 
-def _listed(spans: list[Span]) -> str:
+def listed(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans)
 
 
@@ -402,8 +402,8 @@ def find_secrets(docs: DataFrame, field: Field | None, text: str = "text") -> Da
     def make(column):
         found = [all_spans(shared.value, t) for t in column.to_pylist()]
         return [*(pa.array([sum(s[0] == k for s in b) for b, _ in found], pa.int64()) for k in range(3)),
-                pa.array([_listed(b) for b, _ in found], pa.string()),
-                pa.array([_listed(a) for _, a in found], pa.string())]
+                pa.array([listed(b) for b, _ in found], pa.string()),
+                pa.array([listed(a) for _, a in found], pa.string())]
 
     return extended(docs, text, {"n_assign": "long", "n_access": "long", "n_hex": "long",
                                  "base": "string", "spans": "string"}, make)

@@ -82,6 +82,8 @@ class Encoder:
                     return None
                 word = unicodedata.normalize("NFC", word)
             word = word.lower()
+            if not word.isalpha():  # a letter whose lower case has a mark of its own
+                return None
         else:
             word = text
         word = word.encode().decode("latin-1").translate(_ALPHABET)
