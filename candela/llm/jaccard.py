@@ -7,9 +7,11 @@ The classes of the links' transitive closure come back with every document.
 Equal sets are one node. For any global order of tokens, two sets that link
 share a token among the first |x| - ceil(threshold * |x|) + 1 tokens of each
 (their prefixes). The index holds the prefixes in the first order, rare tokens
-first: ``frequent`` tokens, counted over the whole corpus, come last. The other
+first: frequent tokens, counted over the whole corpus, come last. The other
 orders sort the same tokens by different hashes; a candidate pair must share a
-prefix token in each of them before its overlap is counted.
+prefix token in each of them before its overlap is counted. The index keeps
+each token's place as well: where the first common token stands late, too
+little is left for a link.
 
 Pairs of a token's documents are not written out. First each meets one leader
 of its token (one of LEADERS per group of look-alikes), which is as many pairs
@@ -44,6 +46,8 @@ FREQUENT = 200_000
 LOCAL_COUNT = 3
 #: ids of documents whose sets are read again go to the tasks up to this many, else by a join
 BROADCAST_IDS = 2_000_000
+#: tokens that a task counts at a time
+COUNTED_TOKENS = 4_000_000
 
 _SALTS = (np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64))
 
@@ -99,13 +103,10 @@ class Orders:
         return np.where(self.tokens[i] == tokens, self.counts[i], 0)
 
     def prefix(self, tokens: np.ndarray, order: int, ranks: np.ndarray | None = None) -> np.ndarray:
-        n = prefix_length(len(tokens), self.percent)
-        if n >= len(tokens):
-            return tokens
+        """The prefix of a set, its first token of the order first."""
         ranks = self.ranks(tokens) if ranks is None else ranks
-        h = mix(tokens + _SALTS[order])
-        # counts are far below 2**20 steps of the order; equal hashes keep the tokens' own order
-        return tokens[np.lexsort((h, ranks))[:n]]
+        by = np.lexsort((mix(tokens + _SALTS[order]), ranks))  # equal hashes keep the tokens' own order
+        return tokens[by[:prefix_length(len(tokens), self.percent)]]
 
 
 def linked(a: np.ndarray, b: np.ndarray, orders: Orders) -> bool:
@@ -133,36 +134,49 @@ def _map_sets(docs: DataFrame, size: int, schema: str, emit) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def frequent_tokens(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The FREQUENT tokens with the highest counts, out of those that several
-    documents of a task share. Which tokens these are decides how fast the
-    join is, not what it finds."""
+def _survey(docs: DataFrame, size: int) -> DataFrame:
+    """One reading of the texts for two tables: a row (doc_id, node, n) per
+    document, and rows (token, k) for tokens that several documents of a task share."""
     def run(batches):
         kept: list[np.ndarray] = []
         held = 0
 
+        def rows(**columns):
+            n = max(map(len, columns.values()))
+            return pa.RecordBatch.from_arrays(
+                [columns.get(c, pa.nulls(n, pa.int64())) for c in ("doc_id", "node", "n", "token", "k")],
+                names=["doc_id", "node", "n", "token", "k"])
+
         def counted():
             tokens, counts = np.unique(np.concatenate(kept), return_counts=True)
             some = counts >= LOCAL_COUNT
-            return pa.RecordBatch.from_pydict({"token": tokens[some].view(np.int64), "n": counts[some]})
+            return rows(token=pa.array(tokens[some].view(np.int64)), k=pa.array(counts[some]))
 
         for batch in batches:
-            for _, _, buf, offs in chunks(batch.column(1)):
-                kept += sets_of(buf, offs, size)
-                held += sum(map(len, kept[-(len(offs) - 1):]))
-                if held > 4_000_000:
+            for lo, hi, buf, offs in chunks(batch.column(1)):
+                sets = sets_of(buf, offs, size)
+                yield rows(doc_id=batch.column(0).slice(lo, hi - lo), node=pa.array(list(map(node_of, sets)), pa.int64()),
+                           n=pa.array(list(map(len, sets)), pa.int64()))
+                kept += sets
+                held += sum(map(len, sets))
+                if held > COUNTED_TOKENS:
                     yield counted()
                     kept, held = [], 0
         if held:
             yield counted()
 
-    top = (docs.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "token").limit(FREQUENT))
-    rows = top.toPandas()
-    return rows["token"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
+    return staged(docs.mapInArrow(run, "doc_id long, node long, n long, token long, k long"), "survey")
+
+
+def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The FREQUENT tokens with the highest counts. Which tokens these are
+    decides how fast the join is, not what it finds."""
+    rows = (survey.where("token IS NOT NULL").groupBy("token").agg(F.sum("k").alias("k"))
+            .orderBy(F.desc("k"), "token").limit(FREQUENT)).toPandas()
+    return rows["token"].to_numpy(np.int64).view(np.uint64), rows["k"].to_numpy(np.int64)
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b): the smallest node that
     it is connected with. Large and small stars in turn until nothing moves;
     each round is written to shared storage."""
@@ -203,74 +217,88 @@ def _verified(pairs: DataFrame, sets: DataFrame, orders) -> DataFrame:
                 "a": pa.array([x for x, k in zip(a, ok, strict=True) if k], pa.int64()),
                 "b": pa.array([x for x, k in zip(b, ok, strict=True) if k], pa.int64())})
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+
+
+def _read_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """node, tokens (sorted, 64 bit each) of the wanted (node, doc_id), from
+    the texts of those documents alone."""
+    ids = staged(wanted.select(F.col("doc_id").alias("wanted_id"), "node"), "wanted")
+    # within the checked size to every task, else by a shuffle
+    few = ids.count() <= BROADCAST_IDS
+    again = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"].eqNullSafe(ids["wanted_id"]))
+
+    def kept(rows, sets):
+        node = rows.column(2).to_pylist()
+        some = [i for i, s in enumerate(sets) if node_of(s) == node[i]]  # an id may have other rows
+        return {"node": pa.array([node[i] for i in some], pa.int64()),
+                "tokens": pa.array([sets[i].tobytes() for i in some], pa.binary())}
+
+    return staged(_map_sets(again.select("doc_id", "text", "node"), size, "node long, tokens binary", kept), "sets")
+
+
+def _may_link(percent: int, nx: str, capx: str, ny: str, capy: str) -> Column:
+    """Sizes and places allow a link: with a first common token at these
+    places, no more than what follows can be common."""
+    return F.expr(f"100 * least({nx}, {ny}) >= {percent} * greatest({nx}, {ny}) AND {nx} + {ny} <= least({capx}, {capy})")
 
 
 def link_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     docs = fitted(docs, doc_id="long", text="string")
-    tokens, counts = frequent_tokens(docs, size)
-    orders = spark.sparkContext.broadcast(Orders(tokens, counts, percent))  # at most FREQUENT entries
-
-    members = staged(_map_sets(
-        docs, size, "doc_id long, node long, n long",
-        lambda rows, sets: {"doc_id": rows.column(0), "node": pa.array([node_of(s) for s in sets], pa.int64()),
-                            "n": pa.array(list(map(len, sets)), pa.int64())}), "members")
+    survey = _survey(docs, size)
+    members = survey.where("token IS NULL").select("doc_id", "node", "n")
+    orders = spark.sparkContext.broadcast(Orders(*_frequent(survey), percent))  # at most FREQUENT entries
 
     def prefixes(rows, sets):
         some = [s for s in sets if len(s)]
         pre = [orders.value.prefix(s, 0) for s in some]
-        node = np.repeat(np.array([node_of(s) for s in some], np.int64), list(map(len, pre)))
-        token = np.concatenate([np.zeros(0, np.uint64), *pre])
-        return {"token": token.view(np.int64), "node": node}
-
-    posted = _map_sets(docs, size, "token long, node long", prefixes).repartition("token")
+        lens = np.array(list(map(len, pre)), np.int64)
+        n = np.repeat(np.array(list(map(len, some)), np.int64), lens)
+        place = np.arange(len(n)) - np.repeat(np.cumsum(lens) - lens, lens)
+        # the set's size, and above 32 bits the most that both sizes may sum up to
+        return {"token": np.concatenate([np.zeros(0, np.uint64), *pre]).view(np.int64),
+                "node": np.repeat(np.array(list(map(node_of, some)), np.int64), lens),
+                "bounds": n + ((n - place) * (100 + percent) // percent << 32)}
+
+    posted = _map_sets(docs, size, "token long, node long, bounds long", prefixes).repartition("token")
     # one leader of a token for each of LEADERS hashes of tokens, so that look-alikes share few leaders
     salt = F.xxhash64(F.pmod("token", F.lit(LEADERS)))
-    leads = posted.groupBy("token").agg(F.min(F.col("node").bitwiseXOR(salt)).alias("lead"),
-                                        F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    shared = staged(posted.join(leads.select("token", "lead"), "token")
-                    .select("token", "node", F.col("lead").bitwiseXOR(salt).alias("lead")).distinct(), "postings")
-
-    nodes = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
-    wanted = staged(shared.select("node").distinct().join(nodes, "node"), "wanted")
-    ids = wanted.select(F.col("doc_id").alias("wanted_id"), "node")
-    # within the checked size to every task, else by a shuffle
-    few = wanted.count() <= BROADCAST_IDS
-    again = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"].eqNullSafe(ids["wanted_id"]))
-
-    def kept(rows, sets):
-        node = rows.column(2).to_pylist()
-        some = [i for i, s in enumerate(sets) if node_of(s) == node[i]]
-        return {"node": pa.array([node[i] for i in some], pa.int64()),
-                "tokens": pa.array([sets[i].tobytes() for i in some], pa.binary())}
-
-    sets = staged(_map_sets(again.select("doc_id", "text", "node"), size, "node long, tokens binary", kept)
-                  .dropDuplicates(["node"]), "sets")
-
-    n = wanted.select("node", "n")
-    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    sized = lambda p: (p.join(n.toDF("a", "na"), "a").join(n.toDF("b", "nb"), "b").where(fits)
-                       .select("a", "b"))
-    star = staged(sized(shared.where("node <> lead").select(*_pairs(F.col("node"), F.col("lead"))).distinct()), "star")
+    place = F.col("node").bitwiseXOR(salt)
+    leads = posted.groupBy("token").agg(
+        F.min(place).alias("lead"), F.min_by("bounds", place).alias("led"), F.min("node").alias("lo"),
+        F.max("node").alias("hi")).where("lo < hi").select("token", "lead", "led")
+    shared = staged(posted.join(leads, "token").select(
+        "token", "node", F.expr("bounds & 4294967295").alias("n"), F.expr("bounds >> 32").alias("cap"),
+        F.col("lead").bitwiseXOR(salt).alias("lead"), F.expr("led & 4294967295").alias("nl"),
+        F.expr("led >> 32").alias("capl")), "postings")
+    star = staged(shared.where("node <> lead").where(_may_link(percent, "n", "cap", "nl", "capl"))
+                  .select(*_pairs(F.col("node"), F.col("lead"))).distinct(), "star")
+
+    nodes = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    met = star.select(F.col("a").alias("node")).union(star.select("b")).distinct()
+    sets = _read_sets(docs, met.join(nodes, "node"), size)
     links = staged(_verified(star, sets, orders), "links")
-    roots = components(nodes, links)
+    roots = components(links)
 
     # what the leaders left open: pairs across classes that share a token
-    classed = (shared.select("token", "node").join(roots, "node", "left")
-               .select("token", "node", F.coalesce("root", "node").alias("root")))
-    open_ = classed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    classed = staged(classed.join(open_, "token").join(n, "node"), "open")
+    classed = (shared.select("token", "node", "n", "cap").join(roots, "node", "left")
+               .select("token", "node", "n", "cap", F.coalesce("root", "node").alias("root")))
+    parted = classed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    classed = staged(classed.join(parted.select("token"), "token").distinct(), "open")
     largest = (classed.groupBy("token", "root").agg(F.count("*").alias("k"))
                .groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("largest")))
     minor = (classed.join(largest, "token").where("root <> largest")
-             .select("token", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("na"), "largest"))
-    cross = (minor.join(classed.select("token", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("n").alias("nb")), "token")
-             .where((F.col("rx") != F.col("ry")) & ((F.col("ry") == F.col("largest")) | (F.col("x") < F.col("y"))) & fits)
-             .select(*_pairs(F.col("x"), F.col("y"))).distinct().join(star, ["a", "b"], "left_anti"))
-    more = staged(_verified(cross, sets, orders), "links")
-    roots = components(nodes, links.union(more))
+             .select("token", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"),
+                     F.col("cap").alias("capx"), "largest"))
+    cross = staged(minor.join(classed, "token").where(
+        "rx <> root AND (root = largest OR x < node)").where(_may_link(percent, "nx", "capx", "n", "cap"))
+        .select(*_pairs(F.col("x"), F.col("node"))).distinct().join(star, ["a", "b"], "left_anti"), "cross")
+    more = cross.select(F.col("a").alias("node")).union(cross.select("b")).distinct().join(met, "node", "left_anti")
+    sets = sets.union(_read_sets(docs, more.join(nodes, "node"), size))
+    links = links.union(staged(_verified(cross, sets, orders), "links"))
+    roots = components(links)
 
     classes = nodes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
