@@ -237,7 +237,7 @@ def ewm_complete(df: DataFrame, keys: list[str], order: str, value: str, spans:
         u = (f"CASE WHEN NOT ({ff} IS NOT NULL AND {oo} >= {ff}) THEN CAST(0 AS DOUBLE) "
              f"WHEN {oo} = {ff} THEN {uu} ELSE CAST({a!r} AS DOUBLE) * {uu} END")
         locs[f"_{out}_loc"] = F.expr(
-            f"power(CAST({d!r} AS DOUBLE), {jj}) * sum(({u}) * power(CAST({1.0 / d!r} AS DOUBLE), {jj})) "
+            f"power(CAST({d!r} AS DOUBLE), {jj}) * sum(({u}) * power(CAST({d!r} AS DOUBLE), -{jj})) "
             f"OVER (PARTITION BY {part} ORDER BY {oo} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
     df = df.withColumns(locs).drop(f"{prefix}_u")
     df = df.withColumns({f"_{out}_p1": F.last(F.when(end, F.col(f"_{out}_loc")), ignorenulls=True).over(wo)

@@ -18,6 +18,7 @@ from candela.operators.scan import (
     add_blocks, block_rows, drop_blocks, ewm_adjust_false, ewm_complete, ewm_gap_aware,
 )
 
+# Columns of the indicator table.
 INDICATOR_COLUMNS = [
     "date", "ticker", "close",
     "sma_20", "sma_50", "ema_20",

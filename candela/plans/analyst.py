@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.functions.rounding import stable
+from candela.functions.rounding import exceeds
 
 
 def _lit(x) -> Column:
@@ -36,6 +36,16 @@ def q03_fundamentals(fundamentales: DataFrame, ticker: str) -> DataFrame:
     return fundamentales.filter(F.col("ticker") == ticker)
 
 
+def ranked_fundamentals(snapshot: DataFrame, ticker: str) -> DataFrame:
+    """One ticker's fundamentals with its rank by market cap, counted from the
+    larger caps (ties: the smaller ticker first) instead of ranking them all."""
+    one = snapshot.filter(F.col("ticker") == ticker)
+    cap = one.agg(F.max("market_cap")).scalar()
+    ahead = (snapshot.filter((F.col("market_cap") > cap) | ((F.col("market_cap") == cap) & (F.col("ticker") < ticker)))
+             .agg(F.count("*")).scalar())
+    return one.withColumn("ranking_marketcap", F.when(F.col("market_cap").isNotNull(), (ahead + 1).cast("int")))
+
+
 def q04_recent_indicators(tecnicos: DataFrame, ticker: str, as_of=None, days: int = 30) -> DataFrame:
     return (tecnicos.filter((F.col("ticker") == ticker) & (F.col("date") >= _since(as_of, days)))
             .orderBy(F.col("date").desc_nulls_first()))
@@ -67,7 +77,8 @@ def q07_overbought(tecnicos: DataFrame, ticker: str | None, threshold: float = 7
 
 
 def q08_macd_above_signal(tecnicos: DataFrame, ticker: str) -> DataFrame:
-    return (tecnicos.filter((F.col("ticker") == ticker) & (stable(F.col("macd")) > stable(F.col("macd_signal"))))
+    return (tecnicos.filter((F.col("ticker") == ticker)
+                             & exceeds(F.col("macd"), F.col("macd_signal"), F.col("close")))
             .select("date", "ticker", "macd", "macd_signal").orderBy(F.col("date").desc_nulls_first()))
 
 
@@ -82,19 +93,20 @@ def q09_yearly_performance(precios: DataFrame, ticker: str) -> DataFrame:
             .orderBy(F.col("anio").desc_nulls_first()))
 
 
-def _trading_alert(sma: Column, ema: Column) -> Column:
-    s, e = stable(sma), stable(ema)
-    return (F.when(s < e, F.lit("POSIBLE VENTA")).when(s > e, F.lit("POSIBLE COMPRA"))
+# State and alert texts, here and in q11 and q12.
+def _trading_alert(sma: Column, ema: Column, price: Column) -> Column:
+    return (F.when(exceeds(ema, sma, price), F.lit("POSIBLE VENTA")).when(exceeds(sma, ema, price), F.lit("POSIBLE COMPRA"))
             .otherwise(F.lit("NEUTRO")))
 
 
 def q10_trading_alert(tecnicos: DataFrame, precios: DataFrame, ticker: str) -> DataFrame:
     it = tecnicos.filter((F.col("ticker") == ticker) & F.col("sma_20").isNotNull()
-                         & F.col("ema_20").isNotNull()).select("date", "ticker", "sma_20", "ema_20")
+                         & F.col("ema_20").isNotNull()).select("date", "ticker", "sma_20", "ema_20",
+                                                                         F.col("close").alias("_price"))
     ph = precios.select("ticker", "date", "close")
     return (it.join(ph, ["ticker", "date"], "left")
             .select("date", "ticker", "close", "sma_20", "ema_20",
-                    _trading_alert(F.col("sma_20"), F.col("ema_20")).alias("decision_trading"))
+                    _trading_alert(F.col("sma_20"), F.col("ema_20"), F.col("_price")).alias("decision_trading"))
             .orderBy(F.col("date").desc_nulls_first()))
 
 
@@ -111,8 +123,9 @@ def q11_latest_vs_bollinger(precios: DataFrame, tecnicos: DataFrame, ticker: str
 def q12_dashboard(tecnicos: DataFrame, precios: DataFrame, ticker: str, limit: int = 20) -> DataFrame:
     it = tecnicos.filter(F.col("ticker") == ticker)
     ph = precios.select("ticker", "date", F.col("close").alias("precio_actual"))
-    m, s = stable(F.col("macd")), stable(F.col("macd_signal"))
-    macd_state = (F.when(m > s, F.lit("MACD: Señal de COMPRA")).when(m < s, F.lit("MACD: Señal de VENTA"))
+    m, s, price = F.col("macd"), F.col("macd_signal"), F.col("close")
+    macd_state = (F.when(exceeds(m, s, price), F.lit("MACD: Señal de COMPRA"))
+                  .when(exceeds(s, m, price), F.lit("MACD: Señal de VENTA"))
                   .otherwise(F.lit("MACD: Neutro")))
     bb_state = (F.when(F.col("precio_actual") > F.col("bb_upper"), F.lit("Precio FUERA de Bandas: Sobrecompra"))
                 .when(F.col("precio_actual") < F.col("bb_lower"), F.lit("Precio FUERA de Bandas: Sobreventa"))

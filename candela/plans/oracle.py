@@ -9,7 +9,7 @@ block-scanned Spark form.
 from __future__ import annotations
 
 from candela.plans.catalog import (
-    BATCH1_END, BATCH2_START, CHECK_DECIMALS, REFRESH_AS_OF, TICKER,
+    BATCH1_END, BATCH2_START, CHECK_DECIMALS, OVERBOUGHT, REFETCH_START, TICKER, TOP_K,
 )
 
 LINE_ORDER = "row(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice)"
@@ -28,7 +28,7 @@ def _bars_body(ticker_expr: str, source: str) -> str:
   GROUP BY 1, 2"""
 
 
-SUPPLIER_TICKER = "concat('S', lpad(CAST(l_suppkey AS VARCHAR), 6, '0'))"
+SUPPLIER_TICKER = "printf('S%06d', l_suppkey)"
 BARS = f"bars AS MATERIALIZED ({_bars_body(SUPPLIER_TICKER, 'lineitem')})"
 BRAND_BARS = f"bars AS MATERIALIZED ({_bars_body('p_brand', 'lineitem JOIN part ON l_partkey = p_partkey')})"
 
@@ -38,13 +38,13 @@ PRICES = """prices AS MATERIALIZED (
   FROM bars WHERE ticker IS NOT NULL)"""
 
 COMPANIES = """companies AS (
-  SELECT replace(concat('S', lpad(CAST(s_suppkey AS VARCHAR), 6, '0')), '.', '-') AS ticker,
+  SELECT replace(printf('S%06d', s_suppkey), '.', '-') AS ticker,
          s_name AS name, r_name AS sector, n_name AS industry
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
                 JOIN region ON n_regionkey = r_regionkey)"""
 
 FUNDAMENTALS = """fundamentals AS (
-  SELECT concat('S', lpad(CAST(s_suppkey AS VARCHAR), 6, '0')) AS ticker, s_name AS name,
+  SELECT printf('S%06d', s_suppkey) AS ticker, s_name AS name,
          CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE CAST((s_suppkey*37) % 450 AS DOUBLE)/10 END AS per,
          CASE WHEN s_suppkey % 13 = 0 THEN NULL ELSE CAST((s_suppkey*13) % 30 AS DOUBLE)/100 END AS roe,
          CAST((s_suppkey*17) % 50 - 20 AS DOUBLE)/100 AS eps_growth_yoy,
@@ -208,13 +208,13 @@ b2 AS (SELECT date, ticker, open, high, low, close + {_d(1.0)} AS close, volume
        FROM prices WHERE date >= DATE '{BATCH2_START}')"""
 
 
-def _stable(c: str) -> str:
-    return f"round({c}, 9)"
+def _exceeds(a: str, b: str, price: str) -> str:
+    return f"({a} - {b} > {_d(1e-12)} * greatest(abs({a}), abs({b}), abs({price})))"
 
 
 def _signal_ab(a: str, b: str) -> str:
     return (f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN "
-            f"CASE WHEN {_stable(a)} > {_stable(b)} THEN 'COMPRAR' ELSE 'VENDER' END END")
+            f"CASE WHEN {_exceeds(a, b, 'i.close')} THEN 'COMPRAR' ELSE 'VENDER' END END")
 
 
 def _band(x: str, buy: str, sell: str) -> str:
@@ -296,13 +296,36 @@ def build() -> dict[str, str]:
                                + ", CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
     q["wide_to_long"] = f"{_with(BRAND_BARS, PRICES)} SELECT date, ticker, open, high, low, close, volume FROM prices"
     q["daily_refresh"] = (f"{_with(BARS, PRICES, BATCHES)} SELECT * FROM b1 UNION ALL "
-                          f"SELECT * FROM b2 WHERE date >= (SELECT max(date) FROM b1) + INTERVAL 1 DAY "
-                          f"AND date < DATE '{REFRESH_AS_OF}' + INTERVAL 1 DAY")
+                          f"SELECT date, ticker, open, high, low, CASE WHEN date >= DATE '{REFETCH_START}' "
+                          f"THEN close + {_d(1.0)} ELSE close END AS close, volume "
+                          f"FROM b2 WHERE date > (SELECT max(date) FROM b1)")
+    thirds = ", ".join(f"round_even({c} / {_d(7.0)}, 3) AS {c}" for c in ("open", "high", "low"))
+    q["clean_prices_messy"] = (f"{_with(BARS)}, keyed AS (SELECT *, CAST(substr(ticker, 2) AS BIGINT) AS k FROM bars) "
+                               f"SELECT date, ticker, {thirds}, CASE WHEN k % 9 <> 0 THEN "
+                               f"round_even(close / {_d(7.0)}, 3) END AS close, volume FROM keyed WHERE k % 10 <> 0")
+    quotes = """quotes AS (
+  SELECT CASE WHEN s_suppkey % 2 = 0 THEN printf('S%06d-B', s_suppkey) ELSE printf('S%06d', s_suppkey) END AS ticker,
+         s_suppkey AS k, s_name, s_suppkey % 7 <> 0 AND s_suppkey % 5 <> 0 AS present,
+         s_suppkey % 7 <> 0 AND s_suppkey % 5 <> 0 AND s_suppkey % 11 <> 0 AS whole,
+         CAST(CASE s_suppkey % 3 WHEN 0 THEN s_suppkey * 1000 WHEN 1 THEN s_suppkey * 1000 + 7
+              ELSE s_suppkey * 1000000 + 500000 END AS BIGINT) AS cap FROM supplier)"""
+    q["universe_from_quotes"] = (f"WITH {quotes} SELECT ticker, CASE WHEN present THEN s_name ELSE '' END AS name, "
+                                 f"CASE WHEN present AND NOT whole THEN 'x' ELSE '' END AS sector, '' AS industry, "
+                                 f"CASE WHEN whole THEN cap ELSE 0 END AS market_cap FROM quotes "
+                                 f"ORDER BY market_cap DESC, ticker LIMIT {TOP_K}")
+    nulls = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in
+                      ("roe", "eps_growth_yoy", "deuda_patrimonio", "margen_neto", "dividend_yield"))
+    symbol = "CASE WHEN k % 2 = 0 THEN printf('S%06d.B', k) ELSE ticker END"
+    q["fundamentals_from_quotes"] = (
+        f"WITH {quotes} SELECT {symbol} AS ticker, CASE WHEN present THEN s_name END AS name, "
+        f"CASE WHEN present AND NOT whole THEN 'x' END AS sector, CAST(NULL AS VARCHAR) AS industry, "
+        f"CASE WHEN whole THEN cap END AS market_cap, CASE WHEN whole THEN CAST(k % 45 AS DOUBLE) END AS per, {nulls}, "
+        f"CASE WHEN whole THEN CAST(k AS BIGINT) END AS acciones_circulacion FROM quotes WHERE k % 13 <> 0")
     q["distinct_tickers"] = f"{_with(BARS, PRICES)} SELECT DISTINCT ticker FROM prices WHERE ticker IS NOT NULL"
     q["top_market_cap"] = (f"{_with(COMPANIES, FUNDAMENTALS)} SELECT c.ticker, c.name, c.sector, c.industry, "
                            f"coalesce(f.market_cap, 0) AS market_cap FROM companies c "
                            f"LEFT JOIN fundamentals f ON f.ticker = c.ticker "
-                           f"ORDER BY market_cap DESC, c.ticker LIMIT 500")
+                           f"ORDER BY market_cap DESC, c.ticker LIMIT {TOP_K}")
     q["fundamentals_ranked"] = f"{_with(FUNDAMENTALS, FUND_RANKED)} SELECT * FROM fund_ranked"
     q["sma"] = f"{roll} SELECT date, ticker, close, sma_20, sma_50 FROM rolling"
     q["bollinger"] = f"{roll} SELECT date, ticker, close, bb_middle, bb_upper, bb_lower FROM rolling"
@@ -331,17 +354,16 @@ def build() -> dict[str, str]:
                 f"ORDER BY ph.date DESC")
     q["q06"] = (f"{roll} SELECT date, ticker, volatility_20 FROM rolling WHERE ticker = {T} "
                 f"AND volatility_20 IS NOT NULL ORDER BY volatility_20 DESC")
-    q["q07"] = (f"{roll} SELECT date, ticker, rsi_14 FROM rolling WHERE ticker = {T} "
-                f"AND rsi_14 > 70 AND rsi_14 IS NOT NULL ORDER BY date DESC")
+    q["q07"] = f"{roll} SELECT date, ticker, rsi_14 FROM rolling WHERE rsi_14 > {_d(OVERBOUGHT)} ORDER BY date DESC"
     q["q08"] = (f"{ind_chain} SELECT date, ticker, macd, macd_signal FROM ind WHERE ticker = {T} "
-                f"AND {_stable('macd_raw')} > {_stable('macd_signal_raw')} ORDER BY date DESC")
+                f"AND {_exceeds('macd_raw', 'macd_signal_raw', 'close')} ORDER BY date DESC")
     q["q09"] = (f"{_with(BARS, PRICES)} SELECT CAST(year(date) AS INTEGER) AS anio, min(close) AS min_close, "
                 f"max(close) AS max_close, "
                 f"CAST(sum(CAST(round(close * 1000) AS BIGINT)) AS DOUBLE) / ({_d(1000.0)} * CAST(count(close) AS DOUBLE)) AS avg_close "
                 f"FROM prices WHERE ticker = {T} GROUP BY 1 ORDER BY 1 DESC")
     q["q10"] = (f"{ind_chain} SELECT it.date, it.ticker, ph.close, it.sma_20, it.ema_20, "
-                f"CASE WHEN {_stable('it.sma_20')} < {_stable('it.ema_20_raw')} THEN 'POSIBLE VENTA' "
-                f"WHEN {_stable('it.sma_20')} > {_stable('it.ema_20_raw')} THEN 'POSIBLE COMPRA' "
+                f"CASE WHEN {_exceeds('it.ema_20_raw', 'it.sma_20', 'it.close')} THEN 'POSIBLE VENTA' "
+                f"WHEN {_exceeds('it.sma_20', 'it.ema_20_raw', 'it.close')} THEN 'POSIBLE COMPRA' "
                 f"ELSE 'NEUTRO' END AS decision_trading "
                 f"FROM ind it LEFT JOIN prices ph ON it.ticker = ph.ticker AND it.date = ph.date "
                 f"WHERE it.ticker = {T} AND it.sma_20 IS NOT NULL AND it.ema_20_raw IS NOT NULL "
@@ -354,8 +376,8 @@ def build() -> dict[str, str]:
     q["q12"] = (f"{ind_chain} SELECT it.date, it.ticker, ph.close AS precio_actual, "
                 f"round(it.rsi_14, 2) AS rsi_14, round(it.volatility_20, 2) AS volatilidad_20, "
                 f"round(it.macd_raw, 4) + {_d(0.0)} AS macd, round(it.macd_signal_raw, 4) + {_d(0.0)} AS macd_signal, "
-                f"CASE WHEN {_stable('it.macd_raw')} > {_stable('it.macd_signal_raw')} THEN 'MACD: Señal de COMPRA' "
-                f"WHEN {_stable('it.macd_raw')} < {_stable('it.macd_signal_raw')} THEN 'MACD: Señal de VENTA' "
+                f"CASE WHEN {_exceeds('it.macd_raw', 'it.macd_signal_raw', 'it.close')} THEN 'MACD: Señal de COMPRA' "
+                f"WHEN {_exceeds('it.macd_signal_raw', 'it.macd_raw', 'it.close')} THEN 'MACD: Señal de VENTA' "
                 f"ELSE 'MACD: Neutro' END AS estado_macd, "
                 f"CASE WHEN ph.close > it.bb_upper THEN 'Precio FUERA de Bandas: Sobrecompra' "
                 f"WHEN ph.close < it.bb_lower THEN 'Precio FUERA de Bandas: Sobreventa' "
@@ -369,6 +391,24 @@ def build() -> dict[str, str]:
                           f"SELECT * FROM b2 WHERE {anti.format(o='b1', s='b2')}")
     q["upsert_incremental"] = (f"{_with(BARS, PRICES, BATCHES)} SELECT * FROM b2 "
                                f"WHERE date > (SELECT max(date) FROM b1) UNION ALL SELECT * FROM b1")
+    target = (f"target AS (SELECT date, ticker, close + {_d(5.0)} AS close, CAST(-1 AS BIGINT) AS volume "
+              f"FROM prices WHERE date <= DATE '{BATCH1_END}')")
+    for name, pick in (("first", "arg_min"), ("last", "arg_max")):
+        ticks = (f"ticks AS (SELECT CAST(l_shipdate AS DATE) AS date, {SUPPLIER_TICKER} AS ticker, "
+                 f"{pick}(l_extendedprice, {LINE_ORDER}) AS close, "
+                 f"CAST({pick}(l_quantity, {LINE_ORDER}) AS BIGINT) AS volume FROM lineitem GROUP BY 1, 2)")
+        chain = _with(BARS, PRICES, target, ticks)
+        over, under = ("target", "ticks") if name == "first" else ("ticks", "target")
+        q[f"upsert_{name}_wins"] = (f"{chain} SELECT * FROM {over} UNION ALL SELECT * FROM {under} "
+                                    f"WHERE {anti.format(o=over, s=under)}")
+        if name == "last":
+            q["upsert_preserve"] = (f"{chain} SELECT k.date, k.ticker, k.close, t.volume FROM ticks k "
+                                    f"LEFT JOIN target t ON t.date = k.date AND t.ticker = k.ticker UNION ALL "
+                                    f"SELECT * FROM target WHERE {anti.format(o='ticks', s='target')}")
+    long_chain = _with(BRAND_BARS, *IND_CHAIN[1:], recursive=True)
+    q["ema_long"] = f"{long_chain} SELECT date, ticker, close, ema_20 FROM ind"
+    q["macd_long"] = f"{long_chain} SELECT date, ticker, close, macd, macd_signal, macd_hist FROM ind"
+    q["technical_indicators_long"] = f"{long_chain} SELECT {IND_COLS} FROM ind"
     q["orphans"] = (f"{_with(BARS, PRICES, FUNDAMENTALS)} SELECT ticker, count(*) AS n_rows, "
                     f"min(date) AS first_date, max(date) AS last_date FROM prices p "
                     f"WHERE NOT EXISTS (SELECT 1 FROM fundamentals f WHERE f.ticker = p.ticker) GROUP BY ticker")

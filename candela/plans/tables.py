@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.functions.tickers import normalize_ticker
@@ -28,6 +28,11 @@ RAW_TO_TABLE = {"Date": "date", "Ticker": "ticker", "Open": "open", "High": "hig
                 "Acciones en Circulación": "acciones_circulacion"}
 
 
+def no_nan(c: Column) -> Column:
+    """A missing number is null, never NaN, from the cleaning step on."""
+    return F.nanvl(c, F.lit(None).cast("double"))
+
+
 def to_table_names(df: DataFrame) -> DataFrame:
     """Rename landed headers to table names; absent names are ignored."""
     return df.withColumnsRenamed({k: v for k, v in RAW_TO_TABLE.items() if k in df.columns})
@@ -41,12 +46,13 @@ def clean_companies(df: DataFrame) -> DataFrame:
 
 def clean_prices(df: DataFrame) -> DataFrame:
     """The seven price columns, dates as dates, prices rounded to 3 places
-    half to even, rows without a ticker dropped."""
+    half to even, NaN as null, rows without a ticker dropped."""
     df = to_table_names(df)
     return df.filter(F.col("ticker").isNotNull()).select(
         F.to_date("date").alias("date"), "ticker",
-        *[F.bround(F.col(c).cast("double"), 3).alias(c) for c in ("open", "high", "low", "close")],
-        F.col("volume").cast("bigint").alias("volume"))
+        *[F.bround(no_nan(F.col(c).cast("double")), 3).alias(c) for c in ("open", "high", "low", "close")],
+        no_nan(F.col("volume").cast("double")).cast("bigint").alias("volume")
+        if dict(df.dtypes)["volume"] in ("float", "double") else F.col("volume").cast("bigint").alias("volume"))
 
 
 def rank_fundamentals(df: DataFrame) -> DataFrame:

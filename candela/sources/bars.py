@@ -26,9 +26,10 @@ BAR_COLUMNS = ["date", "ticker", "open", "high", "low", "close", "volume"]
 
 
 def supplier_ticker(suppkey: Column | str) -> Column:
-    """``S`` + six-digit zero-padded supplier key."""
-    return F.concat(F.lit("S"), F.lpad(F.col(suppkey).cast("string") if isinstance(suppkey, str)
-                                       else suppkey.cast("string"), 6, "0"))
+    """``S`` + the supplier key, zero-padded to six digits; longer keys keep
+    all their digits (``lpad`` alone would cut them)."""
+    key = (F.col(suppkey) if isinstance(suppkey, str) else suppkey).cast("string")
+    return F.concat(F.lit("S"), F.lpad(key, F.greatest(F.lit(6), F.length(key)), F.lit("0")))
 
 
 def suppkeys_from_tickers(tickers: Iterable[str]) -> list[int]:

@@ -48,7 +48,9 @@ QUOTE_FIELDS = [
 # become '', missing market cap 0).
 UNIVERSE_DEFAULTS = {"name": "", "sector": "", "industry": "", "market_cap": 0}
 
-QUOTE_SCHEMA = T.StructType([T.StructField(k, t) for k, _c, t in QUOTE_FIELDS])
+# Whole numbers may come with a decimal point or an exponent: every number is
+# parsed as a double and cast.
+QUOTE_SCHEMA = T.StructType([T.StructField(k, t if t == T.StringType() else T.DoubleType()) for k, _c, t in QUOTE_FIELDS])
 
 # Lower-case source headers and their canonical names.
 PRICE_RENAMES = {"date": "Date", "ticker": "Ticker", "open": "Open", "high": "High",
@@ -95,8 +97,10 @@ def parse_quote(json_col: Column) -> Column:
 def quote_columns(quote: Column, with_defaults: bool) -> dict[str, Column]:
     """Column name -> value of its quote key (with the listing defaults)."""
     out = {}
-    for key, name, _t in QUOTE_FIELDS:
+    for key, name, kind in QUOTE_FIELDS:
         c = quote.getField(key)
+        if kind != T.StringType():
+            c = F.nanvl(c, F.lit(None).cast("double")).cast(kind)
         if with_defaults and name in UNIVERSE_DEFAULTS:
             c = F.coalesce(c, F.lit(UNIVERSE_DEFAULTS[name]))
         out[name] = c.alias(name)

@@ -14,15 +14,14 @@ from pyspark.sql import functions as F
 FIELDS = ["open", "high", "low", "close", "volume"]
 
 
-def bounded_values(df: DataFrame, col: str, max_values: int) -> list[str]:
-    """Sorted distinct non-null values of ``col`` for a layout that needs them
-    as column names; more than ``max_values`` is an error (checked with a
-    distinct aggregate limited to ``max_values + 1`` rows)."""
-    rows = (df.select(col).filter(F.col(col).isNotNull()).distinct()
-              .limit(max_values + 1).collect())
-    if len(rows) > max_values:
-        raise ValueError(f"{col} has more than {max_values} values; too many for a wide layout")
-    return sorted(r[0] for r in rows)
+def long_to_wide_parts(df: DataFrame, names: DataFrame, per_part: int = 200,
+                       sep: str = "|", date: str = "date") -> list[DataFrame]:
+    """The wide layout of every ticker in ``names`` (one column), in parts of
+    ``per_part`` tickers: a wide file's width is bounded, the number of files
+    is not. The names become column names, so they have to reach the driver."""
+    tickers = sorted(r[0] for r in names.dropna().distinct().collect())
+    return [long_to_wide(df, tickers[i:i + per_part], sep=sep, date=date)
+            for i in range(0, len(tickers), per_part)]
 
 
 def long_to_wide(df: DataFrame, tickers: list[str], fields: list[str] | None = None,
@@ -31,7 +30,7 @@ def long_to_wide(df: DataFrame, tickers: list[str], fields: list[str] | None = N
     needs no extra pass to discover values)."""
     fields = fields or FIELDS
     aggs = [F.first(F.col(f).cast("double"), ignorenulls=True).alias(f) for f in fields]
-    wide = df.groupBy(date).pivot("ticker", tickers).agg(*aggs)
+    wide = df.where(F.col("ticker").isin(tickers)).groupBy(date).pivot("ticker", tickers).agg(*aggs)
     return wide.select(date, *[F.col(f"{t}_{f}").alias(f"{t}{sep}{f}") for t in tickers for f in fields])
 
 
