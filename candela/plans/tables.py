@@ -44,15 +44,16 @@ def clean_companies(df: DataFrame) -> DataFrame:
     return df.select(normalize_ticker(F.col("ticker")).alias("ticker"), "name", "sector", "industry")
 
 
-def clean_prices(df: DataFrame) -> DataFrame:
+def clean_prices(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The seven price columns, dates as dates, prices rounded to 3 places
-    half to even, NaN as null, rows without a ticker dropped."""
+    half to even, NaN as null, rows without a ticker dropped; ``keep`` names
+    further columns to carry along (an order of arrival)."""
     df = to_table_names(df)
     return df.filter(F.col("ticker").isNotNull()).select(
         F.to_date("date").alias("date"), "ticker",
         *[F.bround(no_nan(F.col(c).cast("double")), 3).alias(c) for c in ("open", "high", "low", "close")],
         no_nan(F.col("volume").cast("double")).cast("bigint").alias("volume")
-        if dict(df.dtypes)["volume"] in ("float", "double") else F.col("volume").cast("bigint").alias("volume"))
+        if dict(df.dtypes)["volume"] in ("float", "double") else F.col("volume").cast("bigint").alias("volume"), *(keep or []))
 
 
 def rank_fundamentals(df: DataFrame) -> DataFrame:
@@ -112,7 +113,7 @@ def fundamentals_from_quotes(quotes: DataFrame, symbol: str = "ticker", payload:
 
 def bootstrap_history(wide: DataFrame, sep: str = "|", date: str = "date") -> DataFrame:
     """Long price history from a landed wide file (one column per
-    ticker and field)."""
+    ticker and field; ``read_wide_prices_csv`` cuts the date range)."""
     from candela.sources.reshape import wide_to_long
     return clean_prices(wide_to_long(wide, sep=sep, date=date))
 

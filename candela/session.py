@@ -32,38 +32,45 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(os.path.join("/tmp", f"candela-checkpoints-{os.getpid()}"))
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``.  Only when it is unset (local tests) is a
-    fallback folder set."""
-    conf = spark.sparkContext.getConf()
-    current = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder: the one the context has, else the one the
+    cluster names in ``spark.checkpoint.dir``.  Without either, on more than
+    one machine, there is no folder that all executors see: an error."""
+    current = spark.sparkContext.getCheckpointDir()
     if current:
-        spark.sparkContext.setCheckpointDir(current)
         return current
-    path = fallback or os.path.join("/tmp", f"candela-checkpoints-{os.getpid()}")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not named and spark.sparkContext.master.startswith("local["):
+        named = os.path.join("/tmp", f"candela-checkpoints-{os.getpid()}")
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(named)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cluster_settings(input_bytes: float, executors: int, cores_per_executor: int,
-                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+                     target_partition_bytes: int = 256 << 20, aggregated_share: float = 0.05) -> dict[str, str]:
     """Suggested settings for a run over ``input_bytes`` of line items (the
     caller applies them when building its session; library code never
     changes a session).
 
-    * initial shuffle partitions: about one per ``target_partition_bytes`` of
-      input (the bar shuffle is about the size of the projected input), at
-      least two waves of tasks; AQE then coalesces them to the advisory size;
-    * file splits of 256 MiB keep scan tasks well inside executor memory;
+    * file splits of 1 GiB at 100 TB (about 12 waves of tasks elsewhere, 64 MiB
+      at least): the scan streams, so a split does not have to fit in memory;
+    * initial shuffle partitions: one per ``target_partition_bytes`` of what is
+      shuffled, ``aggregated_share`` of the input (few columns, combined per
+      map task), at least two waves; AQE then coalesces them. Map status is
+      maps x reducers: at 100 TB 93,133 x 18,627, about 1.7e9 compressed
+      sizes of a byte, and in highly compressed form far less;
     * AQE skew handling splits any shuffle partition over 5x the median.
     """
     slots = executors * cores_per_executor
-    partitions = max(2 * slots, int(input_bytes // target_partition_bytes) + 1)
+    split = min(1 << 30, max(64 << 20, int(input_bytes // (12 * slots))))
+    partitions = max(2 * slots, int(input_bytes * aggregated_share // target_partition_bytes) + 1)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -71,7 +78,7 @@ def cluster_settings(input_bytes: float, executors: int, cores_per_executor: int
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     }

@@ -57,9 +57,34 @@ PRICE_RENAMES = {"date": "Date", "ticker": "Ticker", "open": "Open", "high": "Hi
                  "low": "Low", "close": "Close", "volume": "Volume"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and an explicit schema."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+ARRIVAL = "arrival"
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, arrival: bool = False) -> DataFrame:
+    """The columns of ``schema`` from CSV files with a header: found by name
+    (exactly, else in any case), cast, in the schema's order; other columns
+    are ignored, a missing one is an error.  ``arrival`` adds the rows' order of
+    arrival: file time, file, place in the file.
+
+    Files of one read must share their header: read folders of several
+    layouts one by one."""
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    lower = {c.lower(): c for c in reversed(raw.columns)}
+    columns, missing = [], []
+    for f in schema.fields:
+        name = f.name if f.name in raw.columns else lower.get(f.name.lower())
+        if name is None:
+            missing.append(f.name)
+        else:
+            columns.append(F.col(f"`{name}`").try_cast(f.dataType).alias(f.name))
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    if arrival:
+        columns.append(F.struct(F.col("_metadata.file_modification_time").alias("at"),
+                                F.col("_metadata.file_path").alias("file"),
+                                F.col("_metadata.file_block_start").alias("block"),
+                                F.monotonically_increasing_id().alias("row")).alias(ARRIVAL))
+    return raw.select(*columns)
 
 
 CONSTITUENTS = T.StructType([T.StructField("Symbol", T.StringType())])
@@ -73,9 +98,9 @@ def read_constituents(spark: SparkSession, path: str) -> DataFrame:
             .select(normalize_ticker(F.col("Symbol")).alias("ticker")).distinct())
 
 
-def read_prices_csv(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+def read_prices_csv(spark: SparkSession, path: str, start=None, end=None, arrival: bool = False) -> DataFrame:
     """Long price file; optional half-open date range ``[start, end)``."""
-    df = read_csv(spark, path, RAW_PRICES)
+    df = read_csv(spark, path, RAW_PRICES, arrival)
     if start is not None:
         df = df.filter(F.col("Date") >= F.lit(start))
     if end is not None:
@@ -83,6 +108,30 @@ def read_prices_csv(spark: SparkSession, path: str, start=None, end=None) -> Dat
     return df
 
 
+def read_wide_prices_csv(spark: SparkSession, path: str, start=None, end=None, sep: str = "|") -> DataFrame:
+    """Landed wide file: a date column, then ``ticker|field`` columns, all
+    numbers; optional half-open date range ``[start, end)``."""
+    raw = spark.read.option("header", True).csv(path)
+    date = next((c for c in raw.columns if c.lower() == "date"), None)
+    if date is None:
+        raise ValueError(f"{path} has no date column")
+    df = raw.select(F.col(f"`{date}`").try_cast("date").alias("date"), *[
+        F.col(f"`{c}`").try_cast("double").alias(c if sep not in c else f"{c.split(sep, 1)[0]}{sep}{c.split(sep, 1)[1].lower()}")
+        for c in raw.columns if sep in c])
+    if start is not None:
+        df = df.filter(F.col("date") >= F.lit(start))
+    if end is not None:
+        df = df.filter(F.col("date") < F.lit(end))
+    return df
+
+
+def read_quotes_json(spark: SparkSession, path: str) -> DataFrame:
+    """Landed quotes: one JSON object a line with ``ticker`` and ``quote`` (an
+    object, kept as text for ``parse_quote``) and, for a failed fetch, ``failed`` true."""
+    schema = "ticker string, quote string, failed boolean"
+    return spark.read.schema(schema).json(path).withColumn("failed", F.coalesce("failed", F.lit(False)))
+
+
 def canonical_price_columns(df: DataFrame) -> DataFrame:
     """Rename lower-case headers; names that are absent are ignored."""
     return df.withColumnsRenamed({k: v for k, v in PRICE_RENAMES.items() if k in df.columns})

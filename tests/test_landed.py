@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from candela.operators.merge import refresh_history
@@ -29,6 +30,62 @@ def test_price_csv_half_open_range(spark):
     assert got[0].open == 1.235 and got[0].volume == 200 and got[0].ticker == "AAA"
 
 
+def _csv(text):
+    d = tempfile.mkdtemp(prefix="candela-test-", dir="/tmp")
+    path = os.path.join(d, "file.csv")
+    with open(path, "w") as fh:
+        fh.write(text)
+    return path
+
+
+def test_columns_are_found_by_name(spark):
+    path = _csv("DATE,ticker,Adj Close,Close,High,Low,Open,volume\n2024-01-02,AAA,9.5,4,3,2,1,NaN\nbad,BBB,x,x,x,x,x,x\n")
+    r = read_prices_csv(spark, path).orderBy("Ticker").collect()
+    assert (r[0].Open, r[0].High, r[0].Low, r[0].Close) == (1.0, 3.0, 2.0, 4.0)
+    assert r[1].Date is None and r[1].Close is None  # unreadable values are missing
+    clean = clean_prices(read_prices_csv(spark, path)).filter("ticker = 'AAA'").first()
+    assert clean.volume is None and clean.close == 4.0
+    with pytest.raises(ValueError, match="Volume"):
+        read_prices_csv(spark, _csv("Date,Ticker,Open,High,Low,Close\n"))
+
+
+def test_constituents_in_a_later_column(spark):
+    from candela.sources.landed import read_constituents
+    got = read_constituents(spark, _csv("Security,Symbol\nBerkshire,BRK.B\nAlpha,AAA\nNone,\n")).collect()
+    assert sorted(r.ticker for r in got) == ["AAA", "BRK-B"]
+
+
+def test_rows_arrive_in_file_order(spark):
+    path = _csv("Date,Ticker,Open,High,Low,Close,Volume\n" + "".join(f"2024-01-02,A,1,1,1,{i},1\n" for i in range(50)))
+    df = read_prices_csv(spark, path, arrival=True)
+    assert [r.Close for r in df.orderBy("arrival").collect()] == [float(i) for i in range(50)]
+
+
+def test_wide_file_with_a_date_range(spark):
+    from candela.sources.landed import read_wide_prices_csv
+    path = _csv("Date,AA|Open,AA|Close,BB|Close,BB|Open,note\n2024-01-01,1,2,3,4,x\n2024-01-02,5,6,,,x\n2024-01-03,7,8,9,10,x\n")
+    wide = read_wide_prices_csv(spark, path, start=dt.date(2024, 1, 1), end=dt.date(2024, 1, 3))
+    from candela.sources.reshape import wide_to_long
+    got = sorted((r.ticker, r.date.day, r.open, r.close) for r in wide_to_long(wide).collect())
+    assert got == [("AA", 1, 1.0, 2.0), ("AA", 2, 5.0, 6.0), ("BB", 1, 4.0, 3.0)]
+
+
+def test_numbers_in_quotes_of_any_spelling(spark):
+    q = spark.createDataFrame([("A", '{"marketCap": 2500000000.0}'), ("B", '{"marketCap": 2.5e9}'), ("C", '{"marketCap": 7}')],
+                              "symbol string, quote string")
+    assert [(r.ticker, r.market_cap) for r in build_universe(q).collect()] == [("A", 2500000000), ("B", 2500000000), ("C", 7)]
+
+
+def test_nan_is_missing_from_the_cleaning_on(spark):
+    from candela.operators.technical import technical_indicators
+    bars = make_bars(spark, {"A": [1.0] * 30 + [float("nan")] + [2.0] * 30})
+    clean = clean_prices(bars)
+    assert clean.filter("isnan(close)").count() == 0 and clean.filter("close IS NULL").count() == 1
+    out = technical_indicators(clean).orderBy("date").collect()
+    assert out[30].sma_20 is None and out[30].close is None and out[55].sma_20 is not None
+    assert not any(isinstance(v, float) and v != v for r in out for v in r)
+
+
 def test_lower_case_headers_are_renamed(spark):
     df = spark.createDataFrame([("2024-01-01", "a", 1.0)], "date string, ticker string, close double")
     assert canonical_price_columns(df).columns == ["Date", "Ticker", "Close"]

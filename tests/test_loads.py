@@ -100,6 +100,65 @@ def test_streaming_refresh(spark):
     assert store.versions("precios_historicos") == before  # empty rerun writes nothing
 
 
+def test_stream_with_a_new_checkpoint_reads_on(spark):
+    land, base = scratch(), scratch()
+    p = precios_historicos(spark, SF001)
+    cuts = [dt.date(1998, 6, 30), dt.date(1999, 12, 31), dt.date(2030, 1, 1)]
+    low = dt.date(1900, 1, 1)
+    for i, (hi, ck) in enumerate(zip(cuts, [scratch()] * 2 + [scratch()], strict=True)):
+        p.filter((F.col("date") > F.lit(low)) & (F.col("date") <= F.lit(hi))).write.parquet(os.path.join(land, f"b{i}"))
+        low = hi
+        start_price_refresh(spark, os.path.join(land, "*"), base, ck).awaitTermination()
+    store = TableStore(spark, base)
+    assert store.versions("precios_historicos") == [1, 2, 3]
+    got = store.read("precios_historicos").select("date", "ticker", F.col("close").cast("double"))
+    assert rows(got) == rows(p.select("date", "ticker", "close"))
+    batch = store.manifest("precios_historicos", 3)["batch"]
+    assert store.loaded("precios_historicos", batch) and not store.loaded("precios_historicos", batch + "0")
+
+
+def test_landed_run_over_two_days(spark):
+    from candela.plans.landed_run import landed_run
+    from candela.sources.landed import read_prices_csv
+    land, base, whole = scratch(), scratch(), scratch()
+    os.makedirs(os.path.join(land, "prices"))
+    with open(os.path.join(land, "constituents.csv"), "w") as fh:
+        fh.write("Name,Symbol\nOne,AA\nTwo,BRK.B\n")
+    with open(os.path.join(land, "quotes.json"), "w") as fh:
+        fh.write('{"ticker": "AA", "quote": {"shortName": "One", "marketCap": 2.5e9, "trailingPE": 12}}\n')
+        fh.write('{"ticker": "BRK-B", "quote": {"shortName": "Two"}}\n{"ticker": "CC", "quote": {}, "failed": true}\n')
+
+    def day(name, lines):
+        with open(os.path.join(land, "prices", name), "w") as fh:
+            fh.write("Ticker,Date,Adj Close,Close,Open,High,Low,Volume\n")
+            fh.writelines(f"{t},{d},0,{c},{c},{c + 1},{c - 1},100\n" for t, d, c in lines)
+
+    first = dt.date(2024, 1, 1)
+    days = [first + dt.timedelta(days=i) for i in range(60)]
+    day("a.csv", [(t, d, 100.1 + i + k) for i, d in enumerate(days[:-1]) for k, t in enumerate(["AA", "BRK-B", "ZZ"])])
+    one = {r.table: r for r in landed_run(spark, land, base, 1, days[-2])}
+    assert one["precios_historicos"].rows == 2 * 59 and one["indicadores_tecnicos"].rows == 2 * 59
+    # the next day: a first and a corrected bar, and a late one that the watermark drops
+    day("b.csv", [("AA", days[-1], 500.0), ("AA", days[-1], 400.0), ("BRK-B", days[-1], 300.0), ("AA", days[3], 1.0)])
+    two = {r.table: r for r in landed_run(spark, land, base, 2, days[-1])}
+    assert two["precios_historicos"].rows == 2 and two["precios_variaciones"].rows == 2
+    again = {r.table: r for r in landed_run(spark, land, base, 3, days[-1])}
+    assert again["precios_historicos"].rows == 0
+    store = TableStore(spark, base)
+    assert {r.ticker: float(r.close) for r in store.read("precios_historicos", since=str(days[-1])).collect()
+            } == {"AA": 400.0, "BRK-B": 300.0}
+    # a build from scratch of the same bars gives the same tables
+    os.remove(os.path.join(land, "prices", "b.csv"))
+    day("c.csv", [("AA", days[-1], 400.0), ("BRK-B", days[-1], 300.0)])
+    landed_run(spark, land, whole, 1, days[-1])
+    for t in ("empresas", "precios_historicos", "precios_variaciones", "resumen_inversion"):
+        assert rows(TableStore(spark, whole).read(t)) == rows(store.read(t)), t
+    # whole-series levels of stored days stay as they were loaded: the watermark rule
+    last = lambda base: rows(TableStore(spark, base).read("indicadores_tecnicos", since=str(days[-1])))
+    assert last(whole) == last(base) and len(last(base)) == 2
+    assert read_prices_csv(spark, os.path.join(land, "prices")).count() == 3 * 59 + 2
+
+
 def test_wide_long_round_trip(spark):
     bars = make_bars(spark, {"A": [1.0, 2.0, None], "B": [3.0, 4.0, 5.0]})
     bars = bars.withColumn("volume", F.when(F.col("close").isNotNull(), F.col("volume")))
@@ -117,6 +176,44 @@ def test_quote_defaults(spark):
     assert got == {"BRK-B": ("X", "", 5), "Y": ("", "", 0)}
 
 
+def test_appending_load_leaves_the_rest_alone(spark):
+    store = TableStore(spark, scratch())
+    load_table(store, "precios_historicos", make_bars(spark, {"A": [1.0, 2.0]}), 1)
+    old = store.manifest("precios_historicos", 1)["folders"]
+    files = {f: os.stat(f).st_mtime_ns for f in _files(store)}
+    r = load_table(store, "precios_historicos", make_bars(spark, {"A": [9.0, 9.0, 3.0], "B": [7.0]}), 2)
+    assert r.rows == 1  # only A's third day is after the watermark
+    new = store.manifest("precios_historicos", 2)["folders"]
+    assert new[:-1] == old and len(new) == 2
+    assert all(os.stat(f).st_mtime_ns == t for f, t in files.items())
+    got = {(x.ticker, x.date.day): float(x.close) for x in store.read("precios_historicos").collect()}
+    assert got == {("A", 1): 1.0, ("A", 2): 2.0, ("A", 3): 3.0}
+    assert store.read("precios_historicos", version=1).count() == 2
+    late = store.read("precios_historicos", since="2020-01-03")
+    assert late.count() == 1 and len(late.inputFiles()) < len(store.read("precios_historicos").inputFiles())
+    plan = merge.newer_than(late, "2020-01-02")._jdf.queryExecution().toString()
+    assert "Join" not in plan
+
+
+def _files(store):
+    return [os.path.join(d, f) for d, _, fs in os.walk(store.base) for f in fs if f.endswith(".parquet")]
+
+
+def test_duplicates_inside_a_load_go_by_arrival(spark):
+    days = [dt.date(2020, 1, 1)] * 2 + [dt.date(2020, 1, 2)]
+    rows_ = [(d, "C", 1.0, v, i) for i, (d, v) in enumerate(zip(days, [5.0, 4.0, 6.0], strict=True))]
+    src = spark.createDataFrame(rows_, "date date, ticker string, open double, close double, seq int")
+    for table, expected in (("precios_historicos", 5.0), ("indicadores_tecnicos", 4.0)):
+        store = TableStore(spark, scratch())
+        load_table(store, table, src, 1, seq="seq")
+        got = {r.date.day: float(r.close) for r in store.read(table).collect()}
+        assert got == {1: expected, 2: 6.0}
+    store = TableStore(spark, scratch())
+    names = spark.createDataFrame([("C", "zfirst", 1), ("C", "alast", 2)], "ticker string, name string, seq int")
+    load_table(store, "empresas", names, 1, seq="seq")
+    assert store.read("empresas").first().name == "alast"
+
+
 def test_load_table_empty_delta(spark):
     store = TableStore(spark, scratch())
     p = make_bars(spark, {"A": [1.0, 2.0]})
