@@ -5,19 +5,21 @@ link when the overlap of their sets is at least ``percent`` of their union.
 The classes of the links' transitive closure come back with every document.
 
 Equal sets are one node. For any global order of tokens, two sets that link
-share a token among the first |x| - ceil(threshold * |x|) + 1 tokens of each
-(their prefixes). The index holds the prefixes in the first order, rare tokens
-first: frequent tokens, counted over the whole corpus, come last. The other
-orders sort the same tokens by different hashes; a candidate pair must share a
-prefix token in each of them before its overlap is counted. The index keeps
-each token's place as well: where the first common token stands late, too
-little is left for a link.
-
-Pairs of a token's documents are not written out. First each meets one leader
-of its token (one of LEADERS per group of look-alikes), which is as many pairs
-as prefix tokens; the links found give classes. What the leaders leave open
-are pairs across classes that share a token: only documents outside a token's
-largest class meet the others there. Pairs within a class need no check, as
+share COMMON tokens among the first |x| - ceil(threshold * |x|) + COMMON of
+each (their prefixes). The index holds the prefixes in the first order, rare
+tokens first: frequent tokens, counted over the whole corpus, come last. Pairs
+that share fewer prefix tokens are dropped, as are pairs of sizes too far
+apart and those whose first common token stands so late that too little is
+left. The other orders sort the same tokens by different hashes; a pair must
+share a prefix token in each of them too before its overlap is counted.
+
+Pairs of a token's documents are not written out. First each document meets a
+few leaders of its tokens, which is as many pairs as documents; the links
+found give classes. What the leaders leave open are pairs across classes: for
+most tokens they are few, and only documents outside a token's largest class
+meet the others there. What the tokens with many of them connect is compared
+in blocks of documents of like sizes, and a pair of blocks answers with as
+many links as connect its classes. Pairs within a class need no check, as
 their documents are connected already, so no link between classes is lost.
 
 Defined cases: null or empty texts, and texts without words, have the empty
@@ -33,17 +35,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from candela.llm.store import fitted, staged
 from candela.llm.text import NOT_SPACE, chunks, mix, words
 
 #: orders that a candidate pair has to pass, the index's included
 ORDERS = 3
-LEADERS = 16
+#: tokens that the index's prefixes of a pair must share
+COMMON = 3
+#: leaders that a document meets at a time
+LEADERS = 4
+#: a token is heavy where so many pairs across classes share it
+HEAVY = 2000
+#: documents of a block in which what heavy tokens connect is compared
+BLOCK_NODES = 128
 #: tokens that stand last in every order; an order may be any, so the bound costs no pair
-FREQUENT = 200_000
+FREQUENT = 1_000_000
 #: a task reports tokens that so many of its documents share
-LOCAL_COUNT = 3
+LOCAL_COUNT = 2
 #: ids of documents whose sets are read again go to the tasks up to this many, else by a join
 BROADCAST_IDS = 2_000_000
 #: tokens that a task counts at a time
@@ -84,8 +94,10 @@ def node_of(tokens: np.ndarray) -> int:
     return int(h[0].astype(np.int64))
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+def prefix_length(n: int, percent: int, common: int = 1) -> int:
+    """So long a prefix that sets that link share ``common`` tokens of theirs.
+    Sets of up to ``common`` tokens link with none but their equals."""
+    return min(n, n - -(-percent * n // 100) + common)
 
 
 class Orders:
@@ -106,7 +118,7 @@ class Orders:
         """The prefix of a set, its first token of the order first."""
         ranks = self.ranks(tokens) if ranks is None else ranks
         by = np.lexsort((mix(tokens + _SALTS[order]), ranks))  # equal hashes keep the tokens' own order
-        return tokens[by[:prefix_length(len(tokens), self.percent)]]
+        return tokens[by[:prefix_length(len(tokens), self.percent, 1 if order else COMMON)]]
 
 
 def linked(a: np.ndarray, b: np.ndarray, orders: Orders) -> bool:
@@ -237,10 +249,78 @@ def _read_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return staged(_map_sets(again.select("doc_id", "text", "node"), size, "node long, tokens binary", kept), "sets")
 
 
-def _may_link(percent: int, nx: str, capx: str, ny: str, capy: str) -> Column:
-    """Sizes and places allow a link: with a first common token at these
-    places, no more than what follows can be common."""
-    return F.expr(f"100 * least({nx}, {ny}) >= {percent} * greatest({nx}, {ny}) AND {nx} + {ny} <= least({capx}, {capy})")
+def _sizes_fit(percent: int, nx: str, ny: str) -> Column:
+    return F.expr(f"100 * least({nx}, {ny}) >= {percent} * greatest({nx}, {ny})")
+
+
+def _places_fit(nx: str, capx: str, ny: str, capy: str) -> Column:
+    """With a first common token at these places, enough follows for a link."""
+    return F.expr(f"{nx} + {ny} <= least({capx}, {capy})")
+
+
+def _best_leaders(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of every node with the LEADERS leaders that it shares most
+    tokens with, two at least. ``rows``: node, lead, a row per token."""
+    counted = rows.groupBy("node", "lead").agg(F.count("*").alias("k")).where("k > 1")
+    first = Window.partitionBy("node").orderBy(F.desc("k"), "lead")
+    return (counted.withColumn("r", F.row_number().over(first)).where(F.col("r") <= LEADERS)
+            .select(*_pairs(F.col("node"), F.col("lead"))).distinct())
+
+
+def _shared_enough(pairs: DataFrame, posted: DataFrame) -> DataFrame:
+    """The pairs (a, b) that share COMMON tokens of their prefixes."""
+    left = posted.select(F.col("node").alias("a"), "token")
+    right = posted.select(F.col("node").alias("b"), "token")
+    return (pairs.join(left, "a").join(right, ["b", "token"]).groupBy("a", "b").agg(F.count("*").alias("k"))
+            .where(F.col("k") >= COMMON).select("a", "b"))
+
+
+def _blockwise(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes inside clusters (node, n, root, cluster):
+    clusters are cut into blocks of documents of like sizes, and blocks whose
+    sizes allow links are compared two at a time, by products of their token
+    incidences. A pair of blocks returns no more links than connect its classes."""
+    by_size = Window.partitionBy("cluster").orderBy("n", "node")
+    placed = nodes.withColumn("nth", F.row_number().over(by_size)).withColumn("block", F.expr(f"(nth - 1) div {BLOCK_NODES}"))
+    blocks = staged(placed.join(sets, "node").groupBy("cluster", "block").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"),
+        F.collect_set(F.struct("node", "root", "tokens")).alias("docs")), "blocks")
+    meta = blocks.select("cluster", "block", "least", "most")
+    pairs = meta.toDF("cluster", "i", "li", "mi").join(meta.toDF("cluster", "j", "lj", "mj"), "cluster").where(
+        f"i <= j AND 100 * mi >= {percent} * lj").select("cluster", "i", "j")
+    met = (pairs.join(blocks.select("cluster", F.col("block").alias("i"), F.col("docs").alias("x")), ["cluster", "i"])
+           .join(blocks.select("cluster", F.col("block").alias("j"), F.col("docs").alias("y")), ["cluster", "j"]).select("x", "y"))
+
+    def run(batches):
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                tx, ty = ([np.frombuffer(d["tokens"], np.uint64) for d in z] for z in (x, y))
+                nx, ny = np.array(list(map(len, tx))), np.array(list(map(len, ty)))
+                vocabulary = np.intersect1d(np.concatenate(tx), np.concatenate(ty))
+                both = np.zeros((len(x), len(y)), np.float32)  # exact: far below 2**24
+                for v in range(0, len(vocabulary), 4096):
+                    part = vocabulary[v:v + 4096]
+                    mx, my = (np.stack([np.isin(part, t, assume_unique=True) for t in z]).astype(np.float32) for z in (tx, ty))
+                    both += mx @ my.T
+                link = 100 * both >= percent * (nx[:, None] + ny[None] - both)
+                i, j = np.nonzero(link)
+                root = {d["root"]: d["root"] for d in (*x, *y)}
+
+                def find(r, root=root):
+                    while root[r] != r:
+                        root[r] = r = root[root[r]]
+                    return r
+
+                out = []
+                for a, b in zip(i.tolist(), j.tolist(), strict=True):
+                    ra, rb = find(x[a]["root"]), find(y[b]["root"])
+                    if ra != rb:
+                        root[ra] = rb
+                        out.append((x[a]["node"], y[b]["node"]))
+                yield pa.RecordBatch.from_pydict({"a": pa.array([o[0] for o in out], pa.int64()),
+                                                  "b": pa.array([o[1] for o in out], pa.int64())})
+
+    return met.mapInArrow(run, "a long, b long")
 
 
 def link_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -262,42 +342,49 @@ def link_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
                 "node": np.repeat(np.array(list(map(node_of, some)), np.int64), lens),
                 "bounds": n + ((n - place) * (100 + percent) // percent << 32)}
 
-    posted = _map_sets(docs, size, "token long, node long, bounds long", prefixes).repartition("token")
-    # one leader of a token for each of LEADERS hashes of tokens, so that look-alikes share few leaders
-    salt = F.xxhash64(F.pmod("token", F.lit(LEADERS)))
-    place = F.col("node").bitwiseXOR(salt)
-    leads = posted.groupBy("token").agg(
-        F.min(place).alias("lead"), F.min_by("bounds", place).alias("led"), F.min("node").alias("lo"),
-        F.max("node").alias("hi")).where("lo < hi").select("token", "lead", "led")
-    shared = staged(posted.join(leads, "token").select(
+    every = _map_sets(docs, size, "token long, node long, bounds long", prefixes).repartition("token")
+    leads = every.groupBy("token").agg(
+        F.min("node").alias("lead"), F.min_by("bounds", "node").alias("led"), F.max("node").alias("hi")).where("lead < hi")
+    posted = staged(every.join(leads.select("token", "lead", "led"), "token").select(
         "token", "node", F.expr("bounds & 4294967295").alias("n"), F.expr("bounds >> 32").alias("cap"),
-        F.col("lead").bitwiseXOR(salt).alias("lead"), F.expr("led & 4294967295").alias("nl"),
-        F.expr("led >> 32").alias("capl")), "postings")
-    star = staged(shared.where("node <> lead").where(_may_link(percent, "n", "cap", "nl", "capl"))
-                  .select(*_pairs(F.col("node"), F.col("lead"))).distinct(), "star")
+        "lead", F.expr("led & 4294967295").alias("nl")).distinct(), "postings")
 
     nodes = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    met = star.select(F.col("a").alias("node")).union(star.select("b")).distinct()
-    sets = _read_sets(docs, met.join(nodes, "node"), size)
-    links = staged(_verified(star, sets, orders), "links")
+    tried = staged(_best_leaders(posted.where("node <> lead").where(_sizes_fit(percent, "n", "nl"))), "pairs")
+    read = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
+    sets = _read_sets(docs, read.join(nodes, "node"), size)
+    links = staged(_verified(tried, sets, orders), "links")
     roots = components(links)
 
-    # what the leaders left open: pairs across classes that share a token
-    classed = (shared.select("token", "node", "n", "cap").join(roots, "node", "left")
+    # tokens whose documents are of several classes; few of them have many such documents
+    classed = (posted.select("token", "node", "n", "cap").join(roots, "node", "left")
                .select("token", "node", "n", "cap", F.coalesce("root", "node").alias("root")))
-    parted = classed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    classed = staged(classed.join(parted.select("token"), "token").distinct(), "open")
-    largest = (classed.groupBy("token", "root").agg(F.count("*").alias("k"))
-               .groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("largest")))
-    minor = (classed.join(largest, "token").where("root <> largest")
-             .select("token", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"),
-                     F.col("cap").alias("capx"), "largest"))
-    cross = staged(minor.join(classed, "token").where(
-        "rx <> root AND (root = largest OR x < node)").where(_may_link(percent, "nx", "capx", "n", "cap"))
-        .select(*_pairs(F.col("x"), F.col("node"))).distinct().join(star, ["a", "b"], "left_anti"), "cross")
-    more = cross.select(F.col("a").alias("node")).union(cross.select("b")).distinct().join(met, "node", "left_anti")
+    parted = (classed.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(
+        F.max_by("root", F.struct("k", "root")).alias("largest"), (F.sum("k") - F.max("k")).alias("minor"), F.sum("k").alias("k"))
+        .where("minor > 0"))
+    open_ = staged(classed.join(parted, "token").withColumn("heavy", F.expr(f"minor * k > {HEAVY}")).drop("minor", "k"), "open")
+
+    # light tokens: documents outside the largest class meet the others
+    light = open_.where(~F.col("heavy"))
+    minor = (light.where("root <> largest").select(
+        "token", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("cap").alias("capx")))
+    cross = minor.join(light, "token").where("rx <> root AND (root = largest OR x < node)").where(
+        _sizes_fit(percent, "nx", "n") & _places_fit("nx", "capx", "n", "cap")).select(
+        *_pairs(F.col("x"), F.col("node"))).distinct().join(tried, ["a", "b"], "left_anti")
+    cross = staged(_shared_enough(cross, posted), "pairs")
+
+    # heavy tokens: what they connect is compared block by block
+    heavy = open_.where("heavy")
+    heads = heavy.groupBy("token").agg(F.min("node").alias("head"))
+    clusters = components(heavy.join(heads, "token").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())
+    grouped = staged(heavy.select("node", "n", "root").distinct()
+                     .join(clusters.withColumnRenamed("root", "cluster"), "node", "left")
+                     .withColumn("cluster", F.coalesce("cluster", "node")), "clusters")
+    more = (cross.select(F.col("a").alias("node")).union(cross.select("b")).union(grouped.select("node")).distinct()
+            .join(read, "node", "left_anti"))
     sets = sets.union(_read_sets(docs, more.join(nodes, "node"), size))
-    links = links.union(staged(_verified(cross, sets, orders), "links"))
+    links = links.union(staged(_verified(cross, sets, orders), "links")).union(
+        staged(_blockwise(grouped, sets, percent), "links"))
     roots = components(links)
 
     classes = nodes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
