@@ -7,7 +7,7 @@ else, in whatever document, is removed.
    smallest hash, so equal strings have equal anchors at the same place, and
    the starts of a document fall into ranges with one anchor each. A range's
    *segment* are the bytes of all its strings. Documents are read once and
-   give a small row for each range.
+   give a small row for each range, or run of equal ranges.
 2. *Groups.* Only segments whose anchor occurs again can hold a repeat.
    Segments that occur twice or more are repeats as a whole. What is left are
    single segments in groups with others: near copies around an edit.
@@ -208,15 +208,22 @@ def _ranges(docs: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for lo, hi, buf, offs in chunks(batch.column(0)):
                 q, first, last, f, s, doc = anchors(buf, offs, length)
+                # a periodic text repeats a range at once: one row for the run
+                again = (f[1:] == f[:-1]) & (s[1:] == s[:-1]) & (doc[1:] == doc[:-1]) & (first[1:] == last[:-1] + 1)
+                runs = np.flatnonzero(np.append(True, ~again)[:len(f)])
+                stop = np.append(runs[1:], len(f)) if len(f) else runs
+                ends, times = last[stop - 1], stop - runs
+                q, first, last, f, s, doc = (x[runs] for x in (q, first, last, f, s, doc))
                 rows = pa.array(lo + doc)
                 base = offs[doc]
                 yield pa.RecordBatch.from_pydict({
                     "f": f.view(np.int64), "s": s.view(np.int64), "k1": batch.column(1).take(rows),
                     "k2": batch.column(2).take(rows), "q": (q - base).astype(np.int32),
-                    "lo": (first - base).astype(np.int32), "hi": (last - base).astype(np.int32)})
+                    "lo": (first - base).astype(np.int32), "hi": (last - base).astype(np.int32),
+                    "end": (ends - base).astype(np.int32), "times": times.astype(np.int32)})
 
     return _keyed(docs).select("text", "k1", "k2").mapInArrow(
-        run, "f long, s long, k1 long, k2 long, q int, lo int, hi int")
+        run, "f long, s long, k1 long, k2 long, q int, lo int, hi int, end int, times int")
 
 
 def _segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -288,11 +295,11 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     """k1, k2, ranges (first byte, byte after the last): what is removed of
     the documents (doc_id, text) that hold repeats, by the rows' hashes."""
     dealt = _ranges(docs, length).repartition("f")
-    twice = dealt.groupBy("f").agg(F.count("*").alias("k"), F.min("s").alias("a"), F.max("s").alias("b")).where("k > 1")
+    twice = dealt.groupBy("f").agg(F.sum("times").alias("k"), F.min("s").alias("a"), F.max("s").alias("b")).where("k > 1")
     shared = staged(dealt.join(twice.select("f", (F.col("a") != F.col("b")).alias("mixed")), "f"), "ranges")
-    kinds = shared.groupBy("f", "s").agg(F.count("*").alias("m"), F.max("mixed").alias("mixed"))
+    kinds = shared.groupBy("f", "s").agg(F.sum("times").alias("m"), F.max("mixed").alias("mixed"))
     whole = shared.join(kinds.where("m > 1").select("f", "s"), ["f", "s"]).select(
-        "k1", "k2", F.col("lo").cast("long").alias("a"), (F.col("hi") + length).cast("long").alias("b"))
+        "k1", "k2", F.col("lo").cast("long").alias("a"), (F.col("end") + length).cast("long").alias("b"))
     # one occurrence of each segment of a mixed group stands for all
     mixed = kinds.where("mixed").select("f", "s")
     hot = mixed.groupBy("f").agg((F.count("*") > HOT_SEGMENTS).alias("hot"))
