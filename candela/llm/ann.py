@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candela.llm.store import fitted, staged
+from candela.llm.store import fitted, released, staged
 
 PIVOTS = 128
 ORDER = 64
@@ -108,7 +108,7 @@ def build_index(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
         if held:
             yield _block(np.concatenate(ids), np.concatenate(xs), pivots)
 
-    return staged(vectors.mapInArrow(blocks, ", ".join(f"{c} binary" for c in _FIELDS)), "permutations")
+    return staged(vectors.mapInArrow(released(blocks), ", ".join(f"{c} binary" for c in _FIELDS)), "permutations")
 
 
 def _nearest(row: dict, query: np.ndarray, perm: np.ndarray, own: np.ndarray, dim: int, top: int):
@@ -187,7 +187,7 @@ def search(embeddings: DataFrame, is_query: Column, top: int = 10) -> DataFrame:
 
     asked = vectors.where(is_query)
     queries = staged(asked.repartition(-(-asked.count() // QUERY_ROWS) or 1, "vec_id")
-                     .mapInArrow(packed, "block long, ids binary, points binary").toDF("block", "own", "points"), "queries")
+                     .mapInArrow(released(packed), "block long, ids binary, points binary").toDF("block", "own", "points"), "queries")
     numbers = [r[0] for r in queries.select("block").collect()]  # one a QUERY_ROWS queries
     if not numbers:
         return vectors.sparkSession.createDataFrame([], schema)
@@ -205,7 +205,7 @@ def search(embeddings: DataFrame, is_query: Column, top: int = 10) -> DataFrame:
                     "vec_id": np.array([f[1] for f in found], np.int64),
                     "score": np.array([f[2] for f in found], np.float64)})
 
-    answers = met.mapInArrow(run, "block long, query long, query_id long, vec_id long, score double")
+    answers = met.mapInArrow(released(run), "block long, query long, query_id long, vec_id long, score double")
     order = Window.partitionBy("block", "query").orderBy("score", "vec_id")
     return (answers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
             .select("query_id", "rank", "vec_id", "score"))

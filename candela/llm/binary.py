@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.llm import tokens
-from candela.llm.store import fitted, local_path, shared_dir, write_atomic
+from candela.llm.store import fitted, local_path, released, shared_dir, write_atomic
 from candela.llm.text import chunks
 
 _PART = "part int, n_docs long, n_tokens long"
@@ -82,7 +82,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int) -> TokenFile
                .withColumn("h", F.xxhash64("text"))
                .repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
                .select("doc_id", "text"))
-    done = ordered.mapInArrow(write, _PART).collect()  # one row a partition
+    done = ordered.mapInArrow(released(write), _PART).collect()  # one row a partition
     parts, base = [], 0
     for part, n_docs, n_tokens in sorted(tuple(r) for r in done):
         parts.append((part, n_docs, n_tokens, base))
@@ -119,4 +119,4 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
                         "ids_crc32": pa.array(crc, pa.int64())})
 
     parts = spark.createDataFrame(files.parts, _PART + ", base long")
-    return parts.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return parts.mapInArrow(released(read), "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.store import fitted, staged
+from candela.llm.store import fitted, released, staged
 from candela.llm.text import ALNUM, chunks, words
 
 BLOCK_CHARS = 2_000_000
@@ -82,7 +82,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None) -> DataFr
                     "positions": [_shuffled(np.diff(at[order], prepend=0))]}, schema=_ROW)
                 number += 1
 
-    return staged(fitted(docs, doc_id="long", text="string").mapInArrow(segments, _INDEX), "postings")
+    return staged(fitted(docs, doc_id="long", text="string").mapInArrow(released(segments), _INDEX), "postings")
 
 
 class Items:
@@ -187,8 +187,7 @@ def _search_block(index: DataFrame, items: Items, slop: int | None) -> DataFrame
                     "n_words": np.diff(seg.first), "hits": [x - b for x, b in zip(hits, seg.begin, strict=True)],
                     "items": names, "near": [[items.names[i] for i in sorted(x)] for x in near]}, schema=_FOUND)
 
-    return index.mapInArrow(
-        search, "segment long, nth long, doc_id long, n_words long, hits array<long>, items array<string>, near array<string>")
+    return index.mapInArrow(released(search), "segment long, nth long, doc_id long, n_words long, hits array<long>, items array<string>, near array<string>")
 
 
 _FOUND = pa.schema([("segment", pa.int64()), ("nth", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()),

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candela.llm.store import fitted, staged
+from candela.llm.store import fitted, released, staged
 from candela.llm.text import NOT_SPACE, chunks, mix, words
 
 #: orders that a candidate pair has to pass, the index's included
@@ -51,13 +51,13 @@ HEAVY = 2000
 #: documents of a block in which what heavy tokens connect is compared
 BLOCK_NODES = 128
 #: tokens that stand last in every order; an order may be any, so the bound costs no pair
-FREQUENT = 1_000_000
+FREQUENT = 300_000
 #: a task reports tokens that so many of its documents share
 LOCAL_COUNT = 2
 #: ids of documents whose sets are read again go to the tasks up to this many, else by a join
 BROADCAST_IDS = 2_000_000
 #: tokens that a task counts at a time
-COUNTED_TOKENS = 4_000_000
+COUNTED_TOKENS = 2_000_000
 
 _SALTS = (np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64))
 
@@ -143,7 +143,7 @@ def _map_sets(docs: DataFrame, size: int, schema: str, emit) -> DataFrame:
                 out = emit(batch.slice(lo, hi - lo), sets_of(buf, offs, size))
                 yield pa.RecordBatch.from_pydict(out)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def _survey(docs: DataFrame, size: int) -> DataFrame:
@@ -177,7 +177,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
         if held:
             yield counted()
 
-    return staged(docs.mapInArrow(run, "doc_id long, node long, n long, token long, k long"), "survey")
+    return staged(docs.mapInArrow(released(run), "doc_id long, node long, n long, token long, k long"), "survey")
 
 
 def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -229,7 +229,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, orders) -> DataFrame:
                 "a": pa.array([x for x, k in zip(a, ok, strict=True) if k], pa.int64()),
                 "b": pa.array([x for x, k in zip(b, ok, strict=True) if k], pa.int64())})
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(released(run), "a long, b long")
 
 
 def _read_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -320,7 +320,7 @@ def _blockwise(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([o[0] for o in out], pa.int64()),
                                                   "b": pa.array([o[1] for o in out], pa.int64())})
 
-    return met.mapInArrow(run, "a long, b long")
+    return met.mapInArrow(released(run), "a long, b long")
 
 
 def link_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from candela.llm import tokens
-from candela.llm.store import fitted, staged
+from candela.llm.store import fitted, released, staged
 from candela.llm.text import chunks
 
 Pattern = tuple[tuple[int, int], ...]  # (length, times), longest first
@@ -127,7 +127,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, keep_ids:
                 yield pa.RecordBatch.from_pydict(out)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task long, nth long"
-    return fitted(docs, doc_id="long", text="string").mapInArrow(cut, schema + ", ids binary" * keep_ids)
+    return fitted(docs, doc_id="long", text="string").mapInArrow(released(cut), schema + ", ids binary" * keep_ids)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048,

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.store import fitted, staged
+from candela.llm.store import fitted, released, staged
 from candela.llm.text import _VALUE, _pow, chunks, mix
 
 PIECE = 32
@@ -222,8 +222,7 @@ def _ranges(docs: DataFrame, length: int) -> DataFrame:
                     "lo": (first - base).astype(np.int32), "hi": (last - base).astype(np.int32),
                     "end": (ends - base).astype(np.int32), "times": times.astype(np.int32)})
 
-    return _keyed(docs).select("text", "k1", "k2").mapInArrow(
-        run, "f long, s long, k1 long, k2 long, q int, lo int, hi int, end int, times int")
+    return _keyed(docs).select("text", "k1", "k2").mapInArrow(released(run), "f long, s long, k1 long, k2 long, q int, lo int, hi int, end int, times int")
 
 
 def _segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -256,7 +255,7 @@ def _segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     met = _onto_texts(docs, wanted.groupBy("k1", "k2").agg(
         F.collect_set(F.struct("f", "s", "q", "lo", "hi", "hot")).alias("ranges")), "inner")
     # equal rows give equal segments
-    return met.select("text", "ranges").mapInArrow(run, "g long, f long, s long, at int, bytes binary").dropDuplicates(
+    return met.select("text", "ranges").mapInArrow(released(run), "g long, f long, s long, at int, bytes binary").dropDuplicates(
         ["g", "f", "s", "at"])
 
 
@@ -287,8 +286,7 @@ def _marks(segments: DataFrame, length: int) -> DataFrame:
         if held:
             yield marked()
 
-    return segments.repartition("g").sortWithinPartitions("g", "f", "s", "at").mapInArrow(
-        run, "f long, s long, first long, last long")
+    return segments.repartition("g").sortWithinPartitions("g", "f", "s", "at").mapInArrow(released(run), "f long, s long, first long, last long")
 
 
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
@@ -337,5 +335,4 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
                  pa.array(out["kept_sha256"], pa.string()), pa.array(out["kept"], pa.binary())],
                 names=["doc_id", *out])
 
-    return met.select("doc_id", "text", "ranges").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return met.select("doc_id", "text", "ranges").mapInArrow(released(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.store import extended, fitted
+from candela.llm.store import extended, fitted, released
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -53,7 +53,7 @@ TRAIN_LINES = 3000
 EPOCHS = 15
 RATE = 0.5
 DECAY = 1e-4
-CACHE_TOKENS = 200_000
+CACHE_TOKENS = 100_000
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -371,7 +371,7 @@ def fit(docs: DataFrame) -> Field | None:
                                               "has": pa.array(has, pa.bool_())})
 
     # a line that many texts share counts once
-    cuts = (lines.mapInArrow(cut, "text string, kind int, has boolean").withColumn("h", F.xxhash64("text", "kind"))
+    cuts = (lines.mapInArrow(released(cut), "text string, kind int, has boolean").withColumn("h", F.xxhash64("text", "kind"))
             .groupBy("has", "h").agg(F.min("text").alias("text"), F.min("kind").alias("kind")))
     chosen = None
     for has in (True, False):

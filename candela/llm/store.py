@@ -7,6 +7,8 @@ nothing) and read back, which also cuts lineage.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
@@ -57,6 +59,22 @@ def write_atomic(path: str, write) -> None:
     os.replace(private, path)
 
 
+def released(run):
+    """A task function that gives freed memory back at its end: Python workers
+    live on between tasks, and those of a later stage need the room."""
+    @functools.wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return task
+
+
 def position(df: DataFrame, name: str) -> int:
     """Place of a column: of names that differ in case alone, the exact one."""
     names = df.columns
@@ -94,4 +112,4 @@ def extended(df: DataFrame, column: str, added: dict[str, str], make) -> DataFra
     schema = T.StructType(kept.schema.fields[:-1])
     for name, kind in added.items():
         schema = schema.add(name, kind, True)
-    return kept.mapInArrow(run, schema).toDF(*names, *added)
+    return kept.mapInArrow(released(run), schema).toDF(*names, *added)

@@ -24,7 +24,7 @@ from candela.llm.text import _VALUE, _pow, mix
 
 CHUNK_BYTES = 2 << 20
 #: pieces that a worker keeps, in two generations
-CACHE_PIECES = 300_000
+CACHE_PIECES = 120_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True

@@ -32,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.store import extended, fitted
+from candela.llm.store import extended, fitted, released
 from candela.llm.text import ALNUM, chunks, mix, words
 
 #: bound of the sample, by class
-TRAIN_ROWS = 6000
+TRAIN_ROWS = 4500
 FOLDS = 5
 WORD_BUCKETS = 1 << 16
 PREFIX_BUCKETS = 1 << 13
@@ -67,15 +67,15 @@ def features(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """Word and prefix buckets of the chunk's words; first word of each document."""
     w = words(buf, offs, ALNUM)
     if not len(w.starts):
-        return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
+        return np.zeros(0, np.uint16), np.zeros(0, np.uint16), np.zeros(len(offs), np.int64)
     ends = np.minimum(w.starts + PREFIX_BYTES, w.ends)
     low = np.zeros(len(w.starts), np.uint64)
     lower = buf | np.where((buf >= 65) & (buf <= 90), 32, 0).astype(np.uint8)
     for k in range(PREFIX_BYTES):
         at = w.starts + k
         low = low * np.uint64(257) + np.where(at < ends, lower[np.minimum(at, len(buf) - 1)].astype(np.uint64) + np.uint64(1), np.uint64(0))
-    return ((w.hashes >> np.uint64(20)) % np.uint64(WORD_BUCKETS)).astype(np.int32), \
-        (mix(low) >> np.uint64(17)).astype(np.int64) % PREFIX_BUCKETS, w.first
+    return ((w.hashes >> np.uint64(20)) % np.uint64(WORD_BUCKETS)).astype(np.uint16), \
+        ((mix(low) >> np.uint64(17)) % np.uint64(PREFIX_BUCKETS)).astype(np.uint16), w.first
 
 
 def held_out(doc_id: Column) -> Column:
@@ -138,7 +138,7 @@ class _Network:
     def step(self, w, p, first, y, weight):
         """One batch of texts: buckets of their words, first word of each."""
         at, begin, starts = _padded(first)
-        word = np.full(len(starts), -1)
+        word = np.full(len(starts), -1, np.int32)
         word[at] = np.arange(len(at))
         v = np.zeros((len(starts) + PAD, DIM), np.float32)
         v[at] = self.e[w] + self.p[p]
@@ -191,7 +191,7 @@ def _logits(model: Model, w, p, first) -> tuple[np.ndarray, np.ndarray]:
     """Logit and language number of every text; long ones in blocks of rows."""
     n = len(first) - 1
     at, begin, starts = _padded(first)
-    e, q = np.full(len(starts) + PAD, -1), np.full(len(starts) + PAD, -1)
+    e, q = np.full(len(starts) + PAD, -1, np.int32), np.full(len(starts) + PAD, -1, np.int32)
     e[at], q[at] = w, p
     doc = np.repeat(np.arange(n), np.diff(begin))
     best = np.full((n, len(WIDTHS), FILTERS), -np.inf, np.float32)
@@ -222,7 +222,8 @@ def _language_head(rows, languages: list[str]) -> np.ndarray:
 
 def sample(docs: DataFrame, labels: DataFrame) -> list[tuple]:
     """At most TRAIN_ROWS labelled rows of each class outside the held-out
-    fold: (doc_id, text, lang, toxic), those with the smallest hash of the id."""
+    fold, those with the smallest hash of the id: (doc_id, word buckets, prefix
+    buckets, lang, toxic). Texts become buckets in the tasks."""
     known = (fitted(labels, doc_id="long", toxic="int")
              .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
              .withColumn("h", F.xxhash64("doc_id")))
@@ -234,21 +235,40 @@ def sample(docs: DataFrame, labels: DataFrame) -> list[tuple]:
     # at most 2 * TRAIN_ROWS ids go to the tasks
     joined = texts.join(F.broadcast(chosen.drop("h")), "doc_id")
     # ids may repeat in either table: the bound holds for the rows as well
-    out = []
+    part = None
     for y in (0, 1):
-        out += [tuple(r) for r in joined.where(F.col("toxic") == y)
-                .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(TRAIN_ROWS).collect()]
+        some = (joined.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+                .limit(TRAIN_ROWS).select("text", "doc_id", "lang", "toxic"))
+        part = some if part is None else part.unionByName(some)
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, buf, offs in chunks(batch.column(0)):
+                w, p, first = features(buf, offs)
+                ranges = list(zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(lo, hi - lo) for c in batch.columns[1:]),
+                     *(pa.array([x[a:b].tobytes() for a, b in ranges], pa.binary()) for x in (w, p))],
+                    names=["doc_id", "lang", "toxic", "w", "p"])
+
+    rows = part.mapInArrow(released(run), "doc_id long, lang string, toxic int, w binary, p binary").toArrow()
+    return [(i, np.frombuffer(w, np.uint16), np.frombuffer(p, np.uint16), lang, y) for i, lang, y, w, p in zip(
+        *(rows.column(c).to_pylist() for c in ("doc_id", "lang", "toxic", "w", "p")), strict=True)]
+
+
+def labelled(texts: list[tuple]) -> list[tuple]:
+    """Rows for ``train`` of (doc_id, text, lang, toxic)."""
+    out = []
+    for lo, hi, buf, offs in chunks(pa.array([r[1] for r in texts], pa.string())):
+        w, p, first = features(buf, offs)
+        out += [(r[0], w[a:b], p[a:b], r[2], r[3]) for r, a, b in zip(texts[lo:hi], first[:-1], first[1:], strict=True)]
     return out
 
 
 def train(rows: list[tuple], seed: int = 7) -> Model | None:
-    """A model from (doc_id, text, lang, toxic); None without both classes."""
-    rows = sorted(rows, key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0]), r[1] or ""))
-    texts = []
-    for _, _, buf, offs in chunks(pa.array([r[1] for r in rows], pa.string())):
-        w, p, first = features(buf, offs)
-        texts += [(w[a:b], p[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
-    data = [(w, p, r[3], r[2] or "") for (w, p), r in zip(texts, rows, strict=True)]
+    """A model from the rows of ``sample``; None without both classes."""
+    rows = sorted(rows, key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0]), r[1].tobytes()))
+    data = [(w, p, y, lang or "") for _, w, p, lang, y in rows]
     part = [fold(r[0]) for r in rows]
     fit = [x for x, k in zip(data, part, strict=True) if k != 1]
     tune = [x for x, k in zip(data, part, strict=True) if k == 1]
