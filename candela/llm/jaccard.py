@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -188,12 +188,21 @@ def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return rows["token"].to_numpy(np.int64).view(np.uint64), rows["k"].to_numpy(np.int64)
 
 
+def _noted(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """``edges`` (u, v) written and read back, with their number and the sum
+    of their hashes, taken as they are written."""
+    seen = Observation()
+    out = staged(edges.observe(seen, F.count(F.lit(1)).alias("n"),
+                               F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), "edges")
+    return out, tuple(seen.get.values())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b): the smallest node that
     it is connected with. Large and small stars in turn until nothing moves;
     each round is written to shared storage."""
-    edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                   .distinct(), "edges")
+    edges, state = _noted(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                          .distinct())
     while True:
         # large star: every larger neighbour, and the node itself, to the smallest neighbour
         both = edges.union(edges.select("v", "u")).toDF("u", "v")
@@ -204,11 +213,10 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        new = staged(small, "edges")
-        check = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if check(new) == check(edges):
-            return new.toDF("node", "root")
-        edges = new
+        before = state
+        edges, state = _noted(small)
+        if state == before:
+            return edges.toDF("node", "root")
 
 
 def _pairs(a: Column, b: Column) -> list[Column]:

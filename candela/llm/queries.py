@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import ann, binary, chat, decontam, html, jaccard, packing, repeats, secrets, toxicity
+from candela.llm import ann, binary, chat, decontam, html, jaccard, oracle, packing, repeats, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +91,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op8_chat": chat.ORACLE_SQL,
-    }
+    return oracle.build()
