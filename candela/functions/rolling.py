@@ -59,7 +59,3 @@ def rolling_std_exact(w: WindowSpec, units: Column, n: int, scale: float = 1000.
 def clip_lower_zero(x: Column) -> Column:
     """max(x, 0) that keeps null as null (bare ``greatest`` would not)."""
     return F.when(x.isNotNull(), F.greatest(x, F.lit(0)))
-
-
-def diff(w: WindowSpec, x: Column, k: int = 1) -> Column:
-    return x - F.lag(x, k).over(w)

@@ -23,7 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("CANDELA_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("CANDELA_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Column-heavy plans (dozens of window expressions) are built through
         # thousands of Python->JVM calls; capturing a Python call site for

@@ -22,14 +22,6 @@ RAW_PRICES = T.StructType([
     T.StructField("Volume", T.DoubleType()),
 ])
 
-RAW_UNIVERSE = T.StructType([
-    T.StructField("Ticker", T.StringType()),
-    T.StructField("Name", T.StringType()),
-    T.StructField("Sector", T.StringType()),
-    T.StructField("Industry", T.StringType()),
-    T.StructField("MarketCap", T.LongType()),
-])
-
 # Quote-map keys and the column each one feeds.
 QUOTE_FIELDS = [
     ("shortName", "name", T.StringType()),
@@ -52,11 +44,6 @@ UNIVERSE_DEFAULTS = {"name": "", "sector": "", "industry": "", "market_cap": 0}
 # parsed as a double and cast.
 QUOTE_SCHEMA = T.StructType([T.StructField(k, t if t == T.StringType() else T.DoubleType()) for k, _c, t in QUOTE_FIELDS])
 
-# Lower-case source headers and their canonical names.
-PRICE_RENAMES = {"date": "Date", "ticker": "Ticker", "open": "Open", "high": "High",
-                 "low": "Low", "close": "Close", "volume": "Volume"}
-
-
 ARRIVAL = "arrival"
 
 
@@ -132,11 +119,6 @@ def read_quotes_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path).withColumn("failed", F.coalesce("failed", F.lit(False)))
 
 
-def canonical_price_columns(df: DataFrame) -> DataFrame:
-    """Rename lower-case headers; names that are absent are ignored."""
-    return df.withColumnsRenamed({k: v for k, v in PRICE_RENAMES.items() if k in df.columns})
-
-
 def parse_quote(json_col: Column) -> Column:
     """A quote map (JSON text) as a struct of the known keys; a missing key
     or an unreadable document gives nulls."""
