@@ -18,6 +18,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+#: rows of an Arrow batch: its texts stand in a worker's memory and its JVM's at once
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """The registered queries and the stages ask for small Arrow batches: with
+    the default of 10,000 rows of whole texts, two tasks an executor hold
+    hundreds of megabytes twice. A smaller setting of the session is kept."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return spark
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path below the cluster's shared checkpoint folder. Only where the
     session names none (local tests) a temporary one is set."""
@@ -99,17 +114,26 @@ def extended(df: DataFrame, column: str, added: dict[str, str], make) -> DataFra
     """``df`` with further columns that ``make`` computes from an Arrow array
     of the text column ``column``. Other columns are kept as they are, but for
     such as bear a new column's name."""
-    names = [c for c in df.columns if c.lower() not in {a.lower() for a in added}]
+    new_names = {a.lower() for a in added}
+    stay = [i for i, c in enumerate(df.columns) if c.lower() not in new_names]
+    names = [df.columns[i] for i in stay]
     plain = flat(df)
-    kept = plain.select(*[plain[f"c{df.columns.index(c)}"] for c in names],
-                        plain[f"c{position(df, column)}"].cast("string").alias("read"))
+    at = position(df, column)
+    columns = [plain[f"c{i}"] for i in stay]
+    if at in stay and plain.schema[f"c{at}"].dataType == T.StringType():
+        place = stay.index(at)  # the texts go to the workers once
+    else:
+        columns.append(plain[f"c{at}"].cast("string").alias("read"))
+        place = len(names)
+    kept = plain.select(*columns)
+    n = len(names)
 
     def run(batches):
         for batch in batches:
-            new = make(batch.column(batch.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names=[*batch.schema.names[:-1], *added])
+            new = make(batch.column(place))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=[*batch.schema.names[:n], *added])
 
-    schema = T.StructType(kept.schema.fields[:-1])
+    schema = T.StructType(kept.schema.fields[:n])
     for name, kind in added.items():
         schema = schema.add(name, kind, True)
     return kept.mapInArrow(released(run), schema).toDF(*names, *added)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from candela.llm import decontam, jaccard, packing, secrets, toxicity
 from candela.llm.queries import table, vocabulary
-from candela.llm.store import extended, flat, position, staged
+from candela.llm.store import bounded_batches, extended, flat, position, staged
 
 #: row numbers that go to every task up to this many, else by a shuffle
 BROADCAST_ROWS = 2_000_000
@@ -102,12 +102,16 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), END_ID, SEQUENCE_TOKENS)
 
 
+def _stage(function):
+    return lambda spark, docs, sf_dir: function(bounded_batches(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_copies", drop_near_copies),
-    ("decontamination", drop_contaminated),
-    ("secrets", mask_secrets),
-    ("packing", pack),
+    ("toxicity", _stage(drop_toxic)),
+    ("near_copies", _stage(drop_near_copies)),
+    ("decontamination", _stage(drop_contaminated)),
+    ("secrets", _stage(mask_secrets)),
+    ("packing", _stage(pack)),
 ]
 
 ORACLE_SQL = None
