@@ -57,7 +57,7 @@ LOCAL_COUNT = 2
 #: ids of documents whose sets are read again go to the tasks up to this many, else by a join
 BROADCAST_IDS = 2_000_000
 #: tokens that a task counts at a time
-COUNTED_TOKENS = 2_000_000
+COUNTED_TOKENS = 1_000_000
 
 _SALTS = (np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64))
 

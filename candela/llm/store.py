@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import os
+import sys
 import tempfile
 import uuid
 
@@ -75,13 +77,18 @@ def write_atomic(path: str, write) -> None:
 
 
 def released(run):
-    """A task function that gives freed memory back at its end: Python workers
-    live on between tasks, and those of a later stage need the room."""
+    """A task function that drops what modules keep and gives freed memory back
+    at its end: Python workers live on between tasks, and those of a later stage
+    need the room."""
     @functools.wraps(run)
     def task(batches):
         try:
             yield from run(batches)
         finally:
+            for module, drop in (("candela.llm.tokens", "drop_encoders"), ("candela.llm.text", "drop_powers")):
+                if module in sys.modules:
+                    getattr(sys.modules[module], drop)()
+            gc.collect()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
             if trim:

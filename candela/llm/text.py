@@ -43,6 +43,10 @@ def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def drop_powers() -> None:
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(31))
     h = h * np.uint64(0xBF58476D1CE4E5B9)

@@ -22,8 +22,8 @@ import numpy as np
 
 from candela.llm.text import _VALUE, _pow, mix
 
-CHUNK_BYTES = 2 << 20
-#: pieces that a worker keeps, in two generations
+CHUNK_BYTES = 1 << 20
+#: pieces that a task keeps, in two generations
 CACHE_PIECES = 120_000
 
 _LETTER = np.zeros(256, bool)
@@ -179,5 +179,9 @@ class Encoder:
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
-    """One encoder a worker and file: its pieces are kept between tasks."""
+    """One encoder a task and file."""
     return Encoder(path)
+
+
+def drop_encoders() -> None:
+    encoder.cache_clear()
