@@ -21,14 +21,17 @@ else, in whatever document, is removed.
 4. Marks come back to every occurrence, and each document to its spans.
 
 A group with more than HOT_SEGMENTS distinct segments is split before it meets
-in a task: its starts into ranges of SPLIT_STARTS by their distance from the
-anchor, and these by a hash of the bytes that all strings of the range share,
-which equal strings have in common as well.
+in a task: its starts into parts of SPLIT_STARTS by their distance from the
+anchor, grouped by a hash of the bytes that all strings of the part share,
+which equal strings have in common as well. Parts that occur twice or more are
+repeats as a whole, and one of each stands for all in the index. A group that
+still has more than HOT_SEGMENTS distinct parts is split into single starts:
+strings of ``length``, which counts by their hashes settle without an index.
 
 Defined cases: a null or empty text has no bytes; a document is a row: repeated
 rows, and rows that share a doc_id, repeat one another; a null doc_id stays
-null; empty tables give no rows; other columns are ignored. Segments are told
-apart by two 64-bit hashes.
+null; empty tables give no rows; other columns are ignored. Segments, parts
+and the strings of a split group are told apart by two 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -52,6 +55,7 @@ SHARD_BYTES = 1 << 20
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 48_000_000
 
 _POSITION_BITS = 28
+_PART = ("f", "s", "at", "k1", "k2", "q", "lo", "hi", "g", "c1", "c2")
 
 
 def _sums(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -226,67 +230,115 @@ def _ranges(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """Bytes of the wanted segments: group g, f, s, from (the first start's
-    place in the segment), bytes. Those of hot groups are split."""
+    """Bytes of the wanted segments or parts (g, f, s, k1, k2, lo, hi): group
+    g, f, s, bytes."""
     def run(batches):
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("g", "f", "s", "at", "bytes")}
+            out: dict[str, list] = {c: [] for c in ("g", "f", "s", "bytes")}
             for text, ranges in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw = text.encode()
-                buf = np.frombuffer(raw, np.uint8)
-                hashes = _sums(buf) if any(r["hot"] for r in ranges) else None
                 for r in ranges:
-                    parts = [(r["lo"], r["hi"], r["f"])]
-                    if r["hot"]:
-                        parts = []
-                        far, near = r["q"] - r["lo"], r["q"] - r["hi"]  # distances from the anchor
-                        for d in range(near // SPLIT_STARTS, far // SPLIT_STARTS + 1):
-                            d1, d2 = d * SPLIT_STARTS, (d + 1) * SPLIT_STARTS - 1
-                            core = _hash(*hashes, np.array([r["q"] - d1]), np.array([r["q"] - d2 + length]))
-                            g = int(mix(core + np.uint64(d)).view(np.int64)[0]) ^ r["f"]
-                            parts.append((max(r["lo"], r["q"] - d2), min(r["hi"], r["q"] - d1), g))
-                    for a, b, g in parts:
-                        for c, v in (("g", g), ("f", r["f"]), ("s", r["s"]), ("at", a - r["lo"]),
-                                     ("bytes", raw[a:b + length])):
-                            out[c].append(v)
+                    for c, v in (("g", r["g"]), ("f", r["f"]), ("s", r["s"]), ("bytes", raw[r["lo"]:r["hi"] + length])):
+                        out[c].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
-                [("g", pa.int64()), ("f", pa.int64()), ("s", pa.int64()), ("at", pa.int32()), ("bytes", pa.binary())]))
+                [("g", pa.int64()), ("f", pa.int64()), ("s", pa.int64()), ("bytes", pa.binary())]))
 
     met = _onto_texts(docs, wanted.groupBy("k1", "k2").agg(
-        F.collect_set(F.struct("f", "s", "q", "lo", "hi", "hot")).alias("ranges")), "inner")
+        F.collect_set(F.struct("g", "f", "s", "lo", "hi")).alias("ranges")), "inner")
     # equal rows give equal segments
-    return met.select("text", "ranges").mapInArrow(released(run), "g long, f long, s long, at int, bytes binary").dropDuplicates(
-        ["g", "f", "s", "at"])
+    return met.select("text", "ranges").mapInArrow(released(run), "g long, f long, s long, bytes binary").dropDuplicates(["g", "f", "s"])
+
+
+def _split(docs: DataFrame, wanted: DataFrame, length: int, width: int) -> DataFrame:
+    """The wanted segments or parts (f, s, k1, k2, q, lo, hi) cut into parts of
+    ``width`` starts by their distance from the anchor: f, s, at (the part's
+    first start in what it is cut from), the part's place k1, k2, q, lo, hi, the
+    group g that equal strings have in common, and c1, c2, which name the
+    part's bytes."""
+    def run(batches):
+        for batch in batches:
+            out: dict[str, list] = {c: [] for c in _PART}
+            for text, k1, k2, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                raw = text.encode()
+                sums, inverse = _sums(np.frombuffer(raw, np.uint8))
+                for r in ranges:
+                    far, near = r["q"] - r["lo"], r["q"] - r["hi"]  # distances from the anchor
+                    d = np.arange(near // width, far // width + 1)
+                    d1, d2 = r["q"] - d * width, r["q"] - (d + 1) * width + 1
+                    lo, hi = np.maximum(r["lo"], d2), np.minimum(r["hi"], d1)
+                    core = _hash(sums, inverse, d1, d2 + length)
+                    out["g"] += (mix(core + d.astype(np.uint64)).view(np.int64) ^ r["f"]).tolist()
+                    out["c1"] += _hash(sums, inverse, lo, hi + length).view(np.int64).tolist()
+                    for a, b in zip(lo.tolist(), hi.tolist(), strict=True):
+                        name = hashlib.blake2b(raw[a:b + length], digest_size=8).digest()
+                        for c, v in (("c2", int.from_bytes(name, "little", signed=True)), ("f", r["f"]), ("s", r["s"]),
+                                     ("at", a - r["lo"]), ("k1", k1), ("k2", k2), ("q", r["q"]), ("lo", a), ("hi", b)):
+                            out[c].append(v)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64()) for c in _PART]))
+
+    met = _onto_texts(docs, wanted.groupBy("k1", "k2").agg(
+        F.collect_set(F.struct("f", "s", "q", "lo", "hi")).alias("ranges")), "inner")
+    # equal rows give equal parts
+    return met.dropDuplicates(["k1", "k2"]).select("text", "k1", "k2", "ranges").mapInArrow(
+        released(run), ", ".join(f"{c} long" for c in _PART))
+
+
+def _owned(parts: DataFrame, marks: DataFrame) -> DataFrame:
+    """Marks (f, s, first, last) of what ``parts`` were cut from, by marks
+    that name the parts' bytes in the same columns."""
+    named = marks.select(F.col("f").alias("c1"), F.col("s").alias("c2"), "first", "last")
+    return parts.select("f", "s", "at", "c1", "c2").join(named, ["c1", "c2"]).select(
+        "f", "s", (F.col("at") + F.col("first")).alias("first"), (F.col("at") + F.col("last")).alias("last"))
+
+
+def _hot_marks(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """What ``_marks`` gives, for the segments (f, s, k1, k2, q, lo, hi) of hot
+    groups: no task meets more than HOT_SEGMENTS parts of a group."""
+    parts = staged(_split(docs, wanted, length, SPLIT_STARTS), "parts")
+    kinds = staged(parts.groupBy("g", "c1", "c2").agg(F.count("*").alias("m"), F.min(F.struct("k1", "k2", "q", "lo", "hi")).alias("r"))
+                   .select("g", F.col("c1").alias("f"), F.col("c2").alias("s"), "m", "r.*"), "kinds")
+    sizes = kinds.groupBy("g").agg(F.count("*").alias("k"))
+    # of more than HOT_SEGMENTS rows each, so few
+    hot = staged(sizes.where(F.col("k") > HOT_SEGMENTS).select("g"), "hot")
+    whole = kinds.where("m > 1").select("f", "s", F.lit(0).cast("long").alias("first"), (F.col("hi") - F.col("lo")).alias("last"))
+    calm = kinds.join(F.broadcast(hot), "g", "left_anti").join(sizes.where(F.col("k").between(2, HOT_SEGMENTS)).select("g"), "g")
+    found = whole.union(_marks(_segments(docs, calm, length), length))
+    if not hot.isEmpty():
+        starts = staged(_split(docs, kinds.join(F.broadcast(hot), "g", "left_semi"), length, 1), "starts")
+        again = starts.groupBy("c1", "c2").agg(F.count("*").alias("m")).where("m > 1")
+        found = found.union(_owned(starts, again.select(
+            F.col("c1").alias("f"), F.col("c2").alias("s"), F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("last"))))
+    return _owned(parts, staged(found, "found"))
 
 
 def _marks(segments: DataFrame, length: int) -> DataFrame:
     """f, s, first, last: starts of segments, by their place, that are
     repeated in the segment's group. Whole groups make one index after another."""
     def run(batches):
-        held: list[tuple[int, int, int, bytes]] = []
+        held: list[tuple[int, int, bytes]] = []
         size, group = 0, None
 
         def marked():
-            index = RunLengthIndex([x[3] for x in held])
+            index = RunLengthIndex([x[2] for x in held])
             first, last = index.repeated(length)
             owner = np.searchsorted(index.begin, first, side="right") - 1
-            base = index.begin[owner] - np.array([x[2] for x in held])[owner]
+            base = index.begin[owner]
             return pa.RecordBatch.from_pydict({
                 "f": np.array([x[0] for x in held])[owner], "s": np.array([x[1] for x in held])[owner],
                 "first": first - base, "last": last - base})
 
         for batch in batches:
-            for g, f, s, at, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for g, f, s, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if g != group and size >= SHARD_BYTES:
                     yield marked()
                     held, size = [], 0
                 group = g
-                held.append((f, s, at, raw))
+                held.append((f, s, raw))
                 size += len(raw)
         if held:
             yield marked()
 
-    return segments.repartition("g").sortWithinPartitions("g", "f", "s", "at").mapInArrow(released(run), "f long, s long, first long, last long")
+    return segments.repartition("g").sortWithinPartitions("g", "f", "s").mapInArrow(released(run), "f long, s long, first long, last long")
 
 
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
@@ -300,10 +352,15 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
         "k1", "k2", F.col("lo").cast("long").alias("a"), (F.col("end") + length).cast("long").alias("b"))
     # one occurrence of each segment of a mixed group stands for all
     mixed = kinds.where("mixed").select("f", "s")
-    hot = mixed.groupBy("f").agg((F.count("*") > HOT_SEGMENTS).alias("hot"))
+    # of more than HOT_SEGMENTS rows each, so few
+    hot = staged(mixed.groupBy("f").agg(F.count("*").alias("n")).where(F.col("n") > HOT_SEGMENTS).select("f"), "hot")
     one = (shared.where("mixed").groupBy("f", "s").agg(F.min(F.struct("k1", "k2", "lo", "hi", "q")).alias("r"))
-           .join(hot, "f").select("f", "s", "hot", "r.*"))
-    marks = staged(_marks(_segments(docs, one, length), length), "marks")
+           .select(F.col("f").alias("g"), "f", "s", "r.*"))
+    calm = one.join(F.broadcast(hot), "f", "left_anti")
+    marks = _marks(_segments(docs, calm, length), length)
+    if not hot.isEmpty():
+        marks = marks.union(_hot_marks(docs, one.join(F.broadcast(hot), "f", "left_semi"), length))
+    marks = staged(marks, "marks")
     part = shared.join(marks, ["f", "s"]).select(
         "k1", "k2", (F.col("lo") + F.col("first")).alias("a"), (F.col("lo") + F.col("last") + length).alias("b"))
     return staged(whole.union(part).groupBy("k1", "k2").agg(F.collect_set(F.struct("a", "b")).alias("ranges")), "spans")

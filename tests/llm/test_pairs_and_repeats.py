@@ -123,6 +123,25 @@ def test_repeats_against_brute_force(docs_of, words, hot, monkeypatch):
         assert _removed(docs_of(rows), length) == _brute(rows, length)
 
 
+@pytest.mark.parametrize("hot", [6, 30])
+def test_no_index_meets_more_than_a_hot_group(docs_of, words, hot, monkeypatch):
+    """A passage that many documents share, with other text before and after it."""
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
+    met, marks = [], repeats._marks
+
+    def counted(segments, length):
+        met.extend(r["count"] for r in segments.groupBy("g").count().collect())
+        return marks(segments, length)
+
+    monkeypatch.setattr(repeats, "_marks", counted)
+    rng, passage = random.Random(hot), words(90, 5000)
+    texts = [f"{words(30, 5000)} {passage[rng.randrange(4):]} {words(30, 5000)}" for _ in range(60)]
+    texts += [_edited(rng, f"{words(5, 5000)} {passage}", 0.02) for _ in range(20)]
+    rows = list(enumerate(texts))
+    assert _removed(docs_of(rows), 100) == _brute(rows, 100)
+    assert met and max(met) <= hot
+
+
 def test_repeats_edges(docs_of, clashing, words):
     rows = [(1, None), (2, ""), (3, "short"), (4, words(80)), (4, None), (None, "y" * 500)]
     rows += [rows[3]]
