@@ -7,13 +7,16 @@ logistic layer.
 
 A second, linear head over the same hashed words guesses the language of a
 text. It is fitted on the languages of the training rows; scoring sees the
-text alone. Thresholds are calibrated for each language on a part of the
-training rows that no gradient saw, and the score is the logistic of the
-distance to the guessed language's threshold, so 0.5 is that threshold.
+text alone. Thresholds are calibrated for each guessed language on all labelled
+rows of a fold that no gradient saw, at the rates the classes have there: the
+tasks count labels by language and bin of the logit, and the cut between bins
+with the best F1 is taken. The score is the logistic of the distance to the
+guessed language's threshold, so 0.5 is that threshold.
 
 Training uses at most ``TRAIN_ROWS`` labelled rows of each class, those with
-the smallest hash of their id, outside the held-out fold. Everything else
-covers all rows and whole texts.
+the smallest hash of their id, outside the held-out fold; of these, the rows of
+the calibration fold are not learnt from. Everything else covers all rows and
+whole texts.
 
 Defined cases: a null or empty text scores as a text without words; rows
 without a label are scored and not learnt from; a null doc_id counts as the
@@ -49,6 +52,10 @@ BATCH = 64
 RATE = 0.02
 #: a language needs so many positive calibration rows for a threshold of its own
 LEAST_POSITIVES = 10
+#: fold of the rows that thresholds are calibrated on
+CALIBRATION = 1
+#: bins of logits in a unit, and the logit beyond which they are one
+BINS, FAR_LOGIT = 32, 64
 
 
 class Model(NamedTuple):
@@ -78,9 +85,13 @@ def features(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         ((mix(low) >> np.uint64(17)) % np.uint64(PREFIX_BUCKETS)).astype(np.uint16), w.first
 
 
+def _fold(doc_id: Column) -> Column:
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a row is outside the training folds."""
-    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == 0
+    return _fold(doc_id) == 0
 
 
 def fold(doc_id: object) -> int:
@@ -266,12 +277,12 @@ def labelled(texts: list[tuple]) -> list[tuple]:
 
 
 def train(rows: list[tuple], seed: int = 7) -> Model | None:
-    """A model from the rows of ``sample``; None without both classes."""
+    """A model from the rows of ``sample``, its thresholds at 0 until
+    ``calibrated``; None without both classes."""
     rows = sorted(rows, key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0]), r[1].tobytes()))
     data = [(w, p, y, lang or "") for _, w, p, lang, y in rows]
     part = [fold(r[0]) for r in rows]
-    fit = [x for x, k in zip(data, part, strict=True) if k != 1]
-    tune = [x for x, k in zip(data, part, strict=True) if k == 1]
+    fit = [x for x, k in zip(data, part, strict=True) if k != CALIBRATION]
     positives = sum(x[2] for x in fit)
     if not positives or positives == len(fit):
         return None
@@ -285,9 +296,8 @@ def train(rows: list[tuple], seed: int = 7) -> Model | None:
             batch = [fit[j] for j in order[i:i + BATCH]]
             net.step(*_joined(batch), np.array([x[2] for x in batch]), np.array([share[x[2]] for x in batch]))
     languages = sorted({x[3] for x in fit})
-    model = Model(net.e, net.p, net.f, net.b, net.o, float(net.c[0]), languages, _language_head(fit, languages),
-                  np.zeros(len(languages)))
-    return model._replace(thresholds=_thresholds(model, tune))
+    return Model(net.e, net.p, net.f, net.b, net.o, float(net.c[0]), languages, _language_head(fit, languages),
+                 np.zeros(len(languages)))
 
 
 def _joined(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -295,32 +305,61 @@ def _joined(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate([x[0] for x in batch]), np.concatenate([x[1] for x in batch]), first
 
 
-def _best(logits: np.ndarray, y: np.ndarray) -> float:
-    """The cut with the best F1, in the middle of its gap."""
-    order = np.argsort(-logits, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-    f1[:-1][logits[order][:-1] == logits[order][1:]] = -1  # no cut between ties
+def _best(bins: np.ndarray, n: np.ndarray, hits: np.ndarray, low: np.ndarray, high: np.ndarray) -> float:
+    """The cut between bins with the best F1, in the middle of its gap: of
+    every bin's rows, the number, the positives, the least and the largest
+    logit; a bin may come in several parts."""
+    order, index = np.unique(-bins, return_inverse=True)
+    n, hits = np.bincount(index, n), np.bincount(index, hits)
+    least, most = np.full(len(order), np.inf), np.full(len(order), -np.inf)
+    np.minimum.at(least, index, low)
+    np.maximum.at(most, index, high)
+    f1 = 2 * np.cumsum(hits) / (np.cumsum(n) + hits.sum())
     k = int(f1.argmax())
-    below = logits[order[k + 1]] if k + 1 < len(y) else logits[order[k]] - 1
-    return float((logits[order[k]] + below) / 2)
-
-
-def _thresholds(model: Model, tune) -> np.ndarray:
-    out = np.zeros(len(model.languages))
-    if not tune:
-        return out
-    logits, guessed = _logits(model, *_joined(tune))
-    y = np.array([x[2] for x in tune])
-    if 0 < y.sum() < len(y):
-        out[:] = _best(logits, y)
-    for k in range(len(out)):
-        mine = guessed == k
-        if LEAST_POSITIVES <= y[mine].sum() < mine.sum():
-            out[k] = _best(logits[mine], y[mine])
+    below = most[k + 1] if k + 1 < len(order) else least[k] - 1
+    return float((least[k] + below) / 2)
+
+
+def _thresholds(languages: int, counts: np.ndarray) -> np.ndarray:
+    """Of rows (language, bin, rows, positives, least and largest logit)."""
+    out = np.zeros(languages)
+    known, (n, hits) = counts[:, 0], counts[:, 2:4].T
+    if 0 < hits.sum() < n.sum():
+        out[:] = _best(*counts[:, 1:].T)
+    for k in range(languages):
+        mine = known == k
+        if LEAST_POSITIVES <= hits[mine].sum() < n[mine].sum():
+            out[k] = _best(*counts[mine, 1:].T)
     return out
 
 
+def calibrated(model: Model, docs: DataFrame, labels: DataFrame) -> Model:
+    """``model`` with thresholds from all labelled rows of the calibration
+    fold. Texts become bins in the tasks; the driver gets a row a language and
+    bin."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, buf, offs in chunks(batch.column(1), 1 << 19):
+                logits, language = _logits(shared.value, *features(buf, offs))
+                bins = np.floor(np.clip(logits, -FAR_LOGIT, FAR_LOGIT) * BINS).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.array(language.astype(np.int32)), pa.array(bins),
+                     pa.array(logits.astype(np.float64))], names=["doc_id", "language", "bin", "logit"])
+
+    tuned = lambda df: df.where(F.col("doc_id").isNotNull() & (_fold(F.col("doc_id")) == CALIBRATION))
+    # ids may repeat in either table: counted before they meet
+    known = (tuned(fitted(labels, doc_id="long", toxic="int")).where(F.col("toxic").isin(0, 1))
+             .groupBy("doc_id").agg(F.count("*").alias("rows"), F.sum("toxic").alias("hits")))
+    scored = (tuned(fitted(docs, doc_id="long", text="string")).mapInArrow(
+        released(run), "doc_id long, language int, bin int, logit double")
+        .groupBy("doc_id", "language", "bin").agg(F.count("*").alias("times"), F.min("logit").alias("low"), F.max("logit").alias("high")))
+    counts = (scored.join(known, "doc_id").groupBy("language", "bin")
+              .agg(F.sum(F.col("rows") * F.col("times")), F.sum(F.col("hits") * F.col("times")), F.min("low"), F.max("high")).collect())
+    return model._replace(thresholds=_thresholds(len(model.languages), np.array(counts, np.float64).reshape(-1, 6)))
+
+
 def scores(model: Model | None, column: pa.Array) -> np.ndarray:
     """Score of every text: 0.5 is the threshold of its guessed language."""
     out = [np.zeros(0)]
@@ -341,4 +380,5 @@ def annotate(docs: DataFrame, model: Model | None, score: str = "score", text: s
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    return train(sample(docs, labels))
+    model = train(sample(docs, labels))
+    return model and calibrated(model, docs, labels)

@@ -170,6 +170,32 @@ def test_toxicity_learns_from_training_folds_alone(spark, docs_of, clashing, wor
         toxicity.held_out(F.col("d")).alias("h")).collect()] == [zlib.crc32(b"5") % 5 == 0, True, zlib.crc32(b"2") % 5 == 0]
 
 
+def test_thresholds_cover_all_labelled_rows(spark, docs_of, words, monkeypatch):
+    """One class is cut to the bound, the other is not: the cut is the best for
+    the rates of all labelled rows of the calibration fold."""
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 200)
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(3000):
+        w = words(rng.randrange(5, 30)).split()
+        toxic = rng.random() < 0.08
+        if toxic or rng.random() < 0.15:
+            w.insert(rng.randrange(len(w)), "vile")
+        if toxic and rng.random() < 0.7:
+            w.insert(rng.randrange(len(w)), "rotten")
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    model = toxicity.fit(docs_of(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    tune = [i for i in range(3000) if toxicity.fold(i) == 1]
+    score = toxicity.scores(model, pa.array([rows[i][1] for i in tune]))
+    y = np.array([labels[i][1] for i in tune])
+
+    def f1(cut):
+        return 2 * y[score >= cut].sum() / ((score >= cut).sum() + y.sum())
+
+    assert f1(0.5) >= max(map(f1, score)) - 0.01
+
+
 def test_toxicity_without_labels(spark, docs_of):
     labels = spark.createDataFrame([(1, None), (None, 1), (2, 0)], "doc_id long, toxic int")
     model = toxicity.fit(docs_of([(1, "a"), (2, "b")]), labels)
