@@ -3,7 +3,8 @@
 The library merges each piece of a text on its own, so a chunk is cut where
 its pre-tokenizer always cuts, and only pieces that a worker has not met
 lately go to the library; ids are then laid out by array gathers. Texts whose
-white space makes a cut unsafe go to the library whole.
+white space makes a cut unsafe, and texts that hold the string of an added
+token (``<|endoftext|>``), go to the library whole.
 
 Cuts: before a space that is followed by no white space; between an ASCII
 letter and another ASCII character that is not a letter; after a line feed
@@ -52,18 +53,21 @@ _ALPHABET = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
 
 
 class Encoder:
-    """Token ids of texts by the tokenizer file ``path``; the strings of its
-    special tokens are ordinary text."""
+    """Token ids of texts by the tokenizer file ``path``, as the library gives
+    them: the strings of its added tokens are those tokens."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        added = spec.get("added_tokens") or []
+        #: an added token's string; in any case where the library looks for it in normalized text
+        self.added = re.compile(b"|".join(
+            (b"(?i:%s)" if x["normalized"] else b"%s") % re.escape(x["content"].encode()) for x in added) or rb"(?!)")
         normal, split = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
         #: whether a word of letters is one piece for the merges, and how it gets there
         self.folds = [x["type"] for x in normal.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
@@ -126,7 +130,7 @@ class Encoder:
         total = int(upto[-1]) if len(upto) else 0
         ids = pool[np.repeat(at[index] - (upto - each), each) + np.arange(total)]
         first = np.append(0, upto)[np.searchsorted(starts, offsets)]
-        return self._unsafe(ids, first, buf, offsets, space, white)
+        return self._whole(ids, first, buf, offsets, space, white)
 
     def _pieces(self, known, where, buf, starts, ends) -> list[bytes]:
         young, old = self.young, self.old
@@ -158,17 +162,20 @@ class Encoder:
             self.old, self.young = young, {}
         return out
 
-    def _unsafe(self, ids, first, buf, offsets, space, white):
-        """Replace the ids of documents where a space meets white space."""
+    def _whole(self, ids, first, buf, offsets, space, white):
+        """Replace the ids of documents where a space meets white space, or
+        that hold an added token's string."""
         n = len(buf)
         hit = np.flatnonzero(space[:-1] & (white[1:] | _WIDE_SPACE[buf[1:]])) if n > 1 else np.zeros(0, np.int64)
-        if not len(hit):
+        held = np.array([m.start() for m in self.added.finditer(buf.tobytes())], np.int64)
+        if not len(hit) and not len(held):
             return ids, first
-        docs = np.unique(np.searchsorted(offsets, hit, side="right") - 1)
+        named = set((np.searchsorted(offsets, held, side="right") - 1).tolist())
+        docs = np.unique(np.searchsorted(offsets, np.append(hit, held), side="right") - 1)
         parts, lens, last = [], np.diff(first), 0
         for d in docs.tolist():
             text = buf[offsets[d]:offsets[d + 1]].tobytes().decode()
-            if not _UNSAFE.search(text):
+            if d not in named and not _UNSAFE.search(text):
                 continue
             whole = np.frombuffer(self._ids([text])[0], "<u4")
             parts += [ids[last:first[d]], whole]

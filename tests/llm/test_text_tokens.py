@@ -58,6 +58,23 @@ def test_ids_of_awkward_texts(file):
     assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == expected
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_ids_of_texts_that_hold_added_tokens(file):
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "plain words", "<|startoftext|>Word<|endoftext|><|endoftext|>", "<|endof", "text|> b", "",
+             "<|ENDOFTEXT|> x", "<<|endoftext|>>\n<|startoftext|> ", "é<|endoftext|>\n\ny", "it's <|end oftext|>"]
+    plain = Tokenizer.from_file(public_tokenizers.path(file))
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    enc = tokens.encoder(public_tokenizers.path(file))
+    for limit in (20, 1 << 20):
+        got = []
+        for _, _, buf, offs in text.chunks(pa.array(texts), limit):
+            ids, first = enc.encode(buf, offs)
+            got += [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)]
+        assert got == expected
+
+
 def test_kept_pieces_are_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PIECES", 10)
     enc = tokens.Encoder(public_tokenizers.path(FILES[0]))
