@@ -4,11 +4,15 @@ Events of the standard library's parser become lines, one for each block of
 text. A line's ratio is its characters by the tags met since the line before;
 lines in menus, headers, footers, sidebars, notices, adverts, forms, comments
 and the like count as zero. The ratios are smoothed with a Gaussian over
-neighbouring lines and split into two clusters by their means. The region is
-the smallest element that holds most of the upper cluster's characters; all
-its lines that are not boilerplate are the text, short ones included. Where
-that element is the whole page, lines of links below the threshold go as well,
-and lines with half the threshold's ratio before or after the upper cluster.
+neighbouring lines and split into two clusters by their means. The smallest
+element that holds most of the upper cluster's characters says where the text
+is. Inside articles or mains, the region is the smallest element that holds all
+of the upper cluster that lies in any of these, and the article or main around
+it; elsewhere, the smallest element that holds the whole upper cluster. All the
+region's lines that are not boilerplate are the text, short ones included. Where
+the region is the whole page, lines of links below the threshold go as well, and
+lines outside paragraphs and headings with half the threshold's ratio before or
+after the upper cluster.
 
 Defined cases: a null or empty page, and a page without text, give the empty
 text; unclosed and stray tags are closed where the next block begins or their
@@ -31,15 +35,18 @@ from candela.llm.store import extended, fitted
 FEED_CHARS = 1 << 16
 SIGMA = 1.0
 RADIUS = 2
-#: share of the upper cluster's characters that the region must hold
+#: share of the upper cluster's characters that says where the text is
 MOST = 0.6
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol optgroup option p pre
 search section select summary table tbody td tfoot th thead tr ul""".split())
-#: elements that may be the region; a paragraph never is
-CONTAINER = frozenset("article main section div body html td table blockquote center".split())
+#: elements that may be the region; a paragraph, a quote or a cell never is
+CONTAINER = frozenset("article main section div body html center".split())
+LANDMARK = frozenset(("article", "main"))
+#: their lines are the author's, however short
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 DROPPED = frozenset("""aside button canvas datalist dialog fieldset footer form head iframe label legend map menu nav
 noscript object option script search select style svg template textarea title""".split())
 BOILER_WORDS = frozenset("""ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent
@@ -61,14 +68,15 @@ class _Lines(HTMLParser):
         self.kind: list[str] = ["html"]
         self.text: list[str] = []
         self.muted = self.linked = self.tags = self.links = 0
-        #: text, tags, linked characters, dropped, container
-        self.lines: list[tuple[str, int, int, bool, int]] = []
+        #: text, tags, linked characters, dropped, container, in a paragraph or heading
+        self.lines: list[tuple[str, int, int, bool, int, bool]] = []
 
     def flush(self):
         text = " ".join("".join(self.text).split())
         if text:
             dropped, container = self.open[-1][1:3] if self.open else (False, 0)
-            self.lines.append((text, self.tags, self.linked, dropped, container))
+            block = next((x[0] for x in reversed(self.open) if x[0] in BLOCK), "")
+            self.lines.append((text, self.tags, self.linked, dropped, container, block in PROSE))
             self.tags = 0
         self.text.clear()
         self.linked = 0
@@ -190,6 +198,24 @@ def threshold(values: np.ndarray) -> float:
     return float((lo + hi) / 2)
 
 
+def landmark(page: _Lines, c: int) -> int:
+    """The outermost article or main that holds a container or is it, or -1."""
+    out = -1
+    while c >= 0:
+        if page.kind[c] in LANDMARK:
+            out = c
+        c = page.parent[c]
+    return out
+
+
+def common(page: _Lines, containers: set[int]) -> int:
+    """The smallest container that holds all of them."""
+    while len(containers) > 1:
+        last = max(containers)  # none of the others lies in it
+        containers = containers - {last} | {page.parent[last]}
+    return containers.pop()
+
+
 def main_text(html: str | None) -> str:
     """The page's main text: its blocks, two line feeds between."""
     if not html:
@@ -212,6 +238,12 @@ def main_text(html: str | None) -> str:
     most = MOST * sum(len(lines[i][0]) for i in content)
     # a container's number is larger than its parent's
     region = max((c for c, n in chars.items() if n >= most), default=0)
+    marks = {c: landmark(page, c) for c in {lines[i][4] for i in content}}
+    if landmark(page, region) >= 0:
+        region = common(page, {c for c, mark in marks.items() if mark >= 0})
+        region = region if (mark := landmark(page, region)) < 0 else mark
+    else:
+        region = common(page, set(marks))
 
     def inside(c: int) -> bool:
         while c > region:
@@ -221,7 +253,7 @@ def main_text(html: str | None) -> str:
     chosen = [i for i in kept if inside(lines[i][4])]
     if page.kind[region] in ("html", "body"):
         chosen = [i for i in chosen if not (level[i] < cut and 2 * lines[i][2] >= len(lines[i][0]))
-                  and (content[0] <= i <= content[-1] or 2 * ratios[i] >= cut)]
+                  and (content[0] <= i <= content[-1] or lines[i][5] or 2 * ratios[i] >= cut)]
     return "\n\n".join(lines[i][0] for i in chosen)
 
 

@@ -394,6 +394,22 @@ def test_main_text(page):
     assert html.main_text(page) == PAGES[page]
 
 
+@pytest.mark.parametrize("kind", ["section", "div", "article"])
+@pytest.mark.parametrize("outer", ["article", "main", "body", "div id=content"])
+def test_no_part_of_an_article_is_lost(kind, outer):
+    page = f"<nav><a href=1>Home</a></nav><{outer}><h1>Head line</h1><{kind}>{f'<p>{LONG}</p>' * 6}</{kind}><{kind}>{f'<p>{LONG}</p>' * 3}</{kind}></{outer.split()[0]}>"
+    assert html.main_text(page) == "\n\n".join(["Head line"] + [TEXT] * 9)
+
+
+def test_quotes_cells_and_short_paragraphs_are_text():
+    for tag in ("blockquote", "table><tr><td"):
+        close = "</td></tr></table>" if "td" in tag else "</blockquote>"
+        page = f"<div id=content><h1>Head line</h1><p>{LONG}</p><{tag}>{f'<p>{LONG}</p>' * 4}{close}<p>{LONG}</p></div>"
+        assert html.main_text(page) == "\n\n".join(["Head line"] + [TEXT] * 6)
+    page = f"<body><div class=menu>x</div><p>In short.</p><p>{LONG}</p><p>{LONG}</p><p>The end.</p><p><a href=1>More</a></p>"
+    assert html.main_text(page) == f"In short.\n\n{TEXT}\n\n{TEXT}\n\nThe end."
+
+
 def test_pages_end_to_end(spark):
     rows = [(i, f"u{i}", h, "x") for i, h in enumerate(PAGES)]
     rows += [(None, None, None, "x"), rows[2], (99, "deep", "<div>" * 3000 + LONG, "x"), (98, "long", f"<p>{LONG}</p>" * 5000, "x")]
