@@ -59,9 +59,69 @@ SELECT t.doc_id, len(t.w)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_h
 FROM texts t LEFT JOIN hits USING (doc_id) LEFT JOIN held USING (doc_id) LEFT JOIN near USING (doc_id)"""
 
 
+def collocations(least: int, top: int) -> str:
+    return rf"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+pieces AS (
+    SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM texts),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY 1),
+grams AS (
+    SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])) AS g
+    FROM pieces, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m),
+counted AS MATERIALIZED (SELECT lang, m, g, count(*) AS f FROM grams GROUP BY 1, 2, 3 HAVING count(*) >= {least}),
+longer AS (
+    SELECT lang, p, max(f) AS f FROM (
+        SELECT lang, unnest(flatten(list_transform(range(2, m), lambda k: list_transform(range(1, m - k + 2), lambda i: g[i:i + k - 1])))) AS p, f
+        FROM counted WHERE m > 2) GROUP BY 1, 2),
+kept AS (SELECT c.* FROM counted c LEFT JOIN longer x ON x.lang = c.lang AND x.p = c.g
+         WHERE c.m > 1 AND (x.f IS NULL OR 100 * x.f < 100 * c.f)),
+cuts AS (SELECT lang, g, f, k, g[1:k] AS a, g[k + 1:m] AS b FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)),
+scored AS (
+    SELECT c.lang, c.g, c.f AS a, c.k, x.f AS l, y.f AS r, t.n, (1000::HUGEINT * c.f * t.n) // (x.f::HUGEINT * y.f) AS score
+    FROM cuts c JOIN counted x ON x.lang = c.lang AND x.g = c.a JOIN counted y ON y.lang = c.lang AND y.g = c.b
+    JOIN totals t ON t.lang = c.lang),
+best AS (
+    SELECT *, array_to_string(g, ' ') AS phrase FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best) WHERE rank <= {top}"""
+
+
+#: crc32 of the decimal digits of c, bit by bit
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii((c::VARCHAR)[i])::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+    lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+TRIE = f"""
+WITH own AS (
+    SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+hashed AS (SELECT c, t, {_CRC} % 6 AS h FROM own),
+built AS MATERIALIZED (
+    SELECT x.c, list_concat(coalesce(b.t, [])[1:x.h], x.t[x.h + 1:]) AS t
+    FROM hashed x LEFT JOIN own b ON b.c = x.c - ((x.c % 100) + 100) % 100),
+members AS (SELECT c, t[1:d] AS p, d, d = len(t) AS ends FROM (SELECT c, t, unnest(range(0, len(t) + 1)) AS d FROM built)),
+nodes AS MATERIALIZED (
+    SELECT p, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ids FROM members GROUP BY p),
+kids AS (SELECT p[1:depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+own_sums AS (
+    SELECT x.p, x.depth, (coalesce(k.n, 0) = 0)::BIGINT AS leaf, CASE WHEN x.depth = 0 THEN 0 ELSE (x.n_convs - 1) * length(x.p[x.depth].t) END AS saved
+    FROM nodes x LEFT JOIN kids k ON k.p = x.p),
+sums AS (
+    SELECT p[1:d] AS p, sum(leaf) AS leaves, sum(saved) AS saved
+    FROM (SELECT p, leaf, saved, unnest(range(0, depth + 1)) AS d FROM own_sums) GROUP BY 1)
+SELECT x.conv_id, x.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, x.n_convs::BIGINT AS n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+    s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(x.ids) AS ends_sha256
+FROM nodes x JOIN sums s ON s.p = x.p LEFT JOIN kids k ON k.p = x.p
+LEFT JOIN nodes up ON x.depth > 0 AND up.p = x.p[1:x.depth - 1] AND up.depth = x.depth - 1"""
+
+
 def build() -> dict[str, str]:
     return {
         "op1_jaccard": jaccard(4, 85),
         "op5_decontamination": decontamination(10, 2),
         "op8_chat": chat.ORACLE_SQL,
+        "op11_collocations": collocations(100, 2000),
+        "op12_trie": TRIE,
     }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import ann, binary, chat, decontam, html, jaccard, oracle, packing, repeats, secrets, toxicity
+from candela.llm import (
+    ann, binary, chat, collocations, decontam, html, jaccard, langid, oracle, packing, repeats, secrets, toxicity, trie,
+)
 from candela.llm.store import bounded_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +78,21 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, members = trie.with_openings(trie.ordered_turns(table(spark, sf_dir, "conversations")), group=100, most=6)
+    return trie.prefix_trie(turns, members)
+
+
+def op13_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.annotate(docs.select("doc_id", "text"), langid.fit(docs)).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_jaccard": op1_jaccard,
@@ -88,6 +105,9 @@ def queries() -> dict[str, Query]:
         "op8_chat": op8_chat,
         "op9_binary": op9_binary,
         "op10_secrets": op10_secrets,
+        "op11_collocations": op11_collocations,
+        "op12_trie": op12_trie,
+        "op13_langid": op13_langid,
     }
 
 

@@ -16,7 +16,8 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -67,6 +68,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_order(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, list[tuple]]:
+    """``df`` written in ranges of ``order``, with the number of its range,
+    ``part``, and ``at``, which rises with the order; and (part, rows, first at)
+    of every range. No task holds more than its range."""
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = staged(dealt.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), name)
+    counts = placed.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("first")).collect()  # a row a range
+    return placed, sorted(tuple(r) for r in counts)
+
+
+def numbered(df: DataFrame, order: list[Column], number: str, first: int, name: str) -> DataFrame:
+    """``df`` with consecutive numbers from ``first`` on in the order."""
+    placed, parts = in_order(df, order, name)
+    rows, before = [], first
+    for part, n, start in parts:
+        rows.append((part, before - start))
+        before += n
+    shifts = df.sparkSession.createDataFrame(rows, "part int, shift long")
+    return placed.join(F.broadcast(shifts), "part").withColumn(number, F.col("at") + F.col("shift")).drop("part", "at", "shift")
+
+
 def write_atomic(path: str, write) -> None:
     """Write a file under a private name, then rename: a retried or
     speculative task replaces it with the same bytes."""
