@@ -89,13 +89,15 @@ def decayed_scan(df: DataFrame, keys: list[str], order: str, series: dict[str, t
                      for part in ("blk", "e", "loc", "end", "prev_loc", "prev_decay", "yend", "carry")])
 
 
-def decay_terms(df: DataFrame, keys: list[str], order: str, value: str, prefix: str) -> DataFrame:
+def decay_terms(df: DataFrame, keys: list[str], order: str, value: str, prefix: str,
+                numbered: Column | None = None) -> DataFrame:
     """Per-row observation bookkeeping shared by all spans on one column:
-    row number, row number of the first and of the previous observation, and
-    whether any observation has been seen."""
+    row number (``numbered``, where rows count otherwise), row number of the
+    first and of the previous observation, and whether any observation has been
+    seen."""
     w = Window.partitionBy(*keys).orderBy(order)
     rn, obs_rn = f"{prefix}_rn", f"{prefix}_obs_rn"
-    df = df.withColumn(rn, F.row_number().over(w))
+    df = df.withColumn(rn, numbered if numbered is not None else F.row_number().over(w))
     df = df.withColumn(obs_rn, F.when(F.col(value).isNotNull(), F.col(rn)))
     return (
         df.withColumn(f"{prefix}_first", F.min(obs_rn).over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -119,11 +121,17 @@ def ewm_adjust_false(df: DataFrame, keys: list[str], order: str, value: str, spa
 
 
 def ewm_gap_aware(df: DataFrame, keys: list[str], order: str, value: str, spans: dict[str, float],
-                  prefix: str | None = None) -> DataFrame:
+                  prefix: str | None = None, values: dict[str, str] | None = None) -> DataFrame:
     """``ewm_adjust_false`` for several spans of one column at once: the
     observation bookkeeping, the renormalisation sums and the cross-block
-    passes are shared."""
+    passes are shared.
+
+    ``values`` names a column of its own for some outputs, present in the very
+    rows where ``value`` is (a series that begins with a carried-forward mean
+    has a different first value for every span).  The bookkeeping columns of
+    ``decay_terms`` may be given under ``prefix``."""
     p = prefix or f"_{value}"
+    values = values or {}
     have_terms = f"{p}_rn" in df.columns
     if not have_terms:
         df = decay_terms(df, keys, order, value, p)
@@ -142,13 +150,14 @@ def ewm_gap_aware(df: DataFrame, keys: list[str], order: str, value: str, spans:
     terms = {}
     for out, span in spans.items():
         a = 2.0 / (span + 1.0)
+        v = F.col(values.get(out, value))
         ln_d = math.log(1.0 - a)
         terms[f"_{out}_L"] = F.coalesce((last - first).cast("double") * F.lit(ln_d) - F.col(f"_{out}_lnn"),
                                         F.lit(0.0))
         terms[f"_{out}_u"] = (F.when(x.isNull(), F.lit(0.0))
-                              .when(prev.isNull(), x)
-                              .when(has_gap, F.lit(a) * x / F.col(f"_{out}_norm"))
-                              .otherwise(F.lit(a) * x))
+                              .when(prev.isNull(), v)
+                              .when(has_gap, F.lit(a) * v / F.col(f"_{out}_norm"))
+                              .otherwise(F.lit(a) * v))
     df = df.withColumns(terms)
     df = decayed_scan(df, keys, order, {out: (f"_{out}_L", f"_{out}_u") for out in spans})
     df = df.withColumns({out: F.when(last.isNotNull(), F.col(out)) for out in spans})

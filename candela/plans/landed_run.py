@@ -6,11 +6,12 @@ Landing folder::
     quotes.json        one {"ticker", "quote", "failed"} object a line
     prices/*.csv       long price files (Date, Ticker, Open, ... Volume)
 
-The stored price history is the state: the run takes the landed bars after its
-last date up to ``as_of``, for tickers of the universe, the last arrival of
-each key, and appends them.  Indicators and returns are computed over the
-whole refreshed history (a trailing average needs it) and appended after their
-own watermark.  Series may have gaps, so the gap-aware averages are used.
+The run takes the landed bars after the stored history's last date up to
+``as_of``, for tickers of the universe, the last arrival of each key, and
+appends them.  Their indicators and returns are carried forward from the stored
+state row of their ticker, so a day costs what it brings, however long the
+history is; the summary is made over every ticker's last row.  Series may have
+gaps.
 """
 
 from __future__ import annotations
@@ -18,28 +19,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.operators.merge import keep_last, refresh_history
-from candela.operators.returns import returns
+from candela.operators import carried
+from candela.operators.merge import keep_last, newer_than
 from candela.operators.signals import investment_summary
-from candela.operators.technical import technical_indicators
 from candela.plans import tables as tb
-from candela.plans.daily import LoadResult, load_table
-from candela.schemas import LOAD_ORDER
+from candela.plans.daily import LoadResult, carried_sources, load_all
+from candela.schemas import STATE_TABLE
 from candela.session import ensure_checkpoint_dir
 from candela.sinks import TableStore
 from candela.sources.landed import ARRIVAL, read_constituents, read_prices_csv, read_quotes_json
 
-PRICES = ["open", "high", "low", "close"]
 
-
-def refreshed_prices(store: TableStore, landed: DataFrame, universe: DataFrame, version: int, as_of) -> DataFrame:
-    """The stored history with the landed bars after its last date."""
-    history = store.read("precios_historicos", before=version)
-    history = history.select("date", "ticker", *[F.col(c).cast("double").alias(c) for c in PRICES], "volume")
+def new_bars(store: TableStore, landed: DataFrame, universe: DataFrame, version: int, as_of) -> DataFrame:
+    """The landed bars after the stored history's last date, one a key."""
     fetched = tb.clean_prices(landed, keep=[ARRIVAL]).join(universe.select("ticker"), "ticker", "left_semi")
-    if store.mark("precios_historicos", before=version) is None:  # the first run takes all there is
-        return keep_last(fetched.filter(F.col("date") <= F.lit(as_of)), ["date", "ticker"], ARRIVAL).drop(ARRIVAL)
-    return refresh_history(history, fetched, ["date", "ticker"], "date", F.lit(as_of).cast("date"), seq=ARRIVAL)
+    fetched = newer_than(fetched, store.mark("precios_historicos", before=version)).where(F.col("date") <= F.lit(as_of).cast("date"))
+    return keep_last(fetched, ["date", "ticker"], ARRIVAL).drop(ARRIVAL)
 
 
 def landed_run(spark: SparkSession, landing: str, store_base: str, version: int, as_of) -> list[LoadResult]:
@@ -48,16 +43,15 @@ def landed_run(spark: SparkSession, landing: str, store_base: str, version: int,
     quotes = read_quotes_json(spark, f"{landing}/quotes.json").filter(~F.col("failed"))
     universe = tb.universe_from_files(read_constituents(spark, f"{landing}/constituents.csv"), quotes)
     landed = read_prices_csv(spark, f"{landing}/prices", arrival=True)
-    # shared by five of the loads: computed once, kept in the shared folder
-    prices = refreshed_prices(store, landed, universe, version, as_of).checkpoint(eager=True)
-    indicators = technical_indicators(prices, complete=False).checkpoint(eager=True)
+    # shared by several of the loads: computed once, kept in the shared folder
+    prices = new_bars(store, landed, universe, version, as_of).checkpoint(eager=True)
+    made = carried_sources(store, prices, version)
     snapshot = tb.fundamentals_from_quotes(quotes)
     sources = {
         "empresas": tb.clean_companies(universe),
         "precios_historicos": prices,
         "indicadores_fundamentales": tb.rank_fundamentals(snapshot),
-        "indicadores_tecnicos": indicators,
-        "resumen_inversion": investment_summary(indicators, snapshot),
-        "precios_variaciones": returns(prices),
+        "resumen_inversion": investment_summary(carried.latest_rows(made[STATE_TABLE]), snapshot),
+        **made,
     }
-    return [load_table(store, t, sources[t], version, unique_source=t != "indicadores_fundamentales") for t in LOAD_ORDER]
+    return load_all(store, sources, version, repeated=("indicadores_fundamentales",))

@@ -59,8 +59,9 @@ def cluster_settings(input_bytes: float, executors: int, cores_per_executor: int
     caller applies them when building its session; library code never
     changes a session).
 
-    * file splits of 1 GiB at 100 TB (about 12 waves of tasks elsewhere, 64 MiB
-      at least): the scan streams, so a split does not have to fit in memory;
+    * file splits for about 12 waves of tasks, 64 MiB at least and 1 GiB at
+      most, which a split that comes within a tenth of it takes in full (as at
+      100 TB): the scan streams, so a split does not have to fit in memory;
     * initial shuffle partitions: one per ``target_partition_bytes`` of what is
       shuffled, ``aggregated_share`` of the input (few columns, combined per
       map task), at least two waves; AQE then coalesces them. Map status is
@@ -69,7 +70,8 @@ def cluster_settings(input_bytes: float, executors: int, cores_per_executor: int
     * AQE skew handling splits any shuffle partition over 5x the median.
     """
     slots = executors * cores_per_executor
-    split = min(1 << 30, max(64 << 20, int(input_bytes // (12 * slots))))
+    share = int(input_bytes // (12 * slots))
+    split = 1 << 30 if share > 0.9 * (1 << 30) else max(64 << 20, share)
     partitions = max(2 * slots, int(input_bytes * aggregated_share // target_partition_bytes) + 1)
     return {
         "spark.sql.adaptive.enabled": "true",

@@ -6,6 +6,10 @@ lands as CSV / JSON files, read here with explicit schemas (no inference).
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,25 +51,61 @@ QUOTE_SCHEMA = T.StructType([T.StructField(k, t if t == T.StringType() else T.Do
 ARRIVAL = "arrival"
 
 
+def first_lines(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """(first line, files) of the CSV files under ``path``: a row a layout.
+
+    One task a file that stops after its first line.  A session of its own
+    (the caller's settings stay) gives every file a partition, unsplit, and
+    Arrow batches of one row, so hardly more than a buffer of a file is read."""
+    own = spark.newSession()
+    for key, value in {"spark.sql.files.maxPartitionBytes": str(1 << 40), "spark.sql.files.openCostInBytes": str(1 << 40),
+                       "spark.sql.files.minPartitionNum": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}.items():
+        own.conf.set(key, value)
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    lines = own.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    header = F.regexp_replace(F.col("value"), "^\ufeff|\r$", "")
+    groups = lines.mapInArrow(first, "value string, file string").groupBy(header.alias("header")).agg(
+        F.sort_array(F.collect_list("file")).alias("files")).collect()  # a row a layout, the paths of its files
+    return sorted((r["header"], r["files"]) for r in groups)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, arrival: bool = False) -> DataFrame:
     """The columns of ``schema`` from CSV files with a header: found by name
     (exactly, else in any case), cast, in the schema's order; other columns
     are ignored, a missing one is an error.  ``arrival`` adds the rows' order of
     arrival: file time, file, place in the file.
 
-    Files of one read must share their header: read folders of several
-    layouts one by one."""
-    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    lower = {c.lower(): c for c in reversed(raw.columns)}
-    columns, missing = [], []
-    for f in schema.fields:
-        name = f.name if f.name in raw.columns else lower.get(f.name.lower())
-        if name is None:
-            missing.append(f.name)
-        else:
-            columns.append(F.col(f"`{name}`").try_cast(f.dataType).alias(f.name))
+    The files of a folder may have different layouts: those with the same
+    header are read together, each group by its own names, and united.  Files
+    without a line have no rows."""
+    layouts = first_lines(spark, path)
+    if len(layouts) <= 1:
+        return _read_layout(spark, path, path, schema, arrival)
+    parts = [_read_layout(spark, [_escaped(f) for f in files], files[0], schema, arrival) for _, files in layouts]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _escaped(path: str) -> str:
+    """A file's path as a path to read: no pattern characters."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", unquote(path))
+
+
+def _read_layout(spark: SparkSession, paths: str | list[str], named: str, schema: T.StructType, arrival: bool) -> DataFrame:
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(paths)
+    names = [c.removeprefix("\ufeff") for c in raw.columns]
+    exact = {c: i for i, c in reversed(list(enumerate(names)))}
+    lower = {c.lower(): i for i, c in reversed(list(enumerate(names)))}
+    missing = [f.name for f in schema.fields if f.name.lower() not in lower]
     if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}")
+        raise ValueError(f"{named} has no column {', '.join(missing)}")
+    columns = [F.col(f"`{raw.columns[exact.get(f.name, lower[f.name.lower()])]}`").try_cast(f.dataType).alias(f.name)
+               for f in schema.fields]
     if arrival:
         columns.append(F.struct(F.col("_metadata.file_modification_time").alias("at"),
                                 F.col("_metadata.file_path").alias("file"),

@@ -141,3 +141,23 @@ def test_universe_from_landed_files(spark):
     got = [(r.ticker, r.name, r.market_cap) for r in universe_from_files(cons, quotes, k=2).collect()]
     assert got == [("BRK-B", "B", 900), ("AAA", "", 5)]
     assert len(universe_from_files(cons, quotes).collect()) == 3  # BBB keeps the defaults
+
+
+def test_files_of_several_layouts_in_one_folder(spark):
+    d = tempfile.mkdtemp(prefix="candela-test-", dir="/tmp")
+    files = {"a.csv": "Date,Ticker,Open,High,Low,Close,Volume\n2024-01-02,A,1,4,0,2,10\n",
+             "b [1] %20.csv": "volume,CLOSE,Low,High,Open,Ticker,Date\n20,2.5,0,4,1,B,2024-01-02\n21,2.6,0,4,1,B,2024-01-03\n",
+             "c.csv": "﻿Date,Adj Close,Ticker,Open,High,Low,Close,Volume\n2024-01-02,99,C,1,4,0,3,30\n",
+             "d.csv": "Date,Ticker,Open,High,Low,Close,Volume\r\n2024-01-03,A,1,4,0,7,11\r\n",
+             "e.csv": "Date,Ticker,Open,High,Low,Close,Volume\n", "f.csv": ""}
+    for name, text in files.items():
+        with open(os.path.join(d, name), "w", newline="") as fh:
+            fh.write(text)
+    got = sorted((r.Ticker, r.Date.day, r.Close, r.Volume) for r in read_prices_csv(spark, d, arrival=True).collect())
+    assert got == [("A", 2, 2.0, 10.0), ("A", 3, 7.0, 11.0), ("B", 2, 2.5, 20.0), ("B", 3, 2.6, 21.0), ("C", 2, 3.0, 30.0)]
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert int(str(split).rstrip("b")) < 1 << 40  # the caller's session keeps its settings
+    with open(os.path.join(d, "g.csv"), "w") as fh:
+        fh.write("Date,Ticker\n2024-01-02,A\n")
+    with pytest.raises(ValueError, match="g.csv has no column Open"):
+        read_prices_csv(spark, d)
