@@ -22,7 +22,7 @@ from candela.operators.ranking import top_k
 from candela.operators.returns import returns
 from candela.operators.signals import investment_summary
 from candela.operators.technical import ema, fibonacci, macd, rolling_block, technical_indicators
-from candela.plans import analyst
+from candela.plans import analyst, stored
 from candela.plans import tables as tb
 from candela.sources.bars import LINE_ORDER, brand_bars, supplier_bars, supplier_ticker
 from candela.sources.landed import parse_quote, quote_columns
@@ -34,6 +34,9 @@ TICKER = "S000001"
 BATCH1_END = dt.date(1999, 12, 31)
 BATCH2_START = dt.date(1999, 6, 1)
 REFETCH_START = dt.date(2000, 6, 1)
+SECOND_CUT = dt.date(2000, 6, 1)
+LANDED_FROM, LANDED_TO = dt.date(1995, 1, 1), dt.date(2000, 1, 1)
+LAST_DAY = dt.date(2100, 1, 1)  # after all data
 TOP_K = 40
 OVERBOUGHT = 60.0  # the prices are independent draws: no RSI among them passes 70
 EMA_FAMILY = ("ema_20", "macd", "macd_signal", "macd_hist")
@@ -149,6 +152,20 @@ def _tick_target(spark, sf):
         "date", "ticker", (F.col("close") + F.lit(5.0)).alias("close"), F.lit(-1).cast("bigint").alias("volume"))
 
 
+def _stream_refresh(spark, sf):
+    """Two landed batches before the second cut, then one that overlaps them."""
+    b1, b2 = _batches(spark, sf)
+    early = F.col("date") < F.lit(BATCH2_START)
+    return stored.stream_refresh(spark, sf, [b1.where(early), b1.where(~early), b2])
+
+
+def _load_rejects(spark, sf):
+    """Line items as arrivals: orphans are tickers without fundamentals, and
+    arrivals of a multiple of 1000 have lost their ticker."""
+    ticks = _ticks(spark, sf).withColumn("ticker", F.when(F.col("seq.l_partkey") % 1000 != 0, F.col("ticker")))
+    return stored.load_rejects(spark, sf, ticks, fundamentals(spark, sf))
+
+
 def _ticker_prices(spark, sf):
     """Prices of the analyst queries' ticker; the ticker reaches the scan."""
     return _prices(spark, sf, [TICKER])
@@ -221,6 +238,15 @@ def registry() -> dict[str, Query]:
         "upsert_last_wins": lambda s, sf: merge.merge_update(_tick_target(s, sf), _ticks(s, sf), ["date", "ticker"], "seq"),
         "upsert_preserve": lambda s, sf: merge.merge_update(_tick_target(s, sf), _ticks(s, sf), ["date", "ticker"], "seq",
                                                             preserve=["volume"]),
+        "indicators_incremental": lambda s, sf: at_check_precision(stored.indicators_by_days(s, sf, [BATCH1_END, SECOND_CUT])),
+        "stream_refresh": _stream_refresh,
+        "stored_daily": lambda s, sf: stored.stored_daily(s, sf, [BATCH1_END, LAST_DAY, LAST_DAY]),
+        "stored_indicators": lambda s, sf: stored.as_doubles(at_check_precision(
+            stored.stored_indicators(s, sf, [BATCH1_END, LAST_DAY]))),
+        "landed_daily": lambda s, sf: stored.landed_daily(s, sf, [BATCH1_END, LAST_DAY]),
+        "landed_prices": lambda s, sf: stored.landed_prices(s, sf, LANDED_FROM, LANDED_TO),
+        "csv_round_trip": stored.csv_round_trip,
+        "load_rejects": _load_rejects,
         "orphans": lambda s, sf: orphans(_prices(s, sf), fundamentals(s, sf)),
         "duplicate_keys": lambda s, sf: duplicate_keys(read_table(s, sf, "lineitem"), ["l_orderkey", "l_linenumber"]),
     }

@@ -9,8 +9,9 @@ block-scanned Spark form.
 from __future__ import annotations
 
 from candela.plans.catalog import (
-    BATCH1_END, BATCH2_START, CHECK_DECIMALS, OVERBOUGHT, REFETCH_START, TICKER, TOP_K,
+    BATCH1_END, BATCH2_START, CHECK_DECIMALS, EMA_FAMILY, LANDED_FROM, LANDED_TO, OVERBOUGHT, REFETCH_START, SECOND_CUT, TICKER, TOP_K,
 )
+from candela.schemas import TABLES
 
 LINE_ORDER = "row(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice)"
 
@@ -285,6 +286,77 @@ def _quote_col(key, name, typ, default):
     return f"{v} AS {name}"
 
 
+def _until(cut) -> tuple[str, ...]:
+    """The indicator chain over the lines shipped until ``cut``."""
+    lines = "lineitem" if cut is None else f"(SELECT * FROM lineitem WHERE CAST(l_shipdate AS DATE) <= DATE '{cut}')"
+    return (f"bars AS MATERIALIZED ({_bars_body(SUPPLIER_TICKER, lines)})", *IND_CHAIN[1:])
+
+
+def _by_days(cuts: list, select: str) -> str:
+    """Rows of each step, as a whole run until its end has them."""
+    parts, low = [], None
+    for cut in cuts:
+        after = "" if low is None else f" WHERE date > DATE '{low}'"
+        parts.append(f"SELECT * FROM ({_with(*_until(cut), recursive=True)} {select}){after}")
+        low = cut
+    return " UNION ALL ".join(parts)
+
+
+def _as_stored(column: str, table: str) -> str:
+    """A value after the cast of its stored column, decimal digits half away
+    from zero, as a double."""
+    kind = TABLES[table][column].dataType.simpleString()
+    if not kind.startswith("decimal"):
+        return column
+    stored = f"CAST(CAST({column} AS VARCHAR) AS {kind})"
+    if table == "indicadores_tecnicos" and column in EMA_FAMILY:
+        stored = f"round({stored}, {CHECK_DECIMALS})"
+    return f"CAST({stored} AS DOUBLE) + {_d(0.0)} AS {column}"
+
+
+def _stored() -> dict[str, str]:
+    q = {}
+    q["indicators_incremental"] = _by_days([BATCH1_END, SECOND_CUT, None], f"SELECT {IND_COLS} FROM ind")
+    raw = IND_COLS.replace("ema_20", "ema_20_raw AS ema_20").replace("macd, macd_signal, macd_hist",
+                           "macd_raw AS macd, macd_signal_raw AS macd_signal, macd_raw - macd_signal_raw AS macd_hist")
+    columns = ", ".join(_as_stored(c, "indicadores_tecnicos") for c in IND_COLS.split(", "))
+    q["stored_indicators"] = f"SELECT {columns} FROM ({_by_days([BATCH1_END, None], f'SELECT {raw} FROM ind')})"
+    prices = ", ".join(_as_stored(c, "precios_historicos") for c in ("date", "ticker", "open", "high", "low", "close", "volume"))
+    q["stream_refresh"] = (f"{_with(BARS, PRICES, BATCHES)}, merged AS (SELECT * FROM b2 WHERE date > (SELECT max(date) FROM b1) "
+                           f"UNION ALL SELECT * FROM b1) SELECT {prices} FROM merged")
+    q["csv_round_trip"] = f"{_with(BARS, PRICES)} SELECT * FROM prices"
+    q["landed_prices"] = f"{_with(BARS, PRICES)} SELECT * FROM prices WHERE date >= DATE '{LANDED_FROM}' AND date < DATE '{LANDED_TO}'"
+    one, all_ = f"(SELECT count(*) FROM prices WHERE date <= DATE '{BATCH1_END}')", "(SELECT count(*) FROM prices)"
+    held = "(SELECT count(*) FROM fundamentals WHERE ticker IN (SELECT ticker FROM prices{}))"
+    keyed = {"empresas": ["(SELECT count(*) FROM companies)"] * 3, "indicadores_fundamentales": ["(SELECT count(*) FROM fundamentals)"] * 3,
+             "resumen_inversion": [held.format(f" WHERE date <= DATE '{BATCH1_END}'"), held.format(""), held.format("")]}
+    rows = [f"SELECT CAST({d + 1} AS INTEGER) AS day, '{t}' AS \"table\", {n[d]} AS rows, true AS written, {n[d]} AS stored"
+            for t, n in keyed.items() for d in range(3)]
+    for t in ("precios_historicos", "indicadores_tecnicos", "precios_variaciones"):
+        for d, (n, total) in enumerate([(one, one), (f"{all_} - {one}", all_), ("0", all_)]):
+            rows.append(f"SELECT {d + 1}, '{t}', {n}, {'false' if d == 2 else 'true'}, {total}")
+    q["stored_daily"] = f"{_with(BARS, PRICES, COMPANIES, FUNDAMENTALS)} {' UNION ALL '.join(rows)}"
+    # quotes that came through, and the 500 largest of them and of the rest at 0
+    fund = f"""fundamentals AS (
+  SELECT printf('S%06d', s_suppkey) AS ticker, CAST(s_suppkey % 45 AS DOUBLE) AS per, CAST(NULL AS DOUBLE) AS roe,
+         CAST(NULL AS DOUBLE) AS eps_growth_yoy, CAST(NULL AS DOUBLE) AS deuda_patrimonio
+  FROM supplier WHERE s_suppkey % 13 <> 0),
+universe AS (
+  SELECT printf('S%06d', s_suppkey) AS ticker FROM supplier
+  ORDER BY CASE WHEN s_suppkey % 13 <> 0 THEN s_suppkey * 1000 ELSE 0 END DESC, 1 LIMIT 500)"""
+    chosen = PRICES.replace("ticker IS NOT NULL", "ticker IN (SELECT ticker FROM universe)")
+    summary = ", ".join(_as_stored(f.name, "resumen_inversion") for f in TABLES["resumen_inversion"].fields)
+    q["landed_daily"] = (f"SELECT {summary} FROM ({_with(fund, BARS, chosen, *IND_CHAIN[2:], SUMMARY, recursive=True)} {SUMMARY_SELECT})")
+    q["load_rejects"] = f"""{_with(FUNDAMENTALS)}, ticks AS (
+  SELECT CAST(l_shipdate AS DATE) AS date, CASE WHEN l_partkey % 1000 <> 0 THEN {SUPPLIER_TICKER} END AS ticker FROM lineitem),
+marked AS (
+  SELECT date, ticker, CASE WHEN date IS NULL OR ticker IS NULL THEN 'null key'
+         WHEN ticker NOT IN (SELECT ticker FROM fundamentals) THEN 'orphan' ELSE 'duplicate' END AS reason FROM ticks),
+counted AS (SELECT reason, date, ticker, count(*) AS n FROM marked GROUP BY 1, 2, 3)
+SELECT reason, date, ticker, CASE WHEN reason = 'duplicate' THEN n - 1 ELSE n END AS rows FROM counted WHERE reason <> 'duplicate' OR n > 1"""
+    return q
+
+
 def build() -> dict[str, str]:
     ind_chain = _with(*IND_CHAIN, recursive=True)
     roll = _with(*ROLL_CHAIN)
@@ -414,4 +486,4 @@ def build() -> dict[str, str]:
                     f"WHERE NOT EXISTS (SELECT 1 FROM fundamentals f WHERE f.ticker = p.ticker) GROUP BY ticker")
     q["duplicate_keys"] = ("SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem "
                            "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
-    return q
+    return {**q, **_stored()}
