@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +26,6 @@ from candela.plans import tables as tb
 from candela.sources.bars import LINE_ORDER, brand_bars, supplier_bars, supplier_ticker
 from candela.sources.landed import parse_quote, quote_columns
 from candela.sources.reference import FUNDAMENTAL_COLUMNS, companies, fundamentals
-from candela.sources.reshape import long_to_wide_parts, wide_to_long
 from candela.sources.tables import read_table
 
 TICKER = "S000001"
@@ -87,13 +85,8 @@ def _quote_map_defaults(spark, sf):
 
 
 def _wide_to_long(spark, sf):
-    """All brand bars through the wide layout (one column per brand and
-    field, in parts) and back."""
-    p = tb.clean_prices(brand_bars(spark, sf))
-    parts = long_to_wide_parts(p, read_table(spark, sf, "part").select("p_brand"), per_part=10)
-    long = reduce(DataFrame.unionByName, map(wide_to_long, parts))
-    return long.select("date", "ticker", "open", "high", "low", "close",
-                       F.col("volume").cast("bigint").alias("volume"))
+    """All brand bars through a folder of wide files and back."""
+    return stored.wide_round_trip(spark, _long_prices(spark, sf))
 
 
 def _top_market_cap(spark, sf):

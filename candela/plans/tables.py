@@ -118,6 +118,13 @@ def bootstrap_history(wide: DataFrame, sep: str = "|", date: str = "date") -> Da
     return clean_prices(wide_to_long(wide, sep=sep, date=date))
 
 
+def bootstrap_from_files(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """Long price history of landed wide files of any width over a half-open
+    date range."""
+    from candela.sources.wide import read_wide_csv
+    return clean_prices(read_wide_csv(spark, path, start, end))
+
+
 def universe_from_files(constituents: DataFrame, quotes: DataFrame, k: int = 500) -> DataFrame:
     """The ``k`` largest constituents by market cap: every listed ticker
     (``read_constituents``) with its landed quote map (ticker, quote JSON), a

@@ -3,7 +3,8 @@
 The wide layout has one row per date and one column per (ticker, field),
 named ``{ticker}{sep}{field}``.  Going long needs no shuffle: each wide row
 explodes into one struct per ticker, and rows whose fields are all missing
-are dropped.
+are dropped.  (A frame has a column for each cell, so this is for a few hundred
+tickers; files of any width are read and written by ``sources/wide.py``.)
 """
 
 from __future__ import annotations
@@ -14,16 +15,6 @@ from pyspark.sql import functions as F
 FIELDS = ["open", "high", "low", "close", "volume"]
 
 
-def long_to_wide_parts(df: DataFrame, names: DataFrame, per_part: int = 200,
-                       sep: str = "|", date: str = "date") -> list[DataFrame]:
-    """The wide layout of every ticker in ``names`` (one column), in parts of
-    ``per_part`` tickers: a wide file's width is bounded, the number of files
-    is not. The names become column names, so they have to reach the driver."""
-    tickers = sorted(r[0] for r in names.dropna().distinct().collect())
-    return [long_to_wide(df, tickers[i:i + per_part], sep=sep, date=date)
-            for i in range(0, len(tickers), per_part)]
-
-
 def long_to_wide(df: DataFrame, tickers: list[str], fields: list[str] | None = None,
                  sep: str = "|", date: str = "date") -> DataFrame:
     """Pivot long bars to one row per date (fixed ticker list, so the pivot

@@ -1,5 +1,9 @@
 """Tickers and ties: rules that must not change with the size of a key or a price."""
 
+import datetime as dt
+import os
+import tempfile
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +11,8 @@ from candela.operators.signals import macd_signal_rule, sma_vs_ema_signal
 from candela.operators.technical import technical_indicators
 from candela.plans import analyst
 from candela.sources.bars import supplier_ticker, suppkeys_from_tickers
-from candela.sources.reshape import long_to_wide_parts, wide_to_long
+from candela.sources import wide
+from candela.sources.wide import read_wide_csv, write_wide_csv
 from conftest import make_bars
 
 
@@ -43,12 +48,40 @@ def test_averages_of_long_series_do_not_drift(spark):
     assert max(abs(a - b) for a, b in zip(got, want, strict=True)) < 1e-9
 
 
-def test_any_number_of_tickers_goes_wide_and_back(spark):
-    bars = make_bars(spark, {f"T{i:02d}": [float(i), i + 1.0] for i in range(23)})
-    parts = long_to_wide_parts(bars, bars.select("ticker"), per_part=5)
-    assert len(parts) == 5
-    back = sorted((r.ticker, r.date, r.close) for p in parts for r in wide_to_long(p).collect())
-    assert back == sorted((r.ticker, r.date, r.close) for r in bars.collect())
+def _long(df):
+    return sorted(((r.ticker, r.date, r.open, r.high, r.low, r.close, r.volume) for r in df.collect()), key=str)
+
+
+def test_wide_files_of_any_width(spark, monkeypatch):
+    path = os.path.join(tempfile.mkdtemp(prefix="candela-test-", dir="/tmp"), "wide")
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    bars = spark.range(10_000).select(F.concat(F.lit("T"), F.col("id")).alias("ticker"), "id").withColumn(
+        "date", F.explode(F.array(*map(F.lit, days)))).where("id % 7 <> day(date)").select(
+        "date", "ticker", *[(F.col("id") + k + 0.125).alias(c) for k, c in enumerate(("open", "high", "low", "close"))], "id").withColumn(
+        "volume", F.when(F.col("id") % 5 > 0, F.col("id"))).drop("id").withColumn("close", F.when(F.col("close") % 3 > 1, F.col("close")))
+    write_wide_csv(bars, path, files=2)
+    back = read_wide_csv(spark, path)
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 60_000 and "T123" not in plan  # it does not grow with the tickers
+    want = _long(bars.withColumn("volume", F.col("volume").cast("double")))
+    assert _long(back) == want
+    assert {r.date for r in read_wide_csv(spark, path, days[1], days[2]).select("date").distinct().collect()} == {days[1]}
+    monkeypatch.setattr(wide, "BROADCAST_CHARS", 10)  # headers by a shuffle
+    assert _long(read_wide_csv(spark, path)) == want
+
+
+def test_wide_files_with_headers_of_their_own(spark):
+    d = tempfile.mkdtemp(prefix="candela-test-", dir="/tmp")
+    files = {"a.csv": 'Date,"AA|Open",AA|Close,note\n2024-01-01,1,2,x\n2024-01-02,,,x\nbad,1,1,x\n',
+             "b.csv": "DATE,BB|close,AA|close,AA|Adj Close\n2024-01-03,5,oops,9\n2024-01-04,6\n", "c.csv": ""}
+    for name, text in files.items():
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(text)
+    got = sorted(((r.ticker, r.date.day if r.date else None, r.open, r.close) for r in read_wide_csv(spark, d).collect()), key=str)
+    assert got == [("AA", 1, 1.0, 2.0), ("AA", None, 1.0, 1.0), ("BB", 3, None, 5.0), ("BB", 4, None, 6.0)]
+    empty = spark.createDataFrame([], "date date, ticker string, open double, high double, low double, close double, volume double")
+    write_wide_csv(empty, os.path.join(d, "none"))
+    assert read_wide_csv(spark, os.path.join(d, "none")).count() == 0
 
 
 def test_rank_of_one_ticker_is_the_rank_among_all(spark):
