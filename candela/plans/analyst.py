@@ -32,10 +32,6 @@ def q02_price_history(precios: DataFrame, ticker: str) -> DataFrame:
     return precios.filter(F.col("ticker") == ticker).orderBy(F.col("date").desc_nulls_first())
 
 
-def q03_fundamentals(fundamentales: DataFrame, ticker: str) -> DataFrame:
-    return fundamentales.filter(F.col("ticker") == ticker)
-
-
 def ranked_fundamentals(snapshot: DataFrame, ticker: str) -> DataFrame:
     """One ticker's fundamentals with its rank by market cap, counted from the
     larger caps (ties: the smaller ticker first) instead of ranking them all."""
@@ -100,14 +96,17 @@ def _trading_alert(sma: Column, ema: Column, price: Column) -> Column:
 
 
 def q10_trading_alert(tecnicos: DataFrame, precios: DataFrame, ticker: str) -> DataFrame:
-    it = tecnicos.filter((F.col("ticker") == ticker) & F.col("sma_20").isNotNull()
-                         & F.col("ema_20").isNotNull()).select("date", "ticker", "sma_20", "ema_20",
-                                                                         F.col("close").alias("_price"))
+    return trading_alerts(tecnicos.filter(F.col("ticker") == ticker), precios).orderBy(F.col("date").desc_nulls_first())
+
+
+def trading_alerts(tecnicos: DataFrame, precios: DataFrame) -> DataFrame:
+    """The alerts of every ticker, in no order."""
+    it = tecnicos.filter(F.col("sma_20").isNotNull() & F.col("ema_20").isNotNull()).select(
+        "date", "ticker", "sma_20", "ema_20", F.col("close").alias("_price"))
     ph = precios.select("ticker", "date", "close")
-    return (it.join(ph, ["ticker", "date"], "left")
-            .select("date", "ticker", "close", "sma_20", "ema_20",
-                    _trading_alert(F.col("sma_20"), F.col("ema_20"), F.col("_price")).alias("decision_trading"))
-            .orderBy(F.col("date").desc_nulls_first()))
+    return it.join(ph, ["ticker", "date"], "left").select(
+        "date", "ticker", "close", "sma_20", "ema_20",
+        _trading_alert(F.col("sma_20"), F.col("ema_20"), F.col("_price")).alias("decision_trading"))
 
 
 def q11_latest_vs_bollinger(precios: DataFrame, tecnicos: DataFrame, ticker: str) -> DataFrame:

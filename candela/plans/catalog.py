@@ -35,6 +35,7 @@ REFETCH_START = dt.date(2000, 6, 1)
 SECOND_CUT = dt.date(2000, 6, 1)
 LANDED_FROM, LANDED_TO = dt.date(1995, 1, 1), dt.date(2000, 1, 1)
 LAST_DAY = dt.date(2100, 1, 1)  # after all data
+BUCKETS = 8
 TOP_K = 40
 OVERBOUGHT = 60.0  # the prices are independent draws: no RSI among them passes 70
 EMA_FAMILY = ("ema_20", "macd", "macd_signal", "macd_hist")
@@ -239,6 +240,7 @@ def registry() -> dict[str, Query]:
         "landed_daily": lambda s, sf: stored.landed_daily(s, sf, [BATCH1_END, LAST_DAY]),
         "landed_prices": lambda s, sf: stored.landed_prices(s, sf, LANDED_FROM, LANDED_TO),
         "csv_round_trip": stored.csv_round_trip,
+        "stored_alerts": lambda s, sf: at_check_precision(stored.stored_alerts(s, sf, BUCKETS)),
         "load_rejects": _load_rejects,
         "orphans": lambda s, sf: orphans(_prices(s, sf), fundamentals(s, sf)),
         "duplicate_keys": lambda s, sf: duplicate_keys(read_table(s, sf, "lineitem"), ["l_orderkey", "l_linenumber"]),

@@ -347,6 +347,12 @@ universe AS (
     chosen = PRICES.replace("ticker IS NOT NULL", "ticker IN (SELECT ticker FROM universe)")
     summary = ", ".join(_as_stored(f.name, "resumen_inversion") for f in TABLES["resumen_inversion"].fields)
     q["landed_daily"] = (f"SELECT {summary} FROM ({_with(fund, BARS, chosen, *IND_CHAIN[2:], SUMMARY, recursive=True)} {SUMMARY_SELECT})")
+    q["stored_alerts"] = (
+        f"{_with(*IND_CHAIN, recursive=True)} SELECT it.date, it.ticker, ph.close, it.sma_20, it.ema_20, "
+        f"CASE WHEN {_exceeds('it.ema_20_raw', 'it.sma_20', 'it.close')} THEN 'POSIBLE VENTA' "
+        f"WHEN {_exceeds('it.sma_20', 'it.ema_20_raw', 'it.close')} THEN 'POSIBLE COMPRA' ELSE 'NEUTRO' END AS decision_trading "
+        f"FROM ind it LEFT JOIN prices ph ON it.ticker = ph.ticker AND it.date = ph.date "
+        f"WHERE it.sma_20 IS NOT NULL AND it.ema_20_raw IS NOT NULL")
     q["load_rejects"] = f"""{_with(FUNDAMENTALS)}, ticks AS (
   SELECT CAST(l_shipdate AS DATE) AS date, CASE WHEN l_partkey % 1000 <> 0 THEN {SUPPLIER_TICKER} END AS ticker FROM lineitem),
 marked AS (
