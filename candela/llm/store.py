@@ -98,6 +98,15 @@ def write_atomic(path: str, write) -> None:
     os.replace(private, path)
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def released(run):
     """A task function that drops what modules keep and gives freed memory back
     at its end: Python workers live on between tasks, and those of a later stage
@@ -110,11 +119,7 @@ def released(run):
             for module, drop in (("candela.llm.tokens", "drop_encoders"), ("candela.llm.text", "drop_powers")):
                 if module in sys.modules:
                     getattr(sys.modules[module], drop)()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            give_back()
 
     return task
 

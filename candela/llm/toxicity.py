@@ -5,20 +5,29 @@ word and one of its first bytes. Filters of several widths run over the whole
 text; each filter's largest response in the text (max pooling) feeds a
 logistic layer.
 
+The first dimension of both embeddings is no free weight: it is the smoothed
+log-odds of the word, or of its beginning, in toxic texts. While the network
+learns, a text sees odds counted without the part of the rows that it is in, so
+that a word's odds are worth in training what they are worth in a new text. The
+other dimensions start small and decay. Words never seen have odds of 0.
+
 A second, linear head over the same hashed words guesses the language of a
 text. It is fitted on the languages of the training rows; scoring sees the
 text alone. Thresholds are calibrated for each guessed language on all labelled
 rows of a fold that no gradient saw, at the rates the classes have there: the
 tasks count labels by language and bin of the logit, and the cut between bins
-with the best F1 is taken. The score is the logistic of the distance to the
-guessed language's threshold, so 0.5 is that threshold.
+with the best F1 is taken. A language's cut is drawn to that of all languages by
+as much as it has few positive rows, and never comes near the logit of a text
+without words. The score is the logistic of the distance to the guessed
+language's threshold, so 0.5 is that threshold.
 
 Training uses at most ``TRAIN_ROWS`` labelled rows of each class, those with
 the smallest hash of their id, outside the held-out fold; of these, the rows of
 the calibration fold are not learnt from. Everything else covers all rows and
 whole texts.
 
-Defined cases: a null or empty text scores as a text without words; rows
+Defined cases: a text without words (null and empty ones too) scores the share of
+toxic rows in the calibration fold, below 0.5 in any case; rows
 without a label are scored and not learnt from; a null doc_id counts as the
 text "" (its crc32 is 0: held out) and is not learnt from; contradicting
 labels of one id are all learnt from; without training rows of both classes
@@ -35,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.store import extended, fitted, released
+from candela.llm.store import extended, fitted, give_back, released
 from candela.llm.text import ALNUM, chunks, mix, words
 
 #: bound of the sample, by class
@@ -47,11 +56,20 @@ PREFIX_BYTES = 5
 DIM = 12
 WIDTHS = (1, 2, 3)
 FILTERS = 12
-EPOCHS = 8
+EPOCHS = 3
 BATCH = 64
 RATE = 0.02
+DECAY = 0.004
+#: parts of the training rows for odds that leave a text's own part out
+PARTS = 5
+#: rows that a word's odds are smoothed with
+SMOOTHING = 1.0
 #: a language needs so many positive calibration rows for a threshold of its own
 LEAST_POSITIVES = 10
+#: positive rows that the cut of all languages counts in each, and the least
+#: distance of a cut from the logit of a text without words
+SHRINKAGE = 20
+LEAST_GAP = 0.1
 #: fold of the rows that thresholds are calibrated on
 CALIBRATION = 1
 #: bins of logits in a unit, and the logit beyond which they are one
@@ -68,6 +86,7 @@ class Model(NamedTuple):
     languages: list[str]
     language_weights: np.ndarray  #: (word buckets, languages)
     thresholds: np.ndarray
+    prior: float = 0.0  #: score of a text without words
 
 
 def features(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,37 +151,68 @@ def _responses(v: np.ndarray, filters: np.ndarray, starts: np.ndarray) -> list[n
     return out
 
 
+def _odds(rows: list[tuple], column: int, buckets: int) -> np.ndarray:
+    """Smoothed log-odds of toxic texts by bucket, half of them: a word's and
+    its beginning's add up."""
+    counts = np.zeros((2, buckets))
+    for r in rows:
+        counts[r[2], np.unique(r[column])] += 1
+    toxic = sum(r[2] for r in rows)
+    q = min(max(toxic / max(len(rows), 1), 1e-3), 1 - 1e-3)
+    odds = np.log((counts[1] + SMOOTHING * q) / (counts[0] + SMOOTHING * (1 - q))) - np.log(q / (1 - q))
+    return (odds / 2).astype(np.float32)
+
+
 class _Network:
     """Adam over the embeddings and filters; gradients are sparse: a text
     touches only the words under its largest responses."""
 
-    def __init__(self, rng):
-        self.e = rng.normal(0, 0.3, (WORD_BUCKETS, DIM)).astype(np.float32)
-        self.p = rng.normal(0, 0.3, (PREFIX_BUCKETS, DIM)).astype(np.float32)
-        self.f = rng.normal(0, 0.3, (sum(WIDTHS), DIM, FILTERS)).astype(np.float32)
+    def __init__(self, rng, word_odds: np.ndarray, prefix_odds: np.ndarray):
+        """Odds of every part: parts x buckets."""
+        self.word_odds, self.prefix_odds = word_odds, prefix_odds
+        self.e = rng.normal(0, 0.03, (WORD_BUCKETS, DIM)).astype(np.float32)
+        self.p = rng.normal(0, 0.03, (PREFIX_BUCKETS, DIM)).astype(np.float32)
+        self.e[:, 0] = self.p[:, 0] = 0
+        self.f = rng.normal(0, 0.1, (sum(WIDTHS), DIM, FILTERS)).astype(np.float32)
+        for w, at in _SPANS:  # some filters begin as the mean odds of their words
+            self.f[at:at + w, 0, :FILTERS // 2] += 1 / w
         self.b = np.zeros(len(WIDTHS) * FILTERS, np.float32)
-        self.o = rng.normal(0, 0.3, len(WIDTHS) * FILTERS).astype(np.float32)
-        self.c = np.zeros(1, np.float32)
+        self.o = np.abs(rng.normal(0, 0.06, len(WIDTHS) * FILTERS)).astype(np.float32)
+        self.c = np.full(1, -1, np.float32)
         self.state = {k: (np.zeros_like(getattr(self, k)), np.zeros_like(getattr(self, k))) for k in "epfboc"}
         self.t = self.epoch = 0
 
-    def step(self, w, p, first, y, weight):
-        """One batch of texts: buckets of their words, first word of each."""
+    def _vectors(self, w, p, part):
+        v = self.e[w] + self.p[p]
+        v[:, 0] = self.word_odds[part, w] + self.prefix_odds[part, p]
+        return v
+
+    def step(self, w, p, first, part, y, weight):
+        """One batch of texts: buckets of their words, first word of each, the
+        texts' parts. Responses stand in memory for a block of words at a time."""
         at, begin, starts = _padded(first)
-        word = np.full(len(starts), -1, np.int32)
+        word = np.full(len(starts) + PAD, -1, np.int32)
         word[at] = np.arange(len(at))
-        v = np.zeros((len(starts) + PAD, DIM), np.float32)
-        v[at] = self.e[w] + self.p[p]
         n = len(y)
         doc = np.repeat(np.arange(n), np.diff(begin))
-        best, where = [], []
-        for s in _responses(v, self.f, starts):
-            top = np.maximum.reduceat(s, begin[:-1])
-            row, column = np.nonzero(s == top[doc])
-            _, i = np.unique(doc[row] * FILTERS + column, return_index=True)  # the first of equal ones
-            where.append(row[i])
-            best.append(top)
-        x = np.maximum(np.concatenate(best, axis=1) + self.b, 0)
+        own = np.repeat(part, np.diff(first))
+        best = np.full((len(WIDTHS), n, FILTERS), -np.inf, np.float32)
+        where = np.zeros((len(WIDTHS), n, FILTERS), np.int64)
+        for a in range(0, len(starts), BLOCK_WORDS):
+            b = min(a + BLOCK_WORDS, len(starts))
+            held = word[a:b + PAD]
+            v = np.zeros((len(held), DIM), np.float32)
+            v[held >= 0] = self._vectors(w[held[held >= 0]], p[held[held >= 0]], own[held[held >= 0]])
+            here, begins = np.unique(doc[a:b], return_index=True)
+            for i, s in enumerate(_responses(v, self.f, starts[a:b])):
+                top = np.maximum.reduceat(s, begins)
+                row, column = np.nonzero(s == top[doc[a:b] - here[0]])
+                _, j = np.unique((doc[a + row] - here[0]) * FILTERS + column, return_index=True)  # the first of equal ones
+                place = (a + row[j]).reshape(len(here), FILTERS)
+                better = top > best[i, here]
+                where[i, here] = np.where(better, place, where[i, here])
+                best[i, here] = np.where(better, top, best[i, here])
+        x = np.maximum(best.transpose(1, 0, 2).reshape(n, -1) + self.b, 0)
         score = 1 / (1 + np.exp(-np.clip(x @ self.o + self.c[0], -30, 30)))
         d = ((score - y) * weight).astype(np.float32)
         dx = d[:, None] * self.o * (x > 0)
@@ -172,16 +222,17 @@ class _Network:
         for i, (width, at) in enumerate(_SPANS):
             di = dx[:, i * FILTERS:(i + 1) * FILTERS].ravel()
             for k in range(width):
-                pos = where[i] + k
-                live = (di != 0) & (word[np.minimum(pos, len(word) - 1)] >= 0) & (pos < len(word))
-                pos, dl, c = pos[live], di[live][:, None], column[live]
-                part = np.zeros((FILTERS, DIM), np.float32)
-                np.add.at(part, c, v[pos] * dl)
-                g["f"][at + k] += part.T
-                rows.append(word[pos])
+                found = word[where[i].ravel() + k]
+                live = (di != 0) & (found >= 0)
+                found, dl, c = found[live], di[live][:, None], column[live]
+                part_f = np.zeros((FILTERS, DIM), np.float32)
+                np.add.at(part_f, c, self._vectors(w[found], p[found], own[found]) * dl)
+                g["f"][at + k] += part_f.T
+                rows.append(found)
                 grads.append(self.f[at + k].T[c] * dl)
         self.t += 1
         rows, grads = np.concatenate(rows), np.concatenate(grads)
+        grads[:, 0] = 0  # odds are counted, not learnt
         for k, bucket in (("e", w), ("p", p)):
             unique, index = np.unique(bucket[rows], return_inverse=True)
             total = np.zeros((len(unique), DIM), np.float32)
@@ -191,7 +242,9 @@ class _Network:
             self._adam(k, slice(None), g[k])
 
     def _adam(self, k, rows, grad):
-        grad, rate = grad / BATCH, RATE * (1 if self.epoch < EPOCHS // 2 else 0.25)
+        grad, rate = grad / BATCH, RATE * (1 if self.epoch == 0 else 0.25)
+        if k not in "bc":
+            grad = grad + DECAY * getattr(self, k)[rows]
         m, v = self.state[k]
         m[rows] = 0.9 * m[rows] + 0.1 * grad
         v[rows] = 0.99 * v[rows] + 0.01 * grad * grad
@@ -287,14 +340,17 @@ def train(rows: list[tuple], seed: int = 7) -> Model | None:
     if not positives or positives == len(fit):
         return None
     rng = np.random.default_rng(seed)
-    net = _Network(rng)
+    parts = np.array([zlib.crc32(f"part {i}".encode()) % PARTS for i in range(len(fit))])
+    rest = [[x for x, k in zip(fit, parts, strict=True) if k != j] for j in range(PARTS)]
+    net = _Network(rng, np.stack([_odds(r, 0, WORD_BUCKETS) for r in rest]), np.stack([_odds(r, 1, PREFIX_BUCKETS) for r in rest]))
     # the classes weigh the same
     share = (len(fit) / (2 * (len(fit) - positives)), len(fit) / (2 * positives))
     for net.epoch in range(EPOCHS):
-        order = rng.permutation(len(fit)).tolist()
+        order = rng.permutation(len(fit))
         for i in range(0, len(order), BATCH):
             batch = [fit[j] for j in order[i:i + BATCH]]
-            net.step(*_joined(batch), np.array([x[2] for x in batch]), np.array([share[x[2]] for x in batch]))
+            net.step(*_joined(batch), parts[order[i:i + BATCH]], np.array([x[2] for x in batch]), np.array([share[x[2]] for x in batch]))
+    net.e[:, 0], net.p[:, 0] = _odds(fit, 0, WORD_BUCKETS), _odds(fit, 1, PREFIX_BUCKETS)
     languages = sorted({x[3] for x in fit})
     return Model(net.e, net.p, net.f, net.b, net.o, float(net.c[0]), languages, _language_head(fit, languages),
                  np.zeros(len(languages)))
@@ -320,16 +376,20 @@ def _best(bins: np.ndarray, n: np.ndarray, hits: np.ndarray, low: np.ndarray, hi
     return float((least[k] + below) / 2)
 
 
-def _thresholds(languages: int, counts: np.ndarray) -> np.ndarray:
-    """Of rows (language, bin, rows, positives, least and largest logit)."""
-    out = np.zeros(languages)
+def _thresholds(languages: int, counts: np.ndarray, empty: float) -> np.ndarray:
+    """Of rows (language, bin, rows, positives, least and largest logit), and
+    the logit of a text without words. A language's own cut counts as many rows
+    as it has positives, that of all languages SHRINKAGE."""
     known, (n, hits) = counts[:, 0], counts[:, 2:4].T
-    if 0 < hits.sum() < n.sum():
-        out[:] = _best(*counts[:, 1:].T)
+    common = _best(*counts[:, 1:].T) if 0 < hits.sum() < n.sum() else empty + 1
+    common = max(common, empty + LEAST_GAP)
+    out = np.full(languages, common)
     for k in range(languages):
         mine = known == k
-        if LEAST_POSITIVES <= hits[mine].sum() < n[mine].sum():
-            out[k] = _best(*counts[mine, 1:].T)
+        positives = hits[mine].sum()
+        if LEAST_POSITIVES <= positives < n[mine].sum():
+            cut = (positives * _best(*counts[mine, 1:].T) + SHRINKAGE * common) / (positives + SHRINKAGE)
+            out[k] = max(cut, (empty + common) / 2)
     return out
 
 
@@ -357,7 +417,11 @@ def calibrated(model: Model, docs: DataFrame, labels: DataFrame) -> Model:
         .groupBy("doc_id", "language", "bin").agg(F.count("*").alias("times"), F.min("logit").alias("low"), F.max("logit").alias("high")))
     counts = (scored.join(known, "doc_id").groupBy("language", "bin")
               .agg(F.sum(F.col("rows") * F.col("times")), F.sum(F.col("hits") * F.col("times")), F.min("low"), F.max("high")).collect())
-    return model._replace(thresholds=_thresholds(len(model.languages), np.array(counts, np.float64).reshape(-1, 6)))
+    counts = np.array(counts, np.float64).reshape(-1, 6)
+    nothing = np.zeros(0, np.uint16)
+    empty = float(_logits(model, nothing, nothing, np.zeros(2, np.int64))[0][0])
+    share = counts[:, 3].sum() / max(counts[:, 2].sum(), 1)
+    return model._replace(thresholds=_thresholds(len(model.languages), counts, empty), prior=min(share, 0.49))
 
 
 def scores(model: Model | None, column: pa.Array) -> np.ndarray:
@@ -369,7 +433,8 @@ def scores(model: Model | None, column: pa.Array) -> np.ndarray:
             continue
         w, p, first = features(buf, offs)
         logits, language = _logits(model, w, p, first)
-        out.append(1 / (1 + np.exp(-np.clip(logits - model.thresholds[language], -30, 30))))
+        score = 1 / (1 + np.exp(-np.clip(logits - model.thresholds[language], -30, 30)))
+        out.append(np.where(np.diff(first) > 0, score, model.prior))
     return np.concatenate(out)
 
 
@@ -381,4 +446,5 @@ def annotate(docs: DataFrame, model: Model | None, score: str = "score", text: s
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     model = train(sample(docs, labels))
+    give_back()  # what training held
     return model and calibrated(model, docs, labels)
