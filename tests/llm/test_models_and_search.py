@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -163,6 +164,9 @@ def test_toxicity_learns_from_training_folds_alone(spark, docs_of, clashing, wor
     assert scored.columns == ["doc_id", "TEXT", "text", "score"]
     out = scored.collect()
     assert len(out) == len(odd) and all(0 <= r["score"] <= 1 for r in out)
+    # texts without words, and of words never seen, are no toxic ones
+    assert all(r["score"] < 0.5 for r in out if r["doc_id"] in (1, None, 4))
+    assert toxicity.scores(model, pa.array(["hello", "Good morning!", "7"]))[0:3].max() < 0.5
     whole = [r["score"] for r in out if r["doc_id"] == 3]
     assert whole[0] >= 0.5  # at the very end of a long text
     assert toxicity.annotate(docs_of([]), model).count() == 0
@@ -203,14 +207,21 @@ def test_toxicity_without_labels(spark, docs_of):
     assert [r["score"] for r in toxicity.annotate(docs_of([(1, "a")]), model).collect()] == [0.0]
 
 
-def test_gradient_of_the_network():
+def test_gradient_of_the_network(monkeypatch):
     """One step of the network against finite differences of its loss."""
     rng = np.random.default_rng(0)
-    net = toxicity._Network(rng)
+    odds = [rng.normal(0, 0.5, (2, k)).astype(np.float32) for k in (toxicity.WORD_BUCKETS, toxicity.PREFIX_BUCKETS)]
+    odds = [np.stack([x[0], x[0]]) for x in odds]  # both parts alike, so that one model stands for them
+    net = toxicity._Network(rng, *odds)
+    net.e[:, 1:] *= 10
+    net.p[:, 1:] *= 10
+    net.f *= 3
+    net.o *= 5
     net.b += rng.normal(0, 0.3, net.b.shape).astype(np.float32)  # away from the kink at 0
     w, p = rng.integers(0, 50, 30).astype(np.int32), rng.integers(0, 20, 30)
     first, y, weight = np.array([0, 12, 12, 30]), np.array([1, 0, 0]), np.array([1.0, 2.0, 1.0])
-    model = lambda: toxicity.Model(net.e, net.p, net.f, net.b, net.o, float(net.c[0]), [],
+    whole = lambda table, odds: np.concatenate([odds[0][:, None], table[:, 1:]], axis=1)
+    model = lambda: toxicity.Model(whole(net.e, odds[0]), whole(net.p, odds[1]), net.f, net.b, net.o, float(net.c[0]), [],
                                    np.zeros((toxicity.WORD_BUCKETS, 1)), np.zeros(1))
 
     def loss():
@@ -219,7 +230,8 @@ def test_gradient_of_the_network():
 
     seen = {}
     net._adam = lambda k, rows, grad: seen.__setitem__(k, (rows, grad))
-    net.step(w, p, first, y, weight)
+    monkeypatch.setattr(toxicity, "BLOCK_WORDS", 7)  # texts over several blocks
+    net.step(w, p, first, np.array([0, 1, 1]), y, weight)
     for k, at in (("f", (0, 1, 2)), ("f", (3, 0, 5)), ("f", (5, 2, 1)), ("o", (4,)), ("b", (7,)), ("e", (int(w[3]), 1))):
         rows, grad = seen[k]
         mine = grad[list(rows).index(at[0])][at[1]] if k == "e" else grad[at]
@@ -410,6 +422,30 @@ def test_quotes_cells_and_short_paragraphs_are_text():
     assert html.main_text(page) == f"In short.\n\n{TEXT}\n\n{TEXT}\n\nThe end."
 
 
+ROUND = f"<h1>Head line</h1><p>{LONG}</p><p>{LONG}</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<body><nav><a href=1>Home</a></nav><form id="aspnetForm">{ROUND}</form>',
+    f'<body><div class="wrapper nav-open"><nav><a href=1>Home</a></nav>{ROUND}</div>',
+    f'<body><div class="header"><h1>Site</h1></div><div class="modal"><main>{ROUND}</main></div><div class="comments"><p>{LONG}</p></div>',
+    f'<body><nav>x</nav><div class="post"><h1>Head line</h1><div class="post-content"><p>{LONG}</p><p>{LONG}</p></div></div>',
+    f'<article><h1>Head line</h1><p class="social-policy">{LONG}</p><p>{LONG}</p></article>',
+    f'<article><h1>Head line</h1><p>{LONG}</p><div class="header-image-caption"><p>{LONG}</p></div><div class="ad-slot"><p>{LONG}</p></div></article>',
+    f'<body><div class="site-header"><p>Welcome</p></div>{ROUND}<div id="comment-list-2"><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>',
+])
+def test_elements_round_an_article_keep_its_text(page):
+    assert html.main_text(page) == "\n\n".join(["Head line", TEXT, TEXT])
+
+
+@pytest.mark.parametrize("page", ["<b>" * 170_000 + "<p>x</p>" * 60_000, "<b><p>x" * 120_000, "<div>x" * 150_000, "</i>" * 250_000,
+                                  "<div class=ad><p>x" * 60_000, "<li><b>x</p>" * 80_000])
+def test_a_megabyte_of_unclosed_tags(page):
+    began = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - began < 8  # a second or two where nothing else runs
+
+
 def test_pages_end_to_end(spark):
     rows = [(i, f"u{i}", h, "x") for i, h in enumerate(PAGES)]
     rows += [(None, None, None, "x"), rows[2], (99, "deep", "<div>" * 3000 + LONG, "x"), (98, "long", f"<p>{LONG}</p>" * 5000, "x")]
@@ -426,3 +462,19 @@ def test_level_of_two_clusters():
     assert html.smoothed(np.array([3.0])) == pytest.approx([3.0])
     assert html.smoothed(np.ones(7)) == pytest.approx(np.ones(7))
     assert pa.array([html.main_text("<p>x")]).to_pylist() == ["x"]
+
+
+def test_long_lines_train_the_field_too(spark, docs_of, words):
+    """Texts whose secrets stand in long lines only."""
+    rng = random.Random(8)
+    secret = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=20))
+    rows = [(i, f"{words(900)} password: {secret()} {words(900)} token={secret()} {words(300)}") for i in range(12)]
+    assert min(len(t) for _, t in rows) > 2 * secrets.LINE_CHARS and "\n" not in rows[0][1]
+    assert secrets.fit(docs_of(rows)) is not None
+    text = rows[0][1]
+    parts = secrets.windows(text, secrets.base_spans(text))
+    assert len(parts) == 2 and all(len(p) <= secrets.LINE_CHARS and p in text and len(secrets.base_spans(p)) == 1 for p in parts)
+    assert text.split() == (text[:text.index(parts[0])] + parts[0]).split() + text[text.index(parts[0]) + len(parts[0]):].split()
+    solid = "x" * 9000 + "password=" + "a1" * 4000 + "y" * 9000
+    assert all(p in solid for p in secrets.windows(solid, secrets.base_spans(solid)))
+    assert secrets.windows("", []) == [""] and secrets.windows("short", []) == ["short"]
