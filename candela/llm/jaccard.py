@@ -10,8 +10,9 @@ each (their prefixes). The index holds the prefixes in the first order, rare
 tokens first: frequent tokens, counted over the whole corpus, come last. Pairs
 that share fewer prefix tokens are dropped, as are pairs of sizes too far
 apart and those whose first common token stands so late that too little is
-left. The other orders sort the same tokens by different hashes; a pair must
-share a prefix token in each of them too before its overlap is counted.
+left. The other orders sort the same tokens by different hashes. The prefixes
+in each of them are kept beside a document's set; candidates meet those alone,
+and only pairs that share a token in every order go on to the sets themselves.
 
 Pairs of a token's documents are not written out. First each document meets a
 few leaders of its tokens, which is as many pairs as documents; the links
@@ -31,13 +32,15 @@ empty tables give no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candela.llm.store import fitted, released, staged
+from candela.llm.store import fitted, numbered, released, staged
 from candela.llm.text import NOT_SPACE, chunks, mix, words
 
 #: orders that a candidate pair has to pass, the index's included
@@ -121,17 +124,9 @@ class Orders:
         return tokens[by[:prefix_length(len(tokens), self.percent, 1 if order else COMMON)]]
 
 
-def linked(a: np.ndarray, b: np.ndarray, orders: Orders) -> bool:
-    """Size filter, the prefixes' filters one after another, then the overlap."""
-    p = orders.percent
-    if 100 * min(len(a), len(b)) < p * max(len(a), len(b)):
-        return False
-    ra, rb = orders.ranks(a), orders.ranks(b)
-    for k in range(ORDERS):
-        if not len(np.intersect1d(orders.prefix(a, k, ra), orders.prefix(b, k, rb), assume_unique=True)):
-            return False
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= p * (len(a) + len(b) - both)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _map_sets(docs: DataFrame, size: int, schema: str, emit) -> DataFrame:
@@ -223,15 +218,27 @@ def _pairs(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, orders) -> DataFrame:
-    """The pairs (a, b) of nodes that link."""
+def _passed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of fitting sizes that share a token of their prefixes
+    in each further order."""
+    orders = [f"p{k}" for k in range(1, ORDERS)]
+    left, right = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), *[F.col(p).alias(f"{p}{x}") for p in orders])
+                   for x in "ab")
+    shared = [F.arrays_overlap(f"{p}a", f"{p}b") for p in orders]
+    met = pairs.join(right, "b").join(left, "a").where(_sizes_fit(percent, "na", "nb"))
+    return met.where(reduce(Column.__and__, shared)).select("a", "b")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes that link: the orders' filters, then the overlap."""
+    pairs = staged(_passed(pairs, sets, percent), "passed")
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
 
     def run(batches):
         for batch in batches:
             a, b, ta, tb = (c.to_pylist() for c in batch.columns)
-            ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), orders.value)
+            ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
                   for x, y in zip(ta, tb, strict=True)]
             yield pa.RecordBatch.from_pydict({
                 "a": pa.array([x for x, k in zip(a, ok, strict=True) if k], pa.int64()),
@@ -240,9 +247,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, orders) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(released(run), "a long, b long")
 
 
-def _read_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """node, tokens (sorted, 64 bit each) of the wanted (node, doc_id), from
-    the texts of those documents alone."""
+def _read_sets(docs: DataFrame, wanted: DataFrame, size: int, orders) -> DataFrame:
+    """node, n, tokens (sorted, 64 bit each) and prefixes p1, ... in the further
+    orders of the wanted (node, doc_id), from the texts of those documents alone."""
     ids = staged(wanted.select(F.col("doc_id").alias("wanted_id"), "node"), "wanted")
     # within the checked size to every task, else by a shuffle
     few = ids.count() <= BROADCAST_IDS
@@ -251,19 +258,29 @@ def _read_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     def kept(rows, sets):
         node = rows.column(2).to_pylist()
         some = [i for i, s in enumerate(sets) if node_of(s) == node[i]]  # an id may have other rows
-        return {"node": pa.array([node[i] for i in some], pa.int64()),
-                "tokens": pa.array([sets[i].tobytes() for i in some], pa.binary())}
+        out = {"node": pa.array([node[i] for i in some], pa.int64()),
+               "n": pa.array([len(sets[i]) for i in some], pa.int64()),
+               "tokens": pa.array([sets[i].tobytes() for i in some], pa.binary())}
+        ranks = [orders.value.ranks(sets[i]) for i in some]
+        for k in range(1, ORDERS):
+            parts = [orders.value.prefix(sets[i], k, r) for i, r in zip(some, ranks, strict=True)]
+            offsets = np.concatenate([[0], np.cumsum(list(map(len, parts)))]).astype(np.int32)
+            values = np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64)
+            out[f"p{k}"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        return out
 
-    return staged(_map_sets(again.select("doc_id", "text", "node"), size, "node long, tokens binary", kept), "sets")
+    schema = "node long, n long, tokens binary" + "".join(f", p{k} array<long>" for k in range(1, ORDERS))
+    return staged(_map_sets(again.select("doc_id", "text", "node"), size, schema, kept), "sets")
 
 
 def _sizes_fit(percent: int, nx: str, ny: str) -> Column:
     return F.expr(f"100 * least({nx}, {ny}) >= {percent} * greatest({nx}, {ny})")
 
 
-def _places_fit(nx: str, capx: str, ny: str, capy: str) -> Column:
-    """With a first common token at these places, enough follows for a link."""
-    return F.expr(f"{nx} + {ny} <= least({capx}, {capy})")
+def _places_fit(nx: str, capx: str, ny: str, capy: str, spare: int = 0) -> Column:
+    """With a first common token at these places, enough follows for a link;
+    ``spare`` allows for tokens before it."""
+    return F.expr(f"{nx} + {ny} <= least({capx}, {capy}) + {spare}")
 
 
 def _best_leaders(rows: DataFrame) -> DataFrame:
@@ -275,22 +292,16 @@ def _best_leaders(rows: DataFrame) -> DataFrame:
             .select(*_pairs(F.col("node"), F.col("lead"))).distinct())
 
 
-def _shared_enough(pairs: DataFrame, posted: DataFrame) -> DataFrame:
-    """The pairs (a, b) that share COMMON tokens of their prefixes."""
-    left = posted.select(F.col("node").alias("a"), "token")
-    right = posted.select(F.col("node").alias("b"), "token")
-    return (pairs.join(left, "a").join(right, ["b", "token"]).groupBy("a", "b").agg(F.count("*").alias("k"))
-            .where(F.col("k") >= COMMON).select("a", "b"))
-
-
 def _blockwise(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes inside clusters (node, n, root, cluster):
     clusters are cut into blocks of documents of like sizes, and blocks whose
     sizes allow links are compared two at a time, by products of their token
     incidences. A pair of blocks returns no more links than connect its classes."""
-    by_size = Window.partitionBy("cluster").orderBy("n", "node")
-    placed = nodes.withColumn("nth", F.row_number().over(by_size)).withColumn("block", F.expr(f"(nth - 1) div {BLOCK_NODES}"))
-    blocks = staged(placed.join(sets, "node").groupBy("cluster", "block").agg(
+    # places in the order of all clusters: a large one spans tasks
+    placed = numbered(nodes, [F.col("cluster"), F.col("n"), F.col("node")], "nth", 0, "clusters-placed")
+    begin = placed.groupBy("cluster").agg(F.min("nth").alias("begin"))
+    placed = placed.join(begin, "cluster").withColumn("block", F.expr(f"(nth - begin) div {BLOCK_NODES}"))
+    blocks = staged(placed.join(sets.select("node", "tokens"), "node").groupBy("cluster", "block").agg(
         F.min("n").alias("least"), F.max("n").alias("most"),
         F.collect_set(F.struct("node", "root", "tokens")).alias("docs")), "blocks")
     meta = blocks.select("cluster", "block", "least", "most")
@@ -350,7 +361,8 @@ def link_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
                 "node": np.repeat(np.array(list(map(node_of, some)), np.int64), lens),
                 "bounds": n + ((n - place) * (100 + percent) // percent << 32)}
 
-    every = _map_sets(docs, size, "token long, node long, bounds long", prefixes).repartition("token")
+    every = _map_sets(docs, size, "token long, node long, bounds long", prefixes)
+    every = staged(every, "prefixes")
     leads = every.groupBy("token").agg(
         F.min("node").alias("lead"), F.min_by("bounds", "node").alias("led"), F.max("node").alias("hi")).where("lead < hi")
     posted = staged(every.join(leads.select("token", "lead", "led"), "token").select(
@@ -360,8 +372,8 @@ def link_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
     nodes = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     tried = staged(_best_leaders(posted.where("node <> lead").where(_sizes_fit(percent, "n", "nl"))), "pairs")
     read = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
-    sets = _read_sets(docs, read.join(nodes, "node"), size)
-    links = staged(_verified(tried, sets, orders), "links")
+    sets = _read_sets(docs, read.join(nodes, "node"), size, orders)
+    links = staged(_verified(tried, sets, percent), "links")
     roots = components(links)
 
     # tokens whose documents are of several classes; few of them have many such documents
@@ -376,10 +388,16 @@ def link_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
     light = open_.where(~F.col("heavy"))
     minor = (light.where("root <> largest").select(
         "token", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("cap").alias("capx")))
-    cross = minor.join(light, "token").where("rx <> root AND (root = largest OR x < node)").where(
-        _sizes_fit(percent, "nx", "n") & _places_fit("nx", "capx", "n", "cap")).select(
-        *_pairs(F.col("x"), F.col("node"))).distinct().join(tried, ["a", "b"], "left_anti")
-    cross = staged(_shared_enough(cross, posted), "pairs")
+    # the common tokens of a pair are counted as the pair is made. The first one
+    # of a pair that links leaves enough behind it, the next ones a token less
+    # each. One that shares a heavy token as well is in a cluster below
+    spare = (COMMON - 1) * (100 + percent) // percent + 2
+    cross = (minor.join(light, "token").where("rx <> root AND (root = largest OR x < node)")
+             .where(_sizes_fit(percent, "nx", "n") & _places_fit("nx", "capx", "n", "cap", spare))
+             .select(*_pairs(F.col("x"), F.col("node")), _places_fit("nx", "capx", "n", "cap").alias("fits"))
+             .groupBy("a", "b").agg(F.count("*").alias("k"), F.bool_or("fits").alias("fits")).where((F.col("k") >= COMMON) & F.col("fits"))
+             .select("a", "b").join(tried, ["a", "b"], "left_anti"))
+    cross = staged(cross, "pairs")
 
     # heavy tokens: what they connect is compared block by block
     heavy = open_.where("heavy")
@@ -390,8 +408,8 @@ def link_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
                      .withColumn("cluster", F.coalesce("cluster", "node")), "clusters")
     more = (cross.select(F.col("a").alias("node")).union(cross.select("b")).union(grouped.select("node")).distinct()
             .join(read, "node", "left_anti"))
-    sets = sets.union(_read_sets(docs, more.join(nodes, "node"), size))
-    links = links.union(staged(_verified(cross, sets, orders), "links")).union(
+    sets = sets.union(_read_sets(docs, more.join(nodes, "node"), size, orders))
+    links = links.union(staged(_verified(cross, sets, percent), "links")).union(
         staged(_blockwise(grouped, sets, percent), "links"))
     roots = components(links)
 
