@@ -21,12 +21,14 @@ else, in whatever document, is removed.
 4. Marks come back to every occurrence, and each document to its spans.
 
 A group with more than HOT_SEGMENTS distinct segments is split before it meets
-in a task: its starts into parts of SPLIT_STARTS by their distance from the
+in a task: its starts into parts of WIDTHS[0] by their distance from the
 anchor, grouped by a hash of the bytes that all strings of the part share,
 which equal strings have in common as well. Parts that occur twice or more are
 repeats as a whole, and one of each stands for all in the index. A group that
-still has more than HOT_SEGMENTS distinct parts is split into single starts:
-strings of ``length``, which counts by their hashes settle without an index.
+still has more than HOT_SEGMENTS distinct parts (those at the ends of a shared
+passage, where every document goes on differently) is split again, by the next
+of WIDTHS, down to single starts: strings of ``length``, which counts by their
+hashes settle without an index.
 
 Defined cases: a null or empty text has no bytes; a document is a row: repeated
 rows, and rows that share a doc_id, repeat one another; a null doc_id stays
@@ -47,15 +49,16 @@ from candela.llm.store import fitted, released, staged
 from candela.llm.text import _VALUE, _pow, chunks, mix
 
 PIECE = 32
-HOT_SEGMENTS = 4096
-SPLIT_STARTS = 32
+HOT_SEGMENTS = 512
+WIDTHS = (32, 8, 1)
 #: text of one index
 SHARD_BYTES = 1 << 20
 #: rows and bytes that may go to every task instead of a shuffle of the texts
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 48_000_000
 
 _POSITION_BITS = 28
-_PART = ("f", "s", "at", "k1", "k2", "q", "lo", "hi", "g", "c1", "c2")
+_PART = {"f": "long", "s": "long", "at": "int", "k1": "long", "k2": "long", "q": "int", "lo": "int", "hi": "int",
+         "g": "long", "c1": "long", "c2": "long"}
 
 
 def _sums(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,11 +253,11 @@ def _segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
 
 def _split(docs: DataFrame, wanted: DataFrame, length: int, width: int) -> DataFrame:
-    """The wanted segments or parts (f, s, k1, k2, q, lo, hi) cut into parts of
-    ``width`` starts by their distance from the anchor: f, s, at (the part's
+    """The wanted segments or parts (group, f, s, k1, k2, q, lo, hi) cut into parts
+    of ``width`` starts by their distance from the anchor: f, s, at (the part's
     first start in what it is cut from), the part's place k1, k2, q, lo, hi, the
-    group g that equal strings have in common, and c1, c2, which name the
-    part's bytes."""
+    group g that equal strings of a ``group`` have in common, and c1, c2, which
+    name the part's bytes."""
     def run(batches):
         for batch in batches:
             out: dict[str, list] = {c: [] for c in _PART}
@@ -267,20 +270,20 @@ def _split(docs: DataFrame, wanted: DataFrame, length: int, width: int) -> DataF
                     d1, d2 = r["q"] - d * width, r["q"] - (d + 1) * width + 1
                     lo, hi = np.maximum(r["lo"], d2), np.minimum(r["hi"], d1)
                     core = _hash(sums, inverse, d1, d2 + length)
-                    out["g"] += (mix(core + d.astype(np.uint64)).view(np.int64) ^ r["f"]).tolist()
+                    out["g"] += (mix(core + d.astype(np.uint64)).view(np.int64) ^ r["group"]).tolist()
                     out["c1"] += _hash(sums, inverse, lo, hi + length).view(np.int64).tolist()
                     for a, b in zip(lo.tolist(), hi.tolist(), strict=True):
                         name = hashlib.blake2b(raw[a:b + length], digest_size=8).digest()
                         for c, v in (("c2", int.from_bytes(name, "little", signed=True)), ("f", r["f"]), ("s", r["s"]),
                                      ("at", a - r["lo"]), ("k1", k1), ("k2", k2), ("q", r["q"]), ("lo", a), ("hi", b)):
                             out[c].append(v)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64()) for c in _PART]))
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int32() if k == "int" else pa.int64()) for c, k in _PART.items()]))
 
     met = _onto_texts(docs, wanted.groupBy("k1", "k2").agg(
-        F.collect_set(F.struct("f", "s", "q", "lo", "hi")).alias("ranges")), "inner")
+        F.collect_set(F.struct("group", "f", "s", "q", "lo", "hi")).alias("ranges")), "inner")
     # equal rows give equal parts
     return met.dropDuplicates(["k1", "k2"]).select("text", "k1", "k2", "ranges").mapInArrow(
-        released(run), ", ".join(f"{c} long" for c in _PART))
+        released(run), ", ".join(f"{c} {k}" for c, k in _PART.items()))
 
 
 def _owned(parts: DataFrame, marks: DataFrame) -> DataFrame:
@@ -291,23 +294,22 @@ def _owned(parts: DataFrame, marks: DataFrame) -> DataFrame:
         "f", "s", (F.col("at") + F.col("first")).alias("first"), (F.col("at") + F.col("last")).alias("last"))
 
 
-def _hot_marks(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """What ``_marks`` gives, for the segments (f, s, k1, k2, q, lo, hi) of hot
-    groups: no task meets more than HOT_SEGMENTS parts of a group."""
-    parts = staged(_split(docs, wanted, length, SPLIT_STARTS), "parts")
+def _hot_marks(docs: DataFrame, wanted: DataFrame, length: int, widths: tuple[int, ...] | None = None) -> DataFrame:
+    """What ``_marks`` gives, for the segments or parts (group, f, s, k1, k2, q,
+    lo, hi) of hot groups: no task meets more than HOT_SEGMENTS parts of a group."""
+    width, *narrower = widths or WIDTHS
+    parts = staged(_split(docs, wanted, length, width), "parts")
     kinds = staged(parts.groupBy("g", "c1", "c2").agg(F.count("*").alias("m"), F.min(F.struct("k1", "k2", "q", "lo", "hi")).alias("r"))
                    .select("g", F.col("c1").alias("f"), F.col("c2").alias("s"), "m", "r.*"), "kinds")
-    sizes = kinds.groupBy("g").agg(F.count("*").alias("k"))
-    # of more than HOT_SEGMENTS rows each, so few
-    hot = staged(sizes.where(F.col("k") > HOT_SEGMENTS).select("g"), "hot")
-    whole = kinds.where("m > 1").select("f", "s", F.lit(0).cast("long").alias("first"), (F.col("hi") - F.col("lo")).alias("last"))
-    calm = kinds.join(F.broadcast(hot), "g", "left_anti").join(sizes.where(F.col("k").between(2, HOT_SEGMENTS)).select("g"), "g")
-    found = whole.union(_marks(_segments(docs, calm, length), length))
-    if not hot.isEmpty():
-        starts = staged(_split(docs, kinds.join(F.broadcast(hot), "g", "left_semi"), length, 1), "starts")
-        again = starts.groupBy("c1", "c2").agg(F.count("*").alias("m")).where("m > 1")
-        found = found.union(_owned(starts, again.select(
-            F.col("c1").alias("f"), F.col("c2").alias("s"), F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("last"))))
+    found = kinds.where("m > 1").select("f", "s", F.lit(0).cast("long").alias("first"), (F.col("hi") - F.col("lo")).cast("long").alias("last"))
+    if narrower:  # single starts are settled by their counts
+        sizes = kinds.groupBy("g").agg(F.count("*").alias("k"))
+        # of more than HOT_SEGMENTS rows each, so few
+        hot = staged(sizes.where(F.col("k") > HOT_SEGMENTS).select("g"), "hot")
+        calm = kinds.join(F.broadcast(hot), "g", "left_anti").join(sizes.where(F.col("k").between(2, HOT_SEGMENTS)).select("g"), "g")
+        found = found.union(_marks(_segments(docs, calm, length), length))
+        if not hot.isEmpty():
+            found = found.union(_hot_marks(docs, kinds.join(F.broadcast(hot), "g", "left_semi").withColumnRenamed("g", "group"), length, tuple(narrower)))
     return _owned(parts, staged(found, "found"))
 
 
@@ -344,7 +346,8 @@ def _marks(segments: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     """k1, k2, ranges (first byte, byte after the last): what is removed of
     the documents (doc_id, text) that hold repeats, by the rows' hashes."""
-    dealt = _ranges(docs, length).repartition("f")
+    # written once; counts by anchor combine in the tasks, and the join back may split a hot anchor
+    dealt = staged(_ranges(docs, length), "all-ranges")
     twice = dealt.groupBy("f").agg(F.sum("times").alias("k"), F.min("s").alias("a"), F.max("s").alias("b")).where("k > 1")
     shared = staged(dealt.join(twice.select("f", (F.col("a") != F.col("b")).alias("mixed")), "f"), "ranges")
     kinds = shared.groupBy("f", "s").agg(F.sum("times").alias("m"), F.max("mixed").alias("mixed"))
@@ -359,7 +362,7 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     calm = one.join(F.broadcast(hot), "f", "left_anti")
     marks = _marks(_segments(docs, calm, length), length)
     if not hot.isEmpty():
-        marks = marks.union(_hot_marks(docs, one.join(F.broadcast(hot), "f", "left_semi"), length))
+        marks = marks.union(_hot_marks(docs, one.join(F.broadcast(hot), "f", "left_semi").withColumnRenamed("g", "group"), length))
     marks = staged(marks, "marks")
     part = shared.join(marks, ["f", "s"]).select(
         "k1", "k2", (F.col("lo") + F.col("first")).alias("a"), (F.col("lo") + F.col("last") + length).alias("b"))
