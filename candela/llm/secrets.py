@@ -6,8 +6,8 @@ are, and the marks it holds; the chain's features are the token's own class,
 its neighbours' classes, and a class of the whole text (its share of digits
 and of assignment marks). Tags are B (a secret begins), I (inside) and O.
 Weights are trained in numpy by exact gradients (forward-backward) on a
-bounded sample of lines, tagged by the base patterns below; decoding is
-Viterbi over the whole text.
+bounded sample of lines (of long lines, stretches around their secrets), tagged
+by the base patterns below; decoding is Viterbi over the whole text.
 
 Viterbi runs between certain tokens only: where O beats B and I by more than
 any change of transitions can make good, every best path has O, whatever the
@@ -50,6 +50,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, as the pattern is greedy
 
 #: bound of the training sample, in lines of each sort
 TRAIN_LINES = 3000
+#: a longer line is trained on in stretches around its secrets
+LINE_CHARS = 4096
 EPOCHS = 15
 RATE = 0.5
 DECAY = 1e-4
@@ -347,9 +349,31 @@ def _gradient(p, group) -> dict[str, np.ndarray]:
     return g
 
 
+def windows(line: str, spans: list[Span]) -> list[str]:
+    """A line for training; of one longer than LINE_CHARS, a stretch around
+    each of its spans (of one without, around its middle), cut between tokens
+    where there is white space near its ends."""
+    if len(line) <= LINE_CHARS:
+        return [line]
+    out, done = [], 0
+    for start, end in sorted((s, e) for _, s, e in spans) or [(len(line) // 2, len(line) // 2)]:
+        if start < done:
+            continue  # stands in the stretch before
+        a, b = max(0, start - LINE_CHARS // 4), min(len(line), end + LINE_CHARS // 4)
+        gap = re.compile(r"\s")
+        if a and (m := gap.search(line, a, start)):
+            a = m.end()
+        if b < len(line):
+            cuts = [m.start() for m in gap.finditer(line, end, b)]
+            b = cuts[-1] if cuts else b
+        out.append(line[a:b])
+        done = b
+    return [x for x in out if x]
+
+
 def fit(docs: DataFrame) -> Field | None:
     """A field from at most TRAIN_LINES lines with a base span and as many
-    without, those with the smallest hash."""
+    without, those with the smallest hash; long lines come in stretches."""
     lines = fitted(docs, text="string")
 
     def cut(batches):
@@ -362,8 +386,8 @@ def fit(docs: DataFrame) -> Field | None:
                 some = bool(base_spans(t))
                 parts = t.split("\n")
                 # of a text without secrets, one line; its choice follows the text
-                for x in parts if some else [parts[len(t) % len(parts)]]:
-                    if 0 < len(x) <= 4096:
+                for line in parts if some else [parts[len(t) % len(parts)]]:
+                    for x in windows(line, base_spans(line) if some and len(line) > LINE_CHARS else []) if line else ():
                         text.append(x)
                         kind.append(k)
                         has.append(some and bool(base_spans(x)))
