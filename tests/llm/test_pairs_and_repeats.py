@@ -142,6 +142,32 @@ def test_no_index_meets_more_than_a_hot_group(docs_of, words, hot, monkeypatch):
     assert met and max(met) <= hot
 
 
+def test_only_segments_with_a_core_in_common_are_indexed(docs_of, words, monkeypatch):
+    """A phrase shorter than what counts as a repeat gives many documents an anchor in common."""
+    sizes, marks = [], repeats._marks
+
+    def counted(segments, length):
+        sizes.append(segments.count())
+        return marks(segments, length)
+
+    monkeypatch.setattr(repeats, "_marks", counted)
+    phrase, twin = words(40, 5000), words(90, 5000)
+    rows = [(k, f"{words(90, 5000)} {phrase} {words(90, 5000)}") for k in range(40)]
+    assert _removed(docs_of(rows), 400) == _brute(rows, 400)
+    assert sum(sizes) == 0
+    rows += [(40, twin), (41, twin[:420] + "!" + twin[421:])]
+    assert _removed(docs_of(rows), 400) == _brute(rows, 400)
+    assert sum(sizes) >= 2
+
+
+def test_texts_are_dealt_once(docs_of, words):
+    """Lists of ranges come to bucketed texts, without another exchange of the texts."""
+    twin = words(90)
+    plan = repeats.remove_repeats(docs_of([(1, twin), (2, twin), (3, words(9))]), 400)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "BroadcastExchange" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # of the lists
+
+
 def test_repeats_edges(docs_of, clashing, words):
     rows = [(1, None), (2, ""), (3, "short"), (4, words(80)), (4, None), (None, "y" * 500)]
     rows += [rows[3]]
