@@ -75,6 +75,31 @@ def test_ids_of_texts_that_hold_added_tokens(file):
         assert got == expected
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_words_are_merged_in_one_go(file):
+    """Letters that compose, fold or change in number next to each other."""
+    enc = tokens.Encoder(public_tokenizers.path(file))
+    words = [" The", "the", "THE", "e", "\u0301x", " \u1100", "\u1161", "\u0130", " \u03a3\u0391\u03a3", "Stra\u00dfe",
+             "\u01c5", "\ufb01x", "\u1e9e", "\u0e01", "a1", " ", "don't", "\U00010400", "\u4e2d\u6587", " z"]
+    got = enc._merged(words)
+    assert sum(x is not None for x in got) >= 8 and got[words.index("a1")] is None
+    for word, ids in zip(words, got, strict=True):
+        assert ids is None or np.frombuffer(ids, "<u4").tolist() == enc.tokenizer.encode(word, add_special_tokens=False).ids
+    assert enc._merged([]) == [] and enc._merged(["1", "-"]) == [None, None]
+
+
+@pytest.mark.parametrize("most", [3, 40, 10_000])
+def test_kept_pieces_give_the_same_ids_again(most, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", most)
+    enc = tokens.Encoder(public_tokenizers.path(FILES[0]))
+    texts = [" ".join(f"word{i % 7} {'abcdefgh'[i % 8] * (i % 5 + 1)} caf\u00e9 {i * k}" for i in range(30)) for k in (1, 2, 1, 3, 2, 1)]
+    for t in texts:
+        (_, _, buf, offs), = text.chunks(pa.array([t]))
+        assert enc.encode(buf, offs)[0].tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids
+        for kept in (enc.young, enc.old):
+            assert len(kept.begin) == len(kept.sizes) == len(set(kept.hashes.tolist())) and kept.sizes.sum() == len(kept.ids)
+
+
 def test_kept_pieces_are_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PIECES", 10)
     enc = tokens.Encoder(public_tokenizers.path(FILES[0]))
