@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candela.llm.store import fitted, numbered, released, staged
+from candela.llm.store import fitted, numbered, released, sliced, staged
 from candela.llm.text import NOT_SPACE, chunks, mix, words
 
 #: orders that a candidate pair has to pass, the index's included
@@ -55,6 +55,8 @@ HEAVY = 2000
 BLOCK_NODES = 128
 #: tokens that stand last in every order; an order may be any, so the bound costs no pair
 FREQUENT = 300_000
+#: bits of a token that tell ranges of equally frequent tokens apart
+TIE_BITS = 12
 #: a task reports tokens that so many of its documents share
 LOCAL_COUNT = 2
 #: ids of documents whose sets are read again go to the tasks up to this many, else by a join
@@ -136,7 +138,7 @@ def _map_sets(docs: DataFrame, size: int, schema: str, emit) -> DataFrame:
         for batch in batches:
             for lo, hi, buf, offs in chunks(batch.column(1)):
                 out = emit(batch.slice(lo, hi - lo), sets_of(buf, offs, size))
-                yield pa.RecordBatch.from_pydict(out)
+                yield from sliced(pa.RecordBatch.from_pydict(out))
 
     return docs.mapInArrow(released(run), schema)
 
@@ -155,9 +157,13 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
                 names=["doc_id", "node", "n", "token", "k"])
 
         def counted():
-            tokens, counts = np.unique(np.concatenate(kept), return_counts=True)
+            tokens = np.concatenate(kept)
+            kept.clear()
+            tokens.sort()
+            first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+            counts = np.diff(np.append(first, len(tokens)))
             some = counts >= LOCAL_COUNT
-            return rows(token=pa.array(tokens[some].view(np.int64)), k=pa.array(counts[some]))
+            return sliced(rows(token=pa.array(tokens[first[some]].view(np.int64)), k=pa.array(counts[some])))
 
         for batch in batches:
             for lo, hi, buf, offs in chunks(batch.column(1)):
@@ -167,20 +173,40 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
                 kept += sets
                 held += sum(map(len, sets))
                 if held > COUNTED_TOKENS:
-                    yield counted()
-                    kept, held = [], 0
+                    yield from counted()
+                    held = 0
         if held:
-            yield counted()
+            yield from counted()
 
     return staged(docs.mapInArrow(released(run), "doc_id long, node long, n long, token long, k long"), "survey")
 
 
 def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The FREQUENT tokens with the highest counts. Which tokens these are
-    decides how fast the join is, not what it finds."""
-    rows = (survey.where("token IS NOT NULL").groupBy("token").agg(F.sum("k").alias("k"))
-            .orderBy(F.desc("k"), "token").limit(FREQUENT)).toPandas()
-    return rows["token"].to_numpy(np.int64).view(np.uint64), rows["k"].to_numpy(np.int64)
+    """At most FREQUENT tokens, those with the highest counts; of the last count
+    the smallest tokens, by whole ranges. Which tokens these are decides how fast
+    the join is, not what it finds. The driver gets these tokens alone: to order
+    and limit them there would take as many from every task."""
+    counted = staged(survey.where("token IS NOT NULL").groupBy("token").agg(F.sum("k").alias("k")), "counts")
+    # a row a count that occurs
+    k, n = _columns(counted.groupBy("k").agg(F.count("*").alias("n")))
+    by = np.argsort(-k)
+    above = np.searchsorted(np.cumsum(n[by]), FREQUENT, side="right")  # counts whose tokens all fit
+    wanted = counted
+    if above < len(k):
+        last, room = int(k[by[above]]), FREQUENT - int(n[by[:above]].sum())
+        span = F.shiftright("token", 64 - TIE_BITS)
+        range_, n = _columns(counted.where(F.col("k") == last).groupBy(span.alias("range")).agg(F.count("*").alias("n")))
+        ranges = np.argsort(range_)
+        # among the ranges of one count some stand beyond the room
+        bound = int(range_[ranges[np.searchsorted(np.cumsum(n[ranges]), room, side="right")]])
+        wanted = counted.where((F.col("k") > last) | (F.col("k") == last) & (span < bound))
+    tokens, counts = _columns(wanted.select("token", "k"))
+    return tokens.view(np.uint64), counts
+
+
+def _columns(df: DataFrame) -> list[np.ndarray]:
+    """The columns of long numbers of a bounded ``df``."""
+    return [c.to_numpy().astype(np.int64) for c in df.toArrow().columns]
 
 
 def _noted(edges: DataFrame) -> tuple[DataFrame, tuple]:

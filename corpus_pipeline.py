@@ -19,6 +19,8 @@ from candela.llm import decontam, jaccard, packing, secrets, toxicity
 from candela.llm.queries import table, vocabulary
 from candela.llm.store import bounded_batches, extended, flat, position, staged
 
+#: rows of an Arrow batch: workers and JVMs of all stages live on beside one another
+STAGE_ROWS = 250
 #: row numbers that go to every task up to this many, else by a shuffle
 BROADCAST_ROWS = 2_000_000
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
@@ -103,7 +105,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _stage(function):
-    return lambda spark, docs, sf_dir: function(bounded_batches(spark), docs, sf_dir)
+    return lambda spark, docs, sf_dir: function(bounded_batches(spark, STAGE_ROWS), docs, sf_dir)
 
 
 STAGES = [

@@ -4,9 +4,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from candela.llm import jaccard, repeats
+from candela.llm import jaccard, repeats, store
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -78,6 +79,46 @@ def test_jaccard_against_all_pairs(docs_of, words, seed, monkeypatch):
         assert _got(docs_of(rows, 5), size, percent) == expected
 
 
+def test_the_driver_gets_the_frequent_tokens_alone(spark, monkeypatch):
+    rng = random.Random(4)
+    counts = {rng.randrange(-2**63, 2**63): rng.choice([1, 2, 2, 2, 3, 9]) for _ in range(3000)}
+    survey = spark.createDataFrame(
+        [(None, None, None, t, 1) for t, k in counts.items() for _ in range(k)] + [(1, 2, 3, None, None)],
+        "doc_id long, node long, n long, token long, k long").repartition(5)
+    kind, plans = type(survey), []
+    for name in ("toArrow", "toPandas", "collect"):
+        monkeypatch.setattr(kind, name, lambda self, f=getattr(kind, name): (
+            plans.append(self._jdf.queryExecution().executedPlan().toString()), f(self))[1])
+    more = [t for t, k in counts.items() if k > 2]
+    ties = sorted(t for t, k in counts.items() if k == 2)
+    for most in (0, len(more), len(more) + 700, len(more) + len(ties), len(counts)):
+        monkeypatch.setattr(jaccard, "FREQUENT", most)
+        tokens, k = jaccard._frequent(survey)
+        got = dict(zip(tokens.view(np.int64).tolist(), k.tolist(), strict=True))
+        assert len(got) == len(tokens) <= most and all(counts[t] == x for t, x in got.items())
+        assert len(got) > most - 10 and (set(more) <= set(got) or not most)
+        if most == len(more) + 700:  # the smallest of equally frequent ones
+            assert set(got) - set(more) == set(ties[:len(got) - len(more)])
+    assert plans and not any("TakeOrdered" in p for p in plans)
+    tokens, k = jaccard._frequent(survey.limit(0))
+    assert len(tokens) == len(k) == 0
+
+
+def test_tasks_give_small_batches(docs_of, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(60_000))
+    given = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2, 3]), "text": pa.array([text, text, None])})
+    docs = docs_of([(1, "")])
+    runs = []
+    monkeypatch.setattr(jaccard, "released", lambda run: runs.append(run) or run)
+    monkeypatch.setattr(jaccard, "staged", lambda df, name: df)
+    jaccard._survey(docs, 4)
+    jaccard._map_sets(docs, 4, "token long", lambda rows, sets: {"token": np.concatenate(sets).view(np.int64)})
+    for run, tokens in zip(runs, (59_997, 2 * 59_997), strict=True):
+        batches = list(run([given]))
+        assert max(b.num_rows for b in batches) <= store.GIVEN_ROWS
+        assert sum(b.num_rows - b.column("token").null_count for b in batches) == tokens
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200), (300, 200), (100, 100)], "a long, b long")
     got = {r["node"]: r["root"] for r in jaccard.components(links).collect()}
