@@ -1,7 +1,7 @@
 """Benchmark decontamination by a positional inverted index (operator 5).
 
-``build_index`` stores, for every segment of the corpus (about a megabyte of
-whole documents), the sorted positions of each word: postings partitioned by
+``build_index`` stores, for every segment of the corpus (about half a megabyte
+of whole documents), the sorted positions of each word: postings partitioned by
 document, as in a sharded search engine, so building needs no shuffle and a
 word of any frequency is split over all segments. Documents are set apart by a
 gap in the positions, so that no match crosses them.
@@ -33,6 +33,7 @@ from candela.llm.store import fitted, released, staged
 from candela.llm.text import ALNUM, chunks, words
 
 BLOCK_CHARS = 2_000_000
+SEGMENT_BYTES = 1 << 19
 GAP = 64
 
 _INDEX = "segment long, doc_ids array<long>, first binary, terms binary, counts binary, positions binary"
@@ -60,7 +61,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None) -> DataFr
 
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for lo, hi, buf, offs in chunks(batch.column(1)):
+            for lo, hi, buf, offs in chunks(batch.column(1), SEGMENT_BYTES):
                 w = words(buf, offs, ALNUM)
                 n = np.diff(w.first)
                 at = np.arange(len(w.hashes)) + GAP * np.repeat(np.arange(hi - lo), n)

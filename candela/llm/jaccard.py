@@ -61,6 +61,8 @@ TIE_BITS = 12
 LOCAL_COUNT = 2
 #: ids of documents whose sets are read again go to the tasks up to this many, else by a join
 BROADCAST_IDS = 2_000_000
+#: bytes of texts whose sets are made at a time: the arrays for it are some forty times that
+SET_BYTES = 1 << 18
 #: tokens that a task counts at a time
 COUNTED_TOKENS = 1_000_000
 
@@ -136,7 +138,7 @@ def _map_sets(docs: DataFrame, size: int, schema: str, emit) -> DataFrame:
     rows from ``lo``, their sets, and returns columns."""
     def run(batches):
         for batch in batches:
-            for lo, hi, buf, offs in chunks(batch.column(1)):
+            for lo, hi, buf, offs in chunks(batch.column(1), SET_BYTES):
                 out = emit(batch.slice(lo, hi - lo), sets_of(buf, offs, size))
                 yield from sliced(pa.RecordBatch.from_pydict(out))
 
@@ -166,7 +168,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
             return sliced(rows(token=pa.array(tokens[first[some]].view(np.int64)), k=pa.array(counts[some])))
 
         for batch in batches:
-            for lo, hi, buf, offs in chunks(batch.column(1)):
+            for lo, hi, buf, offs in chunks(batch.column(1), SET_BYTES):
                 sets = sets_of(buf, offs, size)
                 yield rows(doc_id=batch.column(0).slice(lo, hi - lo), node=pa.array(list(map(node_of, sets)), pa.int64()),
                            n=pa.array(list(map(len, sets)), pa.int64()))

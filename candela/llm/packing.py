@@ -33,6 +33,9 @@ from candela.llm import tokens
 from candela.llm.store import fitted, released, staged
 from candela.llm.text import chunks
 
+#: bytes of texts encoded at a time: a task's arrays are some forty times that
+ENCODED_BYTES = 1 << 18
+
 Pattern = tuple[tuple[int, int], ...]  # (length, times), longest first
 
 
@@ -102,7 +105,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, keep_ids:
         seen = np.zeros(length + 1, np.int64)
         for batch in batches:
             doc_ids = batch.column(0)
-            for lo, hi, buf, offs in chunks(batch.column(1), tokens.CHUNK_BYTES):
+            for lo, hi, buf, offs in chunks(batch.column(1), ENCODED_BYTES):
                 ids, first = enc.encode(buf, offs)
                 ids = np.insert(ids, first[1:], end_id).astype("<u4")
                 first = first + np.arange(len(first))
