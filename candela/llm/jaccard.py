@@ -162,8 +162,11 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
             tokens = np.concatenate(kept)
             kept.clear()
             tokens.sort()
-            first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
-            counts = np.diff(np.append(first, len(tokens)))
+            # bits alone for the many tokens that occur once
+            again = np.zeros(len(tokens) + 1, bool)
+            np.equal(tokens[1:], tokens[:-1], out=again[1:-1])
+            first = np.flatnonzero(again[1:] & ~again[:-1])
+            counts = np.flatnonzero(again[:-1] & ~again[1:]) - first + 1
             some = counts >= LOCAL_COUNT
             return sliced(rows(token=pa.array(tokens[first[some]].view(np.int64)), k=pa.array(counts[some])))
 

@@ -5,10 +5,13 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from candela.llm import decontam, jaccard, packing, text, tokens
 from candela.llm.queries import vocabulary
+from candela.llm.store import staged
 
 FILE = "byte_bpe_50k.json"
 
@@ -57,3 +60,26 @@ def test_sets_are_made_a_little_at_a_time(docs_of, batch, monkeypatch):
 def test_segments_are_of_bounded_size(docs_of, batch, monkeypatch):
     run = _run(decontam, monkeypatch, lambda: decontam.build_index(docs_of([(1, "")]), np.zeros(1, np.uint64)))
     assert _peak(run, batch) < 32
+
+
+def test_rows_counted_in_a_task_are_those_that_repeat(docs_of, batch, monkeypatch):
+    run = _run(jaccard, monkeypatch, lambda: jaccard._survey(docs_of([(1, "")]), 4))
+    texts = ["a b c d", "a b c d e", "a b c d e", "x y z w", None, "b c d e"]
+    given = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(6)), "text": pa.array(texts)})
+    got = [r for b in run([given]) for r in b.to_pylist() if r["token"] is not None]
+    assert len({r["token"] for r in got}) == 2 and [r["k"] for r in got] == [3, 3]
+    assert _peak(run, batch) < 24
+
+
+def test_large_rows_stand_in_small_pages(spark):
+    rows = staged(spark.range(0, 60, 1, 1).select("id", F.expr("repeat(uuid(), 10000)").alias("big")), "large")
+    assert rows.where("length(big) = 360000").count() == 60
+    path = rows.inputFiles()[0].removeprefix("file://")
+    chunk = pq.ParquetFile(path).metadata.row_group(0).column(1)
+    with open(path, "rb") as f:
+        f.seek(chunk.data_page_offset)
+        head = f.read(32)
+    # the page header's second field: its size, a zigzag varint
+    assert head[0] == 0x15 and head[2] == 0x15
+    size = sum((b & 127) << 7 * i for i, b in enumerate(head[3:8]) if all(x & 128 for x in head[3:3 + i])) >> 1
+    assert 360_000 < size < 4_000_000 < chunk.total_uncompressed_size
