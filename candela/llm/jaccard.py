@@ -18,10 +18,17 @@ Pairs of a token's documents are not written out. First each document meets a
 few leaders of its tokens, which is as many pairs as documents; the links
 found give classes. What the leaders leave open are pairs across classes: for
 most tokens they are few, and only documents outside a token's largest class
-meet the others there. What the tokens with many of them connect is compared
-in blocks of documents of like sizes, and a pair of blocks answers with as
-many links as connect its classes. Pairs within a class need no check, as
-their documents are connected already, so no link between classes is lost.
+meet the others there. Tokens with many of them are heavy. A pair that shares
+a light token too is met there and its heavy tokens are counted. Others share
+COMMON heavy ones, so one that is not among the COMMON - 1 most frequent of
+either: those others are fewer, and mostly light among themselves. What still
+is heavy is compared in blocks of documents of like sizes, a pair of blocks
+answers with as many links as connect its classes, and the pairs of blocks are
+taken in rounds, as many at a time as the blocks themselves take up twice.
+Pairs within a class need no check, as their documents are connected already,
+so no link between classes is lost.
+
+Tables that are read no more are deleted as the work goes on.
 
 Defined cases: null or empty texts, and texts without words, have the empty
 set and link with nothing; a text of fewer words than a shingle has one
@@ -42,6 +49,7 @@ from pyspark.sql.window import Window
 
 from candela.llm.store import fitted, numbered, released, sliced, staged
 from candela.llm.text import NOT_SPACE, chunks, mix, words
+from candela.session import discard
 
 #: orders that a candidate pair has to pass, the index's included
 ORDERS = 3
@@ -53,6 +61,8 @@ LEADERS = 4
 HEAVY = 2000
 #: documents of a block in which what heavy tokens connect is compared
 BLOCK_NODES = 128
+#: bytes of blocks that a round of their pairs brings together, more only in proportion to the blocks
+ROUND_BYTES = 1 << 30
 #: tokens that stand last in every order; an order may be any, so the bound costs no pair
 FREQUENT = 300_000
 #: bits of a token that tell ranges of equally frequent tokens apart
@@ -206,6 +216,7 @@ def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         bound = int(range_[ranges[np.searchsorted(np.cumsum(n[ranges]), room, side="right")]])
         wanted = counted.where((F.col("k") > last) | (F.col("k") == last) & (span < bound))
     tokens, counts = _columns(wanted.select("token", "k"))
+    discard(counted)
     return tokens.view(np.uint64), counts
 
 
@@ -239,8 +250,9 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        before = state
+        before, old = state, edges
         edges, state = _noted(small)
+        discard(old)
         if state == before:
             return edges.toDF("node", "root")
 
@@ -261,7 +273,7 @@ def _passed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that link: the orders' filters, then the overlap."""
+    """The staged pairs (a, b) of nodes that link: the orders' filters, then the overlap."""
     pairs = staged(_passed(pairs, sets, percent), "passed")
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
@@ -275,7 +287,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 "a": pa.array([x for x, k in zip(a, ok, strict=True) if k], pa.int64()),
                 "b": pa.array([x for x, k in zip(b, ok, strict=True) if k], pa.int64())})
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(released(run), "a long, b long")
+    met = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
+    links = staged(met.mapInArrow(released(run), "a long, b long"), "links")
+    discard(pairs)
+    return links
 
 
 def _read_sets(docs: DataFrame, wanted: DataFrame, size: int, orders) -> DataFrame:
@@ -301,7 +316,9 @@ def _read_sets(docs: DataFrame, wanted: DataFrame, size: int, orders) -> DataFra
         return out
 
     schema = "node long, n long, tokens binary" + "".join(f", p{k} array<long>" for k in range(1, ORDERS))
-    return staged(_map_sets(again.select("doc_id", "text", "node"), size, schema, kept), "sets")
+    sets = staged(_map_sets(again.select("doc_id", "text", "node"), size, schema, kept), "sets")
+    discard(ids)
+    return sets
 
 
 def _sizes_fit(percent: int, nx: str, ny: str) -> Column:
@@ -323,23 +340,46 @@ def _best_leaders(rows: DataFrame) -> DataFrame:
             .select(*_pairs(F.col("node"), F.col("lead"))).distinct())
 
 
+def _parted(rows: DataFrame) -> DataFrame:
+    """Of the tokens of ``rows`` (token, node, root, ...) whose nodes are of several
+    classes: the class that most of them have, their number, and whether they are heavy."""
+    return (rows.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(
+        F.max_by("root", F.struct("k", "root")).alias("largest"), (F.sum("k") - F.max("k")).alias("minor"), F.sum("k").alias("k"))
+        .where("minor > 0").select("token", "largest", F.col("k").alias("shared"), F.expr(f"minor * k > {HEAVY}").alias("heavy")))
+
+
+def _held(heavy: DataFrame) -> DataFrame:
+    """node, n, root and its tokens of ``heavy`` (token, node, n, root, shared), the rarest first."""
+    return heavy.groupBy("node", "n", "root").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("shared", "token"))), lambda x: x["token"]).alias("heavies"))
+
+
+def _common(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b, ...) that have heavy tokens in common, with their number, ``h``."""
+    left, right = (held.select(F.col("node").alias(x), F.col("heavies").alias(f"h{x}")) for x in "ab")
+    met = pairs.join(right, "b").join(left, "a")
+    return met.withColumn("h", F.size(F.array_intersect("ha", "hb"))).drop("ha", "hb").where("h > 0")
+
+
 def _blockwise(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes inside clusters (node, n, root, cluster):
     clusters are cut into blocks of documents of like sizes, and blocks whose
     sizes allow links are compared two at a time, by products of their token
-    incidences. A pair of blocks returns no more links than connect its classes."""
+    incidences. A pair of blocks returns no more links than connect its classes.
+    The pairs are as many as the square of the blocks: they are dealt into rounds
+    of so many bytes that what a round shuffles does not outgrow the blocks."""
     # places in the order of all clusters: a large one spans tasks
     placed = numbered(nodes, [F.col("cluster"), F.col("n"), F.col("node")], "nth", 0, "clusters-placed")
     begin = placed.groupBy("cluster").agg(F.min("nth").alias("begin"))
     placed = placed.join(begin, "cluster").withColumn("block", F.expr(f"(nth - begin) div {BLOCK_NODES}"))
     blocks = staged(placed.join(sets.select("node", "tokens"), "node").groupBy("cluster", "block").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"),
+        F.min("n").alias("least"), F.max("n").alias("most"), (8 * F.sum("n")).alias("bytes"),
         F.collect_set(F.struct("node", "root", "tokens")).alias("docs")), "blocks")
-    meta = blocks.select("cluster", "block", "least", "most")
-    pairs = meta.toDF("cluster", "i", "li", "mi").join(meta.toDF("cluster", "j", "lj", "mj"), "cluster").where(
-        f"i <= j AND 100 * mi >= {percent} * lj").select("cluster", "i", "j")
-    met = (pairs.join(blocks.select("cluster", F.col("block").alias("i"), F.col("docs").alias("x")), ["cluster", "i"])
-           .join(blocks.select("cluster", F.col("block").alias("j"), F.col("docs").alias("y")), ["cluster", "j"]).select("x", "y"))
+    meta = blocks.select("cluster", "block", "least", "most", "bytes")
+    pairs = staged(meta.toDF("cluster", "i", "li", "mi", "bi").join(meta.toDF("cluster", "j", "lj", "mj", "bj"), "cluster").where(
+        f"i <= j AND 100 * mi >= {percent} * lj").select("cluster", "i", "j", (F.col("bi") + F.col("bj")).alias("bytes")), "block-pairs")
+    most = max(ROUND_BYTES, 2 * (blocks.agg(F.sum("bytes")).first()[0] or 0))
+    rounds = -(-(pairs.agg(F.sum("bytes")).first()[0] or 0) // most)
 
     def run(batches):
         for batch in batches:
@@ -370,7 +410,15 @@ def _blockwise(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([o[0] for o in out], pa.int64()),
                                                   "b": pa.array([o[1] for o in out], pa.int64())})
 
-    return met.mapInArrow(released(run), "a long, b long")
+    links = [blocks.sparkSession.createDataFrame([], "a long, b long")]
+    for k in range(rounds):
+        now = pairs.where(F.expr(f"pmod(xxhash64(cluster, i, j), {rounds}) = {k}"))
+        met = (now.join(blocks.select("cluster", F.col("block").alias("i"), F.col("docs").alias("x")), ["cluster", "i"])
+               .join(blocks.select("cluster", F.col("block").alias("j"), F.col("docs").alias("y")), ["cluster", "j"]).select("x", "y"))
+        links.append(staged(met.mapInArrow(released(run), "a long, b long"), "links"))
+    out = staged(reduce(DataFrame.union, links), "links")
+    discard(blocks, pairs, *links)
+    return out
 
 
 def link_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -394,26 +442,26 @@ def link_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
 
     every = _map_sets(docs, size, "token long, node long, bounds long", prefixes)
     every = staged(every, "prefixes")
-    leads = every.groupBy("token").agg(
-        F.min("node").alias("lead"), F.min_by("bounds", "node").alias("led"), F.max("node").alias("hi")).where("lead < hi")
-    posted = staged(every.join(leads.select("token", "lead", "led"), "token").select(
+    leads = staged(every.groupBy("token").agg(
+        F.min("node").alias("lead"), F.min_by("bounds", "node").alias("led"), F.max("node").alias("hi"))
+        .where("lead < hi").select("token", "lead", "led"), "leads")
+    posted = staged(every.join(leads, "token").select(
         "token", "node", F.expr("bounds & 4294967295").alias("n"), F.expr("bounds >> 32").alias("cap"),
         "lead", F.expr("led & 4294967295").alias("nl")).distinct(), "postings")
+    discard(every, leads)
 
     nodes = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     tried = staged(_best_leaders(posted.where("node <> lead").where(_sizes_fit(percent, "n", "nl"))), "pairs")
     read = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
     sets = _read_sets(docs, read.join(nodes, "node"), size, orders)
-    links = staged(_verified(tried, sets, percent), "links")
+    links = _verified(tried, sets, percent)
     roots = components(links)
 
     # tokens whose documents are of several classes; few of them have many such documents
     classed = (posted.select("token", "node", "n", "cap").join(roots, "node", "left")
                .select("token", "node", "n", "cap", F.coalesce("root", "node").alias("root")))
-    parted = (classed.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(
-        F.max_by("root", F.struct("k", "root")).alias("largest"), (F.sum("k") - F.max("k")).alias("minor"), F.sum("k").alias("k"))
-        .where("minor > 0"))
-    open_ = staged(classed.join(parted, "token").withColumn("heavy", F.expr(f"minor * k > {HEAVY}")).drop("minor", "k"), "open")
+    open_ = staged(classed.join(_parted(classed), "token"), "open")
+    discard(posted)
 
     # light tokens: documents outside the largest class meet the others
     light = open_.where(~F.col("heavy"))
@@ -421,28 +469,44 @@ def link_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
         "token", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("cap").alias("capx")))
     # the common tokens of a pair are counted as the pair is made. The first one
     # of a pair that links leaves enough behind it, the next ones a token less
-    # each. One that shares a heavy token as well is in a cluster below
+    # each. Of one that shares heavy tokens these count as well, wherever they stand
     spare = (COMMON - 1) * (100 + percent) // percent + 2
-    cross = (minor.join(light, "token").where("rx <> root AND (root = largest OR x < node)")
-             .where(_sizes_fit(percent, "nx", "n") & _places_fit("nx", "capx", "n", "cap", spare))
-             .select(*_pairs(F.col("x"), F.col("node")), _places_fit("nx", "capx", "n", "cap").alias("fits"))
-             .groupBy("a", "b").agg(F.count("*").alias("k"), F.bool_or("fits").alias("fits")).where((F.col("k") >= COMMON) & F.col("fits"))
-             .select("a", "b").join(tried, ["a", "b"], "left_anti"))
-    cross = staged(cross, "pairs")
-
-    # heavy tokens: what they connect is compared block by block
-    heavy = open_.where("heavy")
+    met = staged(minor.join(light, "token").where("rx <> root AND (root = largest OR x < node)")
+                 .where(_sizes_fit(percent, "nx", "n") & _places_fit("nx", "capx", "n", "cap", spare))
+                 .select(*_pairs(F.col("x"), F.col("node")), _places_fit("nx", "capx", "n", "cap").alias("fits"))
+                 .groupBy("a", "b").agg(F.count("*").alias("k"), F.bool_or("fits").alias("fits")), "met")
+    enough = (F.col("k") >= COMMON) & F.col("fits")
+    held = staged(_held(open_.where("heavy")), "held")
+    mixed = _common(met.where(~enough), held).where(F.col("k") + F.col("h") >= COMMON)
+
+    # pairs of heavy tokens alone: the most frequent ones of a document bring it nothing
+    rest = F.slice("heavies", 1, F.greatest(F.size("heavies") - (COMMON - 1), F.lit(0)))
+    rich = held.where(F.size("heavies") >= COMMON).select("node", "n", "root", F.explode(rest).alias("token"))
+    still = staged(rich.join(_parted(rich), "token"), "still-open")
+    few = still.where(~F.col("heavy"))
+    lone = (few.where("root <> largest").select("token", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"))
+            .join(few, "token").where("rx <> root AND (root = largest OR x < node)").where(_sizes_fit(percent, "nx", "n"))
+            .select(*_pairs(F.col("x"), F.col("node"))).distinct())
+    lone = _common(lone, held).where(F.col("h") >= COMMON)
+    cross = staged(met.where(enough).select("a", "b").union(mixed.select("a", "b")).union(lone.select("a", "b")).distinct()
+                   .join(tried, ["a", "b"], "left_anti"), "pairs")
+    discard(open_, met, held)
+
+    # what is heavy still: what it connects is compared block by block
+    heavy = still.where("heavy")
     heads = heavy.groupBy("token").agg(F.min("node").alias("head"))
     clusters = components(heavy.join(heads, "token").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())
     grouped = staged(heavy.select("node", "n", "root").distinct()
                      .join(clusters.withColumnRenamed("root", "cluster"), "node", "left")
                      .withColumn("cluster", F.coalesce("cluster", "node")), "clusters")
+    discard(still)
     more = (cross.select(F.col("a").alias("node")).union(cross.select("b")).union(grouped.select("node")).distinct()
             .join(read, "node", "left_anti"))
-    sets = sets.union(_read_sets(docs, more.join(nodes, "node"), size, orders))
-    links = links.union(staged(_verified(cross, sets, percent), "links")).union(
-        staged(_blockwise(grouped, sets, percent), "links"))
-    roots = components(links)
+    more_sets = _read_sets(docs, more.join(nodes, "node"), size, orders)
+    both = sets.union(more_sets)
+    more_links, block_links = _verified(cross, both, percent), _blockwise(grouped, both, percent)
+    roots = components(links.union(more_links).union(block_links))
+    discard(sets, more_sets, tried, cross, grouped, links, more_links, block_links)
 
     classes = nodes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))

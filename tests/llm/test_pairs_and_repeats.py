@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 from collections import Counter
@@ -7,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from candela import session
 from candela.llm import jaccard, repeats, store
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -79,6 +81,46 @@ def test_jaccard_against_all_pairs(docs_of, words, seed, monkeypatch):
         assert _got(docs_of(rows, 5), size, percent) == expected
 
 
+@pytest.mark.parametrize("heavy", (0, 3, 30))
+def test_heavy_tokens_against_all_pairs(docs_of, words, heavy, monkeypatch):
+    """Pairs whose common tokens are heavy in part or all, and blocks compared in several rounds."""
+    for name, value in (("FREQUENT", 20), ("HEAVY", heavy), ("BLOCK_NODES", 4), ("ROUND_BYTES", 1)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = random.Random(heavy)
+    lines = [words(6) for _ in range(4)]
+    texts = [" ".join(rng.sample(lines, rng.randrange(3)) + [words(rng.randrange(1, 40))]) for _ in range(50)]
+    for _ in range(4):
+        family = words(rng.choice([25, 60, 100]), 3000)
+        texts += [_edited(rng, f"{family} {rng.choice(lines)}", rng.choice([0.01, 0.02, 0.04])) for _ in range(30)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    expected = _components(rows, 4, 85)
+    assert 60 < len({c for _, _, c in expected}) < len(rows)
+    assert _got(docs_of(rows, 5)) == expected
+
+
+def test_a_heavy_token_alone_brings_no_blocks_together(spark, docs_of, words, monkeypatch):
+    """Blocks are shuffled once for each pair of them: who shares too little to link stays out."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 0)
+    monkeypatch.setattr(jaccard, "HEAVY", 50)
+    lines, met = [words(4) for _ in range(6)], []
+    rows = [(i, f"{lines[i % 6]} {words(20)}") for i in range(360)]
+    blockwise = jaccard._blockwise
+    monkeypatch.setattr(jaccard, "_blockwise", lambda nodes, *a: met.append(nodes.count()) or blockwise(nodes, *a))
+    assert _got(docs_of(rows, 3)) == _components(rows, 4, 85)
+    assert met == [0]
+
+
+def test_the_joins_tables_and_shuffles_go(spark, docs_of, words, monkeypatch):
+    base, written = words(80), []
+    monkeypatch.setattr(store, "shared_dir", lambda s, name, f=store.shared_dir: written.append(f(s, name)) or written[-1])
+    rows = [(i, f"{base} {words(2)}") for i in range(20)]
+    assert _got(docs_of(rows)) == _components(rows, 4, 85)
+    there = [p for p in (w.removeprefix("file:") for w in written) if os.path.exists(p)]
+    assert 20 < len(written) and {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in there} <= {"survey", "edges", "clusters-placed"}
+    assert spark.conf.get(session._SHUFFLES_GO, None) is None
+
+
 def test_the_driver_gets_the_frequent_tokens_alone(spark, monkeypatch):
     rng = random.Random(4)
     counts = {rng.randrange(-2**63, 2**63): rng.choice([1, 2, 2, 2, 3, 9]) for _ in range(3000)}
