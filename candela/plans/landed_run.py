@@ -25,7 +25,7 @@ from candela.operators.signals import investment_summary
 from candela.plans import tables as tb
 from candela.plans.daily import LoadResult, carried_sources, load_all
 from candela.schemas import STATE_TABLE
-from candela.session import ensure_checkpoint_dir, staged
+from candela.session import ensure_checkpoint_dir, passing, staged
 from candela.sinks import TableStore
 from candela.sources.landed import ARRIVAL, read_constituents, read_prices_csv, read_quotes_json
 
@@ -43,15 +43,16 @@ def landed_run(spark: SparkSession, landing: str, store_base: str, version: int,
     quotes = read_quotes_json(spark, f"{landing}/quotes.json").filter(~F.col("failed"))
     universe = tb.universe_from_files(read_constituents(spark, f"{landing}/constituents.csv"), quotes)
     landed = read_prices_csv(spark, f"{landing}/prices", arrival=True)
-    # shared by several of the loads: computed once, kept in the shared folder
-    prices = staged(new_bars(store, landed, universe, version, as_of), "prices")
-    made = carried_sources(store, prices, version)
-    snapshot = tb.fundamentals_from_quotes(quotes)
-    sources = {
-        "empresas": tb.clean_companies(universe),
-        "precios_historicos": prices,
-        "indicadores_fundamentales": tb.rank_fundamentals(snapshot),
-        "resumen_inversion": investment_summary(carried.latest_rows(made[STATE_TABLE]), snapshot),
-        **made,
-    }
-    return load_all(store, sources, version, repeated=("indicadores_fundamentales",))
+    with passing():
+        # shared by several of the loads: computed once, kept in the shared folder
+        prices = staged(new_bars(store, landed, universe, version, as_of), "prices")
+        made = carried_sources(store, prices, version)
+        snapshot = tb.fundamentals_from_quotes(quotes)
+        sources = {
+            "empresas": tb.clean_companies(universe),
+            "precios_historicos": prices,
+            "indicadores_fundamentales": tb.rank_fundamentals(snapshot),
+            "resumen_inversion": investment_summary(carried.latest_rows(made[STATE_TABLE]), snapshot),
+            **made,
+        }
+        return load_all(store, sources, version, repeated=("indicadores_fundamentales",))

@@ -3,14 +3,16 @@
 import datetime as dt
 import os
 import tempfile
+import time
 
 from pyspark.sql import functions as F
 
 from candela.operators.integrity import split_rejects
 from candela.plans import analyst, stored
 from candela.plans.daily import load_table
+from candela.session import discard, passing, staged
 from candela.sinks import TableStore
-from conftest import make_bars
+from conftest import SF001, make_bars
 
 
 def scratch():
@@ -70,3 +72,53 @@ def test_a_day_spreads_over_tasks_and_an_empty_load_leaves_nothing(spark):
     # a retried version replaces its manifest in one step
     load_table(store, "precios_historicos", day, 1, unique_source=True, batch="a:0")
     assert store.versions("precios_historicos") == [1] and store.read("precios_historicos").count() == 20_000
+
+
+def _shuffle_files(spark):
+    return spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(",").count("shuffle_")
+
+
+def _folders(spark):
+    at = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    return {n for n in os.listdir(at) if not n.startswith("rdd-")}
+
+
+def test_shuffle_files_go_with_the_query_that_wrote_them(spark):
+    rows = spark.range(5000).withColumn("k", F.col("id") % 50)
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    rows.groupBy("k").count().write.mode("overwrite").format("noop").save()  # so that there are files of others
+    spark.sparkContext._jvm.System.gc()
+    before = _shuffle_files(spark)
+    kept = staged(rows.join(rows.groupBy("k").agg(F.max("id").alias("m")), "k"), "joined")
+    price = make_bars(spark, {"A": [1.0, 2.0]}).withColumn("open", F.col("close"))
+    load_table(TableStore(spark, scratch()), "precios_historicos", price, 1)
+    until = time.time() + 20
+    while _shuffle_files(spark) > before and time.time() < until:
+        time.sleep(0.1)
+    assert _shuffle_files(spark) <= before
+    assert kept.count() == 5000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == setting
+
+
+def test_daily_runs_leave_their_store_alone(spark):
+    there = _folders(spark) if spark.sparkContext.getCheckpointDir() else set()
+    got = stored.stored_indicators(spark, SF001, [dt.date(1999, 12, 31), dt.date(2100, 1, 1)])
+    assert {n.split("-")[0] for n in _folders(spark) - there} == {"store"}
+    assert got.count() > 0
+
+
+def test_only_staged_tables_are_discarded(spark):
+    rows = spark.range(10)
+    path = scratch() + "/given"
+    rows.write.parquet(path)
+    given, first = spark.read.parquet(path), staged(rows, "first")
+    with passing():
+        second = staged(first, "second")
+        assert second.count() == 10
+    third = first.select("id")
+    discard(given, third)
+    assert given.count() == third.count() == first.count() == 10
+    left = _folders(spark)
+    discard(first, first)
+    assert {n.split("-")[0] for n in left - _folders(spark)} == {"first"}
+    assert not any(n.startswith("second") for n in left)
