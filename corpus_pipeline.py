@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from candela.llm import decontam, jaccard, packing, secrets, toxicity
 from candela.llm.queries import table, vocabulary
 from candela.llm.store import bounded_batches, extended, flat, position, staged
+from candela.session import discard
 
 #: rows of an Arrow batch: workers and JVMs of all stages live on beside one another
 STAGE_ROWS = 250
@@ -68,7 +69,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     first = members.groupBy("component_id").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc_id")).alias("m"))
     dropped = members.join(first, "component_id").where("doc_id <> m.doc_id").select("doc_id")
-    return _without(docs, rows, dropped)
+    left = _without(docs, rows, dropped)
+    discard(found)
+    return left
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -122,5 +125,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,5 +1,6 @@
 """The pipeline against a plain reckoning of every stage, and the driver contract."""
 
+import os
 import random
 import re
 from collections import Counter
@@ -10,7 +11,7 @@ pytest.importorskip("public_tokenizers")
 
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline as cp  # noqa: E402
-from candela.llm import secrets  # noqa: E402
+from candela.llm import secrets, store  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -95,6 +96,15 @@ def test_run_packs_what_is_left(spark, tables):
     assert all(n == total for (_, total), n in sums.items())
 
 
+def test_run_deletes_what_the_next_stage_has_read(spark, sf_of, docs_of, monkeypatch):
+    written = []
+    monkeypatch.setattr(store, "shared_dir", lambda s, name, f=store.shared_dir: written.append(f(s, name)) or written[-1])
+    monkeypatch.setattr(cp, "STAGES", [(n, lambda s, docs, sf: docs.where("doc_id > 0")) for n in "abcd"])
+    sf = sf_of(documents=docs_of([(i, "x") for i in range(5)]))
+    assert cp.run(spark, sf).count() == 4 and cp.table(spark, sf, "documents").count() == 5
+    assert [os.path.exists(w.removeprefix("file:")) for w in written] == [False, False, True]
+
+
 def test_stages_take_repeats_nulls_clashes_and_empty_tables(spark, tables):
     rows, sf, _ = tables
     text = rows[611]
